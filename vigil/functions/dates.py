@@ -70,24 +70,24 @@ def lenient_timestamp(s: Column | str, fallback: Column) -> Column:
     Native expressions only: a chain of ``try_to_timestamp`` attempts.
     """
     s = F.col(s) if isinstance(s, str) else s
-    attempts = [F.try_cast(s, "timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
+    attempts = [(s).try_cast("timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
     return F.coalesce(*attempts, fallback)
 
 
 def used_fallback(s: Column | str) -> Column:
     s = F.col(s) if isinstance(s, str) else s
-    attempts = [F.try_cast(s, "timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
+    attempts = [(s).try_cast("timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
     return F.coalesce(*attempts).isNull()
 
 
 def parse_start_date(s: Column | str) -> Column:
     """Project start date such as ``2023-12-01T00:00:00Z``; NULL when unusable."""
     s = F.col(s) if isinstance(s, str) else s
-    return F.try_cast(s, "timestamp")
+    return (s).try_cast("timestamp")
 
 
 def prefer_source_date(source_publish_date: Column | str, extracted: Column | str) -> Column:
     """The platform's date wins over the date extracted from the page."""
     sp = F.col(source_publish_date) if isinstance(source_publish_date, str) else source_publish_date
     ex = F.col(extracted) if isinstance(extracted, str) else extracted
-    return F.coalesce(F.try_cast(sp, "timestamp"), ex)
+    return F.coalesce((sp).try_cast("timestamp"), ex)

@@ -58,15 +58,15 @@ def number_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     keys = list(partition_by) + list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = (ranged.withColumn("__pid", F.shiftright(F.col("__mid"), 33))
-              .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = (ranged.groupBy("__pid", *partition_by)
-              .agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n")))
+              .withColumn("__nr_mid", F.monotonically_increasing_id()))
+    ranged = (ranged.withColumn("__nr_pid", F.shiftright(F.col("__nr_mid"), 33))
+              .withColumn("__nr_pos", F.col("__nr_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = (ranged.groupBy("__nr_pid", *partition_by)
+              .agg(F.min("__nr_pos").alias("__nr_first"), F.count(F.lit(1)).alias("__nr_n")))
     w = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))) \
-        .orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))) \
-        .drop("__n")
-    joined = ranged.join(bounded_broadcast(offsets), ["__pid", *partition_by])
-    return (joined.withColumn(out_col, (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("long"))
-            .drop("__mid", "__pid", "__pos", "__first", "__off"))
+        .orderBy("__nr_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__nr_off", F.coalesce(F.sum("__nr_n").over(w), F.lit(0))) \
+        .drop("__nr_n")
+    joined = ranged.join(bounded_broadcast(offsets), ["__nr_pid", *partition_by])
+    return (joined.withColumn(out_col, (F.col("__nr_off") + F.col("__nr_pos") - F.col("__nr_first") + 1).cast("long"))
+            .drop("__nr_mid", "__nr_pid", "__nr_pos", "__nr_first", "__nr_off"))
