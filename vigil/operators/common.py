@@ -22,6 +22,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a narrow input over the cluster before CPU-heavy per-row work.
+
+    A text table stored as a few large row groups scans as a few tasks, and
+    tokenising it would then run on a few cores.  When the scan has fewer
+    partitions than the cluster's default parallelism, the rows are spread
+    round-robin; a wide input (the normal case for a large table) is left as
+    it is, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def top_k(df: DataFrame, partition_by: Sequence[str | Column], order_by: Sequence[Column],
           k: int, rank_col: str | None = None) -> DataFrame:
     """The first ``k`` rows of each group under a total order.

@@ -2,7 +2,7 @@
 
 The test data has no story log, feeds or projects, so fixed mappings derive
 them from ``events``, ``pages`` and ``documents``.  Each mapping is written
-once here and once as SQL in the DuckDB twins (``vigil.plans.oracle``), and
+once here and once as SQL in the DuckDB twins (``vigil/plans/*_queries.py``), and
 the two must agree row for row.  All work grows with the input tables: the
 mappings are narrow projections (no joins, no driver data).
 """
@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import schemas
+from vigil.functions import urls as U
+from vigil.functions.dates import ts_lit
+from vigil.sources.config import literal_table
 
 # Fixed clock of the fixtures: events span 2024-01-01 .. 2024-01-30.
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -96,7 +99,7 @@ def stories_from_documents(documents: DataFrame) -> DataFrame:
         F.col("text").alias("story_text"),
         F.col("lang").alias("language"),
         F.col("source").alias("media_name"),
-        (F.lit(AS_OF).cast("timestamp")
+        (ts_lit(AS_OF)
          - F.make_dt_interval(days=(F.col("doc_id") % 30).cast("int"),
                               hours=(F.col("doc_id") % 24).cast("int"))).alias("indexed_date"),
     )
@@ -139,20 +142,20 @@ PROJECT_TERM_ROWS = [
     (6, 1, False, "term", "der"), (6, 1, False, "term", "die"),
     (7, 1, False, "near5", "thing erre"),
     (8, 1, False, "fuzzy1", "thong"),
-    (9, 1, False, "title", "the"),
+    (9, 1, False, "title:term", "the"),
 ]
 
 
 def projects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROJECT_ROWS, schemas.PROJECT)
+    return literal_table(spark, PROJECT_ROWS, schemas.PROJECT)
 
 
 def models(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MODEL_ROWS, schemas.MODEL)
+    return literal_table(spark, MODEL_ROWS, schemas.MODEL)
 
 
 def project_terms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROJECT_TERM_ROWS, schemas.PROJECT_TERMS)
+    return literal_table(spark, PROJECT_TERM_ROWS, schemas.PROJECT_TERMS)
 
 
 def collection_sources(pages: DataFrame) -> DataFrame:
@@ -160,7 +163,7 @@ def collection_sources(pages: DataFrame) -> DataFrame:
     page is a source in collection ``page_id % 5``; every seventh page's source
     is a URL-search source (``url_search_string`` set), every eleventh has no
     name -- both are excluded from domain lists."""
-    host = F.try_parse_url(F.col("url"), F.lit("HOST"))
+    host = U.host("url")
     return pages.select(
         (F.col("page_id") % 5).alias("collection_id"),
         F.when(F.col("page_id") % 11 == 0, F.lit(None).cast("string")).otherwise(host).alias("name"),
