@@ -15,6 +15,7 @@ L2-normalised over in-vocabulary terms (a zero vector stays zero).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.text import FEATURE_TOKEN, tokens
 from vigil.operators.common import bounded_broadcast, spread
+from vigil.session import checkpoint_dir
 
 MODEL_TYPES = ("lr", "nb")
 VECTORIZER_TYPES = ("tfidf", "embeddings")
@@ -82,15 +84,19 @@ def fit_naive_bayes(train: DataFrame, label_col: str, id_col: str = "doc_id", te
     x = tfidf(counts, idf, id_col).join(train.select(id_col, label_col), id_col)
     sums = x.groupBy("term").agg(
         F.sum(F.when(F.col(label_col) == 1, F.col("x")).otherwise(0.0)).alias("s1"),
-        F.sum(F.when(F.col(label_col) == 0, F.col("x")).otherwise(0.0)).alias("s0"))
+        F.sum(F.when(F.col(label_col) == 0, F.col("x")).otherwise(0.0)).alias("s0")).join(idf, "term")
+    # the per-term sums are the fitted state: write them once to the shared
+    # checkpoint folder, so the totals below and every later use read them
+    # instead of re-running the fit
+    checkpoint_dir(train.sparkSession)
+    sums = sums.checkpoint()
     tot = sums.agg(F.sum("s1").alias("t1"), F.sum("s0").alias("t0"), F.count(F.lit(1)).alias("v")).first()
     a = smoothing
     t1, t0, vsize = tot["t1"] or 0.0, tot["t0"] or 0.0, tot["v"]
     weight = (F.log(F.col("s1") + a) - F.log(F.lit(t1 + a * vsize))
               - F.log(F.col("s0") + a) + F.log(F.lit(t0 + a * vsize)))
-    import math
     bias = math.log(n1 + a) - math.log(n0 + a)
-    terms = sums.join(idf, "term").select(
+    terms = sums.select(
         F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
         "term", "idf", weight.alias("weight"))
     bias_row = train.sparkSession.range(1).select(
