@@ -19,7 +19,7 @@ LENIENT_FORMATS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd",
-    "EEE, dd MMM yyyy HH:mm:ss Z",
+    "dd MMM yyyy HH:mm:ss Z",
     "dd MMM yyyy",
     "MMMM d, yyyy",
     "yyyy/MM/dd",
@@ -64,20 +64,23 @@ def day_text(c: Column | str) -> Column:
     return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd")
 
 
+def _attempts(s: Column | str) -> list[Column]:
+    s = F.col(s) if isinstance(s, str) else s
+    # RFC 822 dates start with a day name, which parsers no longer accept
+    t = F.regexp_replace(F.trim(s), r"^[A-Za-z]{3},\s*", "")
+    return [t.try_cast("timestamp")] + [F.try_to_timestamp(t, F.lit(f)) for f in LENIENT_FORMATS]
+
+
 def lenient_timestamp(s: Column | str, fallback: Column) -> Column:
     """Parse a date string leniently; unparsable or missing -> ``fallback``.
 
     Native expressions only: a chain of ``try_to_timestamp`` attempts.
     """
-    s = F.col(s) if isinstance(s, str) else s
-    attempts = [(s).try_cast("timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
-    return F.coalesce(*attempts, fallback)
+    return F.coalesce(*_attempts(s), fallback)
 
 
 def used_fallback(s: Column | str) -> Column:
-    s = F.col(s) if isinstance(s, str) else s
-    attempts = [(s).try_cast("timestamp")] + [F.try_to_timestamp(s, F.lit(f)) for f in LENIENT_FORMATS]
-    return F.coalesce(*attempts).isNull()
+    return F.coalesce(*_attempts(s)).isNull()
 
 
 def parse_start_date(s: Column | str) -> Column:

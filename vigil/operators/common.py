@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import checkpoint_dir
+
 # Largest row count a config-sized table may have and still be broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -68,12 +70,21 @@ def number_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
        window over that small table;
     4. join the offsets back (broadcast, size-checked) and add.
 
+    The partitioned, position-tagged rows are checkpointed once so that steps
+    3 and 4 (and any retry) see the same partitions.
+
     ``P + O`` must be unique (a total order) for the result to be exact.
     """
     keys = list(partition_by) + list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("__nr_mid", F.monotonically_increasing_id()))
+    # Range bounds come from sampling, and positions from the physical
+    # partitions: both must be read identically by the two branches below and
+    # by any retry, so the tagged rows are written once to the shared
+    # checkpoint folder (a reliable checkpoint, not a local one).
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     ranged = (ranged.withColumn("__nr_pid", F.shiftright(F.col("__nr_mid"), 33))
               .withColumn("__nr_pos", F.col("__nr_mid").bitwiseAND(F.lit((1 << 33) - 1))))
     counts = (ranged.groupBy("__nr_pid", *partition_by)
