@@ -67,43 +67,77 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str, keys: Sequence[str] =
 # ---------------------------------------------------------------------------
 def fit_naive_bayes(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
                     model_id: int = 1, stage: int = 1, smoothing: float = 1.0) -> DataFrame:
-    """Multinomial naive Bayes on TF-IDF as weights.
+    """Multinomial naive Bayes on TF-IDF as weights (one binary label)."""
+    return fit_naive_bayes_labels(train, {label_col: (model_id, stage)}, id_col, text_col, smoothing)
+
+
+def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]], id_col: str = "doc_id",
+                           text_col: str = "text", smoothing: float = 1.0) -> DataFrame:
+    """Multinomial naive Bayes on TF-IDF for several binary labels at once.
 
     For two classes the posterior is ``sigmoid(bias + sum_j x_j w_j)`` with
     ``w = ln(S1+a) - ln(T1+aV) - ln(S0+a) + ln(T0+aV)`` (S = per-class feature
     sum, T = its total, V = vocabulary size) and ``bias = ln(n1+a) - ln(n0+a)``;
     the same numbers Spark ML's NaiveBayes computes, found with aggregations.
+
+    ``labels`` maps a label column to the ``(model_id, stage)`` its weights
+    are written as.  The training texts are tokenised once; every label's
+    training set is the rows where that label is not NULL, and each label gets
+    its own document frequencies, norms and sums through conditional
+    aggregates in the same passes.
     """
-    train = train.filter(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-    counts_row = train.agg(F.count(F.lit(1)).alias("n"),
-                           F.count_if(F.col(label_col) == 1).alias("n1"),
-                           F.count_if(F.col(label_col) == 0).alias("n0")).first()
-    n, n1, n0 = counts_row["n"], counts_row["n1"], counts_row["n0"]
-    counts = term_counts(train, id_col, text_col)
-    idf = fit_idf(counts, n, id_col)
-    x = tfidf(counts, idf, id_col).join(train.select(id_col, label_col), id_col)
-    sums = x.groupBy("term").agg(
-        F.sum(F.when(F.col(label_col) == 1, F.col("x")).otherwise(0.0)).alias("s1"),
-        F.sum(F.when(F.col(label_col) == 0, F.col("x")).otherwise(0.0)).alias("s0")).join(idf, "term")
+    names = list(labels)
+    train = train.filter(F.col(text_col).isNotNull())
+    y = train.select(id_col, *[F.col(c).alias(f"__y{i}") for i, c in enumerate(names)])
+    stats = train.agg(*[a for i, c in enumerate(names) for a in (
+        F.count(F.col(c)).alias(f"n{i}"), F.count_if(F.col(c) == 1).alias(f"p{i}"),
+        F.count_if(F.col(c) == 0).alias(f"q{i}"))]).first()
+    counts = term_counts(train, id_col, text_col).join(y, id_col)
+    # document frequency over each label's own training rows
+    idf = counts.groupBy("term").agg(*[
+        F.log((F.lit(stats[f"n{i}"]) + 1.0) / (F.count(F.col(f"__y{i}")) + 1.0)).alias(f"__idf{i}")
+        for i in range(len(names))])
+    v = counts.join(idf, "term")
+    for i in range(len(names)):
+        v = v.withColumn(f"__v{i}", F.when(F.col(f"__y{i}").isNotNull(), F.col("tf") * F.col(f"__idf{i}")))
+    norms = v.groupBy(id_col).agg(*[F.sqrt(F.sum(F.col(f"__v{i}") * F.col(f"__v{i}"))).alias(f"__n{i}")
+                                    for i in range(len(names))])
+    x = v.join(norms, id_col)
+    aggs = []
+    for i in range(len(names)):
+        xi = F.coalesce(F.col(f"__v{i}") / F.nullif(F.col(f"__n{i}"), F.lit(0.0)), F.lit(0.0))
+        aggs += [F.sum(F.when(F.col(f"__y{i}") == 1, xi).otherwise(0.0)).alias(f"__s1_{i}"),
+                 F.sum(F.when(F.col(f"__y{i}") == 0, xi).otherwise(0.0)).alias(f"__s0_{i}"),
+                 F.max(F.col(f"__y{i}").isNotNull().cast("int")).alias(f"__in{i}"),
+                 F.first(F.col(f"__idf{i}")).alias(f"__idf{i}")]
+    sums = x.groupBy("term").agg(*aggs)
     # the per-term sums are the fitted state: write them once to the shared
     # checkpoint folder, so the totals below and every later use read them
     # instead of re-running the fit
     checkpoint_dir(train.sparkSession)
     sums = sums.checkpoint()
-    tot = sums.agg(F.sum("s1").alias("t1"), F.sum("s0").alias("t0"), F.count(F.lit(1)).alias("v")).first()
+    tot = sums.agg(*[a for i in range(len(names)) for a in (
+        F.sum(F.col(f"__s1_{i}") * F.col(f"__in{i}")).alias(f"t1_{i}"),
+        F.sum(F.col(f"__s0_{i}") * F.col(f"__in{i}")).alias(f"t0_{i}"),
+        F.sum(f"__in{i}").alias(f"v{i}"))]).first()
     a = smoothing
-    t1, t0, vsize = tot["t1"] or 0.0, tot["t0"] or 0.0, tot["v"]
-    weight = (F.log(F.col("s1") + a) - F.log(F.lit(t1 + a * vsize))
-              - F.log(F.col("s0") + a) + F.log(F.lit(t0 + a * vsize)))
-    bias = math.log(n1 + a) - math.log(n0 + a)
-    terms = sums.select(
-        F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
-        "term", "idf", weight.alias("weight"))
-    bias_row = train.sparkSession.range(1).select(
-        F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
-        F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"),
-        F.lit(bias).alias("weight"))
-    return terms.unionByName(bias_row)
+    out = None
+    for i, c in enumerate(names):
+        model_id, stage = labels[c]
+        t1, t0, vsize = tot[f"t1_{i}"] or 0.0, tot[f"t0_{i}"] or 0.0, tot[f"v{i}"] or 0
+        weight = (F.log(F.col(f"__s1_{i}") + a) - F.log(F.lit(t1 + a * vsize))
+                  - F.log(F.col(f"__s0_{i}") + a) + F.log(F.lit(t0 + a * vsize)))
+        bias = math.log(stats[f"p{i}"] + a) - math.log(stats[f"q{i}"] + a)
+        terms = sums.filter(F.col(f"__in{i}") == 1).select(
+            F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
+            "term", F.col(f"__idf{i}").alias("idf"), weight.alias("weight"))
+        bias_row = train.sparkSession.range(1).select(
+            F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
+            F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"),
+            F.lit(bias).alias("weight"))
+        part = terms.unionByName(bias_row)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def fit_logistic_regression(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
@@ -181,7 +215,7 @@ def stage_scores(story_models: DataFrame, counts: DataFrame, model_terms: DataFr
     agg = feats.groupBy(id_col, "model_id", "stage").agg(
         F.sum(v * F.col("weight")).alias("dot"), F.sqrt(F.sum(v * v)).alias("norm"))
     out = (story_models.join(agg, [id_col, "model_id", "stage"], "left")
-           .join(F.broadcast(bias), ["model_id", "stage"], "left"))
+           .join(bounded_broadcast(bias), ["model_id", "stage"], "left"))
     s = F.coalesce(F.col("bias"), F.lit(0.0)) + F.coalesce(F.col("dot") / F.nullif("norm", F.lit(0.0)), F.lit(0.0))
     return out.select(id_col, "model_id", "stage", sigmoid(s).alias("p"))
 
@@ -230,22 +264,31 @@ def with_model(projects: DataFrame, models: DataFrame, check: bool = True) -> Da
 
 
 def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_terms: DataFrame,
-          id_col: str = "story_id", text_col: str = "story_text") -> DataFrame:
+          id_col: str = "story_id", text_col: str = "story_text", texts: DataFrame | None = None) -> DataFrame:
     """H4-H6: every (story, project) row scored with its project's model.
 
     Adds ``model_id, model_1_score, model_2_score, model_score`` and
     ``confidence`` (= model_score).  Single models leave the partial scores
     NULL; chained models multiply the two stages.  A story whose text is NULL
     gets NULL scores (it is reported, not retried).  Term counts are computed
-    once per story text however many projects share the story.
+    once per story text however many projects share the story: pass
+    ``texts`` (``id, text``, one row per story, e.g. the feed itself) so that
+    texts are tokenised where they are read instead of shuffled to be
+    de-duplicated; term counts of stories no project kept are dropped by the
+    join with the (story, model) pairs.
     """
     pm = with_model(projects, models).select("project_id", "model_id", "chained_models")
-    sp = stories.join(F.broadcast(pm), "project_id")
-    texts = stories.select(id_col, text_col).dropDuplicates([id_col])
+    sp = stories.join(bounded_broadcast(pm), "project_id")
+    if texts is None:
+        texts = stories.select(id_col, text_col).dropDuplicates([id_col])
     counts = term_counts(texts.filter(F.col(text_col).isNotNull()), id_col, text_col)
     stages = F.when(F.col("chained_models"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    story_models = sp.filter(F.col(text_col).isNotNull()) \
-        .select(id_col, "model_id", F.explode(stages).alias("stage")).distinct()
+    if text_col in sp.columns:
+        with_text = sp.filter(F.col(text_col).isNotNull())
+    else:
+        # NULL texts get NULL scores: keep only ids that have a text (ids only move)
+        with_text = sp.join(texts.filter(F.col(text_col).isNotNull()).select(id_col), id_col, "left_semi")
+    story_models = with_text.select(id_col, "model_id", F.explode(stages).alias("stage")).distinct()
     p = stage_scores(story_models, counts, model_terms, id_col)
     wide = p.groupBy(id_col, "model_id").agg(
         F.max(F.when(F.col("stage") == 1, F.col("p"))).alias("p1"),

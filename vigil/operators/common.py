@@ -6,24 +6,60 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.session import checkpoint_dir
 
-# Largest row count a config-sized table may have and still be broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
-    scan).  Beyond the bound the frame is returned unhinted, so the join
-    falls back to a shuffle join that AQE can still split when skewed.
+# Largest estimated size of a table that may still be broadcast.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def _type_size(t: T.DataType) -> int:
+    # the same per-type defaults Catalyst uses when it has no statistics
+    if isinstance(t, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(t, (T.ShortType,)):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, T.StructType):
+        return sum(_type_size(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _type_size(t.elementType)
+    if isinstance(t, T.MapType):
+        return _type_size(t.keyType) + _type_size(t.valueType)
+    return 20   # strings, binary
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row (default size per type plus a row header)."""
+    return 16 + sum(_type_size(f.dataType) for f in df.schema.fields)
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its estimated size is at most ``max_bytes``.
+
+    The bound is a row count (``max_bytes`` / estimated row width) checked by
+    reading at most that many rows plus one (a limit pushed into the scan).
+    Beyond the bound the frame is returned unhinted, so the join falls back
+    to a shuffle join that AQE can still split when a key is skewed.
     """
+    max_rows = max(1, max_bytes // row_width(df))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def unbounded(df: DataFrame) -> DataFrame:
+    """Mark a data-sized side of a join: it is never broadcast on a size
+    *estimate* (estimates of derived relations can be far too low); the join
+    shuffles both sides, and AQE still splits skewed partitions."""
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a narrow input over the cluster before CPU-heavy per-row work.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.dates import days_before
 from vigil.functions.urls import normalize_url
-from vigil.operators.common import number_rows, top_k
+from vigil.operators.common import number_rows, top_k, unbounded
 
 
 def dedupe_key(df: DataFrame) -> Column:
@@ -52,7 +52,7 @@ def dedupe_against_log(df: DataFrame, log: DataFrame) -> DataFrame:
     """drop stories already in the log for the same project (any age)."""
     seen = log.select("project_id", dedupe_key(log).alias("__k"))
     return (df.withColumn("__k", dedupe_key(df))
-            .join(seen, ["project_id", "__k"], "left_anti").drop("__k"))
+            .join(unbounded(seen), ["project_id", "__k"], "left_anti").drop("__k"))
 
 
 def _recent(log: DataFrame, as_of: dt.datetime, days: int) -> DataFrame:
@@ -64,13 +64,13 @@ def drop_recently_processed(df: DataFrame, log: DataFrame, as_of: dt.datetime,
                             days: int = 14) -> DataFrame:
     """Skip URLs this project processed in the last ``days`` days."""
     return (df.withColumn("__k", dedupe_key(df))
-            .join(_recent(log, as_of, days), ["project_id", "__k"], "left_anti").drop("__k"))
+            .join(unbounded(_recent(log, as_of, days)), ["project_id", "__k"], "left_anti").drop("__k"))
 
 
 def skipped_counts(df: DataFrame, log: DataFrame, as_of: dt.datetime, days: int = 14) -> DataFrame:
     """Per project, how many rows D1 skipped (input rows, repeats included)."""
     hit = (df.withColumn("__k", dedupe_key(df))
-           .join(_recent(log, as_of, days), ["project_id", "__k"], "left_semi"))
+           .join(unbounded(_recent(log, as_of, days)), ["project_id", "__k"], "left_semi"))
     return hit.groupBy("project_id").agg(F.count(F.lit(1)).alias("skipped_dupes"))
 
 

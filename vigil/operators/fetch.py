@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import text as TX
 from vigil.functions import urls as U
-from vigil.operators.common import number_rows
+from vigil.operators.common import number_rows, spread, unbounded
 
 
 def urls_to_fetch(stories: DataFrame, url_col: str = "url") -> DataFrame:
@@ -45,15 +45,15 @@ def host_batches(urls: DataFrame, order_col: str, n: int = 4) -> DataFrame:
 def attach_text(stories: DataFrame, pages: DataFrame, story_url: str = "url") -> DataFrame:
     """D3: every story whose URL was fetched gets the page's main text (I13);
     stories without a fetched page fall out (inner equi-join)."""
-    p = pages.select(F.col("original_url").alias("__u"),
+    p = spread(pages).select(F.col("original_url").alias("__u"),
                      TX.html_title("content").alias("page_title"),
                      TX.html_to_text("content").alias("story_text"),
                      TX.html_published_date("content").alias("page_date"))
     s = stories.drop("story_text") if "story_text" in stories.columns else stories
-    return s.join(p, s[story_url] == p["__u"]).drop("__u")
+    return s.join(unbounded(p), s[story_url] == p["__u"]).drop("__u")
 
 
 def text_failures(stories: DataFrame, pages: DataFrame, story_url: str = "url") -> DataFrame:
     """Per project, stories that got no text."""
-    missing = stories.join(pages.select(F.col("original_url").alias(story_url)), story_url, "left_anti")
+    missing = stories.join(unbounded(pages.select(F.col("original_url").alias(story_url))), story_url, "left_anti")
     return missing.groupBy("project_id").agg(F.count(F.lit(1)).alias("no_text"))

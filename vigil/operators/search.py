@@ -145,8 +145,7 @@ MAX_PHRASE_WORDS = 62   # offsets are tracked as bits of one long
 
 
 def search_meta(project_terms: DataFrame) -> dict:
-    """One small action over the (config-sized) clause table: its row count
-    (the broadcast bound), the literal-prefix lengths of pattern clauses, the
+    """One small action over the (config-sized) clause table: the literal-prefix lengths of pattern clauses, the
     fuzzy edit bound and word-length range, and whether any clause is
     title-scoped.  Everything the probe side needs to know up front."""
     pt = _parse_kind(project_terms)
@@ -235,48 +234,130 @@ def deletion_variants(w: Column, depth: int) -> Column:
     return out
 
 
-def _probe_keys(tok: Column, meta: dict) -> Column:
-    keys = [F.array(tok)]
-    for n in meta["lengths"]:
-        keys.append(F.array(F.concat(F.lit(f"~{n}:"), F.substring(tok, 1, n))))
+def _pattern_keys(tok: Column, meta: dict) -> Column | None:
+    """Probe keys of one token for pattern and fuzzy clauses (no exact key)."""
+    keys = [F.array(F.concat(F.lit(f"~{n}:"), F.substring(tok, 1, n))) for n in meta["lengths"]]
     if meta["edits"]:
         # only tokens whose length is within reach of some fuzzy term
         reach = F.length(tok).between(meta["fz_min"], meta["fz_max"])
         keys.append(F.when(reach, F.transform(deletion_variants(tok, meta["edits"]),
                                                lambda v: F.concat(F.lit("~d:"), v)))
                     .otherwise(F.array().cast("array<string>")))
+    if not keys:
+        return None
     return F.flatten(F.array(*keys)) if len(keys) > 1 else keys[0]
 
 
+def _probes(toks: Column, field: str, meta: dict) -> Column:
+    """``array<struct<field, token, pos, key>>`` for one token stream.
+
+    Every occurrence is probed with its exact key (positions matter for
+    phrases and near pairs); pattern and fuzzy keys are generated once per
+    distinct token of the document (presence is all they need), so the costly
+    expansions never repeat for a word that occurs many times.
+    """
+    def st(tok, pos, key):
+        return F.struct(F.lit(field).alias("field"), tok.alias("token"), pos.alias("pos"), key.alias("key"))
+    exact = F.transform(toks, lambda x, i: st(x, i, x))
+    if _pattern_keys(F.lit("x"), meta) is None:
+        return exact
+    pats = F.flatten(F.transform(F.array_distinct(toks), lambda x: F.transform(
+        _pattern_keys(x, meta), lambda k: st(x, F.lit(0), k))))
+    return F.concat(exact, pats)
+
+
+# Up to these sizes the clause vocabulary is inlined as a pre-filter on
+# every token occurrence (a hash-set ``isin`` and a few codegen'd checks);
+# beyond them every occurrence is probed through the key join.
+DIRECT_MAX_WORDS = 5000
+DIRECT_MAX_PATTERNS = 64
+
+
+def _direct_filter(project_terms: DataFrame, meta: dict):
+    """The clause vocabulary as plain Python values, when it is small."""
+    pt = _parse_kind(project_terms)
+    rows = pt.select("base", "arg", F.lower("term").alias("t"), tokens(F.col("term")).alias("w")) \
+        .limit(DIRECT_MAX_WORDS + 1).collect()
+    if len(rows) > DIRECT_MAX_WORDS:
+        return None
+    words, regexes, fuzzy = set(), set(), set()
+    for r in rows:
+        if r["base"] in ("term", "phrase", "near"):
+            words.update(r["w"] or [])
+        elif r["base"] == "prefix":
+            regexes.add(wildcard_regex(r["t"] + "*"))
+        elif r["base"] == "wildcard":
+            regexes.add(wildcard_regex(r["t"]))
+        elif r["base"] == "fuzzy":
+            fuzzy.add((r["t"], int(r["arg"] or 1)))
+    if len(words) > DIRECT_MAX_WORDS or len(regexes) + len(fuzzy) > DIRECT_MAX_PATTERNS:
+        return None
+    return {"words": sorted(words), "regexes": sorted(regexes), "fuzzy": sorted(fuzzy)}
+
+
+def _direct_probes(d: DataFrame, title: str, text: str, meta: dict, direct: dict) -> DataFrame:
+    """Token occurrences that can hit some clause, with their probe keys.
+
+    ``posexplode`` and the filter are whole-stage-codegen operators, so the
+    per-occurrence work is a hash-set lookup plus a few bounded checks; probe
+    keys (and deletion variants) are built only for the survivors.
+    """
+    streams = [d.select("doc_id", "doc_lang", F.lit("all").alias("field"),
+                        F.posexplode(search_tokens(title, text)).alias("pos", "token"))]
+    if meta["has_title"]:
+        streams.append(d.select("doc_id", "doc_lang", F.lit("title").alias("field"),
+                                F.posexplode(tokens(F.col(title))).alias("pos", "token")))
+    occ = streams[0]
+    for extra in streams[1:]:
+        occ = occ.unionByName(extra)
+    tok = F.col("token")
+    exact = tok.isin(direct["words"]) if direct["words"] else F.lit(False)
+    pattern = F.lit(False)
+    for rx in direct["regexes"]:
+        pattern = pattern | tok.rlike(rx)
+    for t, k in direct["fuzzy"]:
+        pattern = pattern | (F.levenshtein(tok, F.lit(t), k) >= 0)
+    occ = occ.filter(exact | pattern).withColumn("__pat", pattern)
+    pat_keys = _pattern_keys(tok, meta)
+    keys = F.array(tok) if pat_keys is None else F.when(F.col("__pat"), F.concat(F.array(tok), pat_keys)) \
+        .otherwise(F.array(tok))
+    return occ.select("doc_id", "doc_lang", "field", "token", "pos", F.explode(keys).alias("key"))
+
+
 def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFrame | None = None,
                    doc_id: str = "doc_id", title: str = "title", text: str = "story_text",
-                   lang: str = "language", max_clause_rows: int = 1_000_000) -> DataFrame:
+                   lang: str = "language") -> DataFrame:
     """``(project_id, doc_id)`` for every document satisfying a project's
     standing search (and its language, when ``projects`` is given).
 
     Plan: one scan; each document is tokenised once (positions kept) and its
     probe keys exploded -> broadcast hash join with ``clause_keys`` (the
     clause table is config-sized; its row count is checked) -> pattern checks
-    -> one shuffle of the hits, by document -> per-clause hit (all words of a
-    sequence line up, or a near pair within distance) -> AND/NOT per
-    (document, project).  Aggregation buffers are fixed-width so every
-    aggregate is a hash aggregate, and all of them reuse the one shuffle.
+    -> per-clause hit by aggregation (all words of a sequence line up, or a
+    near pair within distance, found inside bounded position buckets) ->
+    AND/NOT per (document, project).  Repeated single-word hits collapse in
+    the map-side partial aggregate, so frequent words do not flood the
+    shuffle; no group grows with the length of a document.
     """
     meta = search_meta(project_terms)
     keys = clause_keys(project_terms, meta["edits"])
-    # keys per clause row are bounded (words of a phrase, deletion variants)
-    keys = F.broadcast(keys) if meta["rows"] <= max_clause_rows else keys
+    # keys per clause row are bounded (words of a phrase, deletion variants);
+    # the key table is broadcast when its estimated size is within bounds
+    keys = bounded_broadcast(keys)
 
     d = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("doc_lang"), title, text))
-    # tokenise once per document; the title stream's positions restart at 0
-    d = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__all"),
-                 (tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")).alias("__title"))
-    tagged = F.concat(
-        F.transform("__all", lambda x, i: F.struct(F.lit("all").alias("field"), x.alias("token"), i.alias("pos"))),
-        F.transform("__title", lambda x, i: F.struct(F.lit("title").alias("field"), x.alias("token"), i.alias("pos"))))
-    probes = (d.select("doc_id", "doc_lang", F.explode(tagged).alias("t"))
-              .select("doc_id", "doc_lang", "t.field", "t.token", "t.pos")
-              .select("*", F.explode(_probe_keys(F.col("token"), meta)).alias("key")))
+    direct = _direct_filter(project_terms, meta)
+    if direct is not None:
+        probes = _direct_probes(d, title, text, meta, direct)
+    else:
+        # tokenise once per document; the title stream's positions restart at 0
+        d = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__all"),
+                     (tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")).alias("__title"))
+        tagged = _probes(F.col("__all"), "all", meta)
+        if meta["has_title"]:
+            tagged = F.concat(tagged, _probes(F.col("__title"), "title", meta))
+        probes = (d.select("doc_id", "doc_lang", F.explode(tagged).alias("t"))
+                  .select("doc_id", "doc_lang", "t.field", "t.token", "t.pos", "t.key"))
 
     hits = probes.join(keys, ["field", "key"])
     ok = (F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex"))
@@ -285,34 +366,35 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     hits = hits.filter(ok).select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "near",
                                   "pos", "offset", "n", "dist", "role", "same")
 
-    # the one shuffle: every step below groups by doc_id plus more keys
-    hits = hits.repartition("doc_id")
-    w = Window.partitionBy("doc_id", "project_id", "clause_id").orderBy("pos", "role") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    prev0 = F.last(F.when(F.col("role") == 0, F.col("pos")), ignorenulls=True).over(w)
-    prev1 = F.last(F.when(F.col("role") == 1, F.col("pos")), ignorenulls=True).over(w)
-    near_hit = (F.when(F.col("near") == 0, F.lit(False))
-                .when(F.col("same") | (F.col("role") == 1), (F.col("pos") - prev0) <= F.col("dist"))
-                .otherwise((F.col("pos") - prev1) <= F.col("dist")))
-    hits = hits.withColumn("near_hit", F.coalesce(near_hit, F.lit(False)))
-
-    start = F.when(F.col("near") == 0, F.col("pos") - F.col("offset")).otherwise(F.lit(-1))
+    # Group key g: for a sequence, its start position (a single word's
+    # position is irrelevant, so all its occurrences share g = 0 and collapse
+    # in the map-side partial aggregate); for a near pair, a position bucket
+    # of width dist+1, each occurrence also spilling into the next bucket --
+    # any two positions within dist then meet in one group, and a group holds
+    # at most 2*(dist+1) positions, so the pair check below is bounded.
+    seq_start = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.col("pos") - F.col("offset"))
+    hits = hits.withColumn("__spill", F.explode(F.when(F.col("near") == 1, F.array(F.lit(0), F.lit(1)))
+                                               .otherwise(F.array(F.lit(0)))))
+    g = F.when(F.col("near") == 0, seq_start).otherwise(
+        F.floor(F.col("pos") / (F.col("dist") + 1)).cast("int") + F.col("__spill"))
     grp = ["doc_id", "doc_lang", "project_id", "clause_id", "negated"]
-    groups = (hits.groupBy(*grp, "near", start.alias("start"))
-              .agg(F.max("n").alias("n"),
-                   F.bit_or(F.expr("shiftleft(1L, offset)")).alias("seen"),
-                   F.max("near_hit").alias("near_hit")))
+    groups = (hits.groupBy(*grp, "near", g.alias("g"))
+              .agg(F.max("n").alias("n"), F.max("dist").alias("dist"), F.max("same").alias("same"),
+                   F.bit_or(F.when(F.col("near") == 0, F.expr("shiftleft(1L, offset)"))).alias("seen"),
+                   F.collect_list(F.when(F.col("near") == 1, F.struct("role", "pos"))).alias("occ")))
     full = F.expr("shiftleft(1L, n) - 1")
-    clause_hit = F.when(F.col("near") == 0, F.col("seen") == full).otherwise(F.col("near_hit"))
-    clauses = groups.filter(clause_hit).groupBy(*grp).agg(F.lit(1).alias("__hit")).drop("__hit")
+    pair = F.exists("occ", lambda x: F.exists("occ", lambda y: (x["pos"] != y["pos"])
+                                              & (F.abs(x["pos"] - y["pos"]) <= F.col("dist"))
+                                              & (F.col("same") | (x["role"] != y["role"]))))
+    clause_hit = F.when(F.col("near") == 0, F.col("seen") == full).otherwise(pair)
+    clauses = groups.filter(clause_hit).select(*grp).distinct()
     per_doc = (clauses.groupBy("doc_id", "doc_lang", "project_id")
                .agg(F.count_if(~F.col("negated")).alias("pos_hits"),
                     F.max(F.col("negated").cast("int")).alias("neg_hit")))
 
     need = (project_terms.filter(~F.col("negated")).groupBy("project_id")
             .agg(F.count_distinct("clause_id").alias("need")))
-    # at most one row per project, and projects <= clause rows (checked above)
-    need = F.broadcast(need) if meta["rows"] <= max_clause_rows else need
+    need = bounded_broadcast(need)
     out = per_doc.join(need, "project_id") \
         .filter((F.col("pos_hits") == F.col("need")) & (F.col("neg_hit") == 0))
     if projects is not None:

@@ -25,14 +25,17 @@ def training(spark, sf_dir):
 
 
 def model_terms(spark, sf_dir):
-    """All stages of all fixture models, each label fitted once and the
-    weights copied to every model that uses them."""
+    """All stages of all fixture models: each label is fitted once (both in
+    one pass over the training texts) and its weights copied to every model
+    stage that uses it."""
     train = training(spark, sf_dir)
-    fitted = {lab: C.fit_naive_bayes(train, lab) for lab in ("quality", "toxic")}
+    labs = ("quality", "toxic")
+    fitted = C.fit_naive_bayes_labels(train, {lab: (0, i) for i, lab in enumerate(labs)})
     parts = []
     for mid, stages in MODEL_STAGES.items():
         for stage, lab in stages:
-            parts.append(fitted[lab].withColumn("model_id", F.lit(mid).cast("long"))
+            parts.append(fitted.filter(F.col("stage") == labs.index(lab))
+                         .withColumn("model_id", F.lit(mid).cast("long"))
                          .withColumn("stage", F.lit(stage).cast("int")))
     out = parts[0]
     for p in parts[1:]:
@@ -48,8 +51,10 @@ def stories(spark, sf_dir):
 
 
 def scored(spark, sf_dir):
-    return C.score(stories(spark, sf_dir), fixtures.projects(spark), fixtures.models(spark),
-                   model_terms(spark, sf_dir))
+    s = stories(spark, sf_dir)
+    # one story per document: the texts are already distinct
+    return C.score(s, fixtures.projects(spark), fixtures.models(spark), model_terms(spark, sf_dir),
+                   texts=s.select("story_id", "story_text"))
 
 
 # ---------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from vigil.functions import text as TX
 from vigil.functions import urls as U
 from vigil.operators import dedupe as D
 from vigil.operators import fetch as FE
+from vigil.operators.common import spread
 from vigil.plans.registry import query
 from vigil.sources import feeds as FD
 from vigil.sources import fixtures
@@ -213,7 +214,7 @@ def _title_sql(c: str) -> str:
 @query("page_text", sql=f"""
 SELECT page_id, {_title_sql('html')} AS title, {_text_sql('html')} AS text FROM pages""")
 def q_page_text(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = spread(table(spark, sf_dir, "pages"))
     return p.select("page_id", TX.html_title("html").alias("title"), TX.html_to_text("html").alias("text"))
 
 

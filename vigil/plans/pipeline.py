@@ -22,6 +22,7 @@ from vigil.operators import classify as C
 from vigil.operators import dedupe as D
 from vigil.operators import output as O
 from vigil.operators import search as S
+from vigil.operators.common import unbounded
 from vigil.operators.log import story_key
 
 
@@ -42,13 +43,18 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
     ``url, title, story_text, language, indexed_date``; no project yet."""
     cap = cap or schemas.PLATFORM_CAPS.get(source, 3000)
     matches = S.match_projects(stories, project_terms, projects, doc_id="story_id")
-    found = matches.join(stories, "story_id").withColumn("normalized_url", normalize_url("url"))
+    # only light columns travel through de-duplication and the cap; texts
+    # are tokenised where they are read, for scoring only
+    light = stories.select(*[c for c in stories.columns if c != "story_text"])
+    found = matches.join(unbounded(light), "story_id").withColumn("normalized_url", normalize_url("url"))
     kept = D.dedupe(found, order_by="story_id")
     if log is not None:
         kept = D.dedupe_against_log(kept, log)
     kept = D.cap_per_project(kept, cap, [F.desc_nulls_last("indexed_date"), F.col("url")])
     kept = kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url")))
-    scored = C.score(kept, projects, models, model_terms, id_col="story_id")
+    # the feed has one row per story: tokenise texts where they are read
+    scored = C.score(kept, projects, models, model_terms, id_col="story_id",
+                     texts=stories.select("story_id", "story_text"))
     above = C.above_threshold(scored, projects)
     if entities is not None:
         above = O.attach_entities(above, entities)
