@@ -103,15 +103,19 @@ def _config_sql() -> str:
             f"models AS (SELECT CAST(a AS BIGINT) AS model_id, b AS chained FROM (VALUES {mo}) AS t(a, b))")
 
 
-SCORE_CTE = "WITH " + ",".join([_nb_sql("quality"), _nb_sql("toxic")]) + ",\n" + _mt_sql() + ",\n" + _config_sql() + f""",
-stories AS (SELECT doc_id AS story_id, doc_id % 10 AS project_id, text AS story_text FROM documents),
+def score_cte(stories_sql: str, extra_ctes: str = "") -> str:
+    """The scoring twin over any ``stories(story_id, project_id, story_text)``
+    CTE; ``extra_ctes`` are prepended (without WITH) for the stories to use."""
+    head = "WITH " + (extra_ctes + ",\n" if extra_ctes else "")
+    return head + ",".join([_nb_sql("quality"), _nb_sql("toxic")]) + ",\n" + _mt_sql() + ",\n" + _config_sql() + f""",
+stories AS ({stories_sql}),
 sm AS (SELECT s.story_id, s.project_id, p.model_id, m.chained, s.story_text
        FROM stories s JOIN proj p USING (project_id) JOIN models m USING (model_id)),
 stg AS (SELECT DISTINCT story_id, model_id, unnest(CASE WHEN chained THEN [1, 2] ELSE [1] END) AS stage
         FROM sm WHERE story_text IS NOT NULL),
 cnt AS (SELECT story_id, term, count(*) AS tf FROM
           (SELECT story_id, unnest(regexp_extract_all(lower(story_text), {FEAT})) AS term
-           FROM stories WHERE story_text IS NOT NULL) GROUP BY 1, 2),
+           FROM (SELECT DISTINCT story_id, story_text FROM stories) WHERE story_text IS NOT NULL) GROUP BY 1, 2),
 agg AS (SELECT c.story_id, st.model_id, st.stage, sum(c.tf * w.idf * w.weight) AS dot,
                sqrt(sum((c.tf * w.idf) * (c.tf * w.idf))) AS norm
         FROM cnt c JOIN stg st USING (story_id)
@@ -130,6 +134,9 @@ scored AS (SELECT sm.story_id, sm.project_id, sm.model_id,
 """
 
 
+SCORE_CTE = score_cte("SELECT doc_id AS story_id, doc_id % 10 AS project_id, text AS story_text FROM documents")
+
+
 @query("nb_model_terms", sql="WITH " + ",".join([_nb_sql("quality"), _nb_sql("toxic")]) + ",\n" + _mt_sql() + """
 SELECT model_id, stage, term, round(idf, 6) AS idf, round(weight, 6) AS weight FROM mt""")
 def q_nb_model_terms(spark, sf_dir):

@@ -187,13 +187,79 @@ def run(spark, sf_dir):
                         fixtures.models(spark), CQ.model_terms(spark, sf_dir), AS_OF)
 
 
-@query("pipeline_batches")
+def _pipeline_sql() -> str:
+    from vigil.plans.search_queries import _match_sql
+    match = _match_sql(True).strip()
+    assert match.startswith("WITH ")
+    match = match[len("WITH "):]
+    cap = schemas.PLATFORM_CAPS[schemas.SOURCE_MEDIA_CLOUD]
+    found = f"""found AS (
+  SELECT m.project_id, m.doc_id AS story_id, x.url, regexp_replace(x.url, '^https?://', '') AS normalized_url,
+         x.indexed_date
+  FROM m JOIN (SELECT doc_id, concat('https://', source, '.example.org/story/', CAST(doc_id AS VARCHAR)) AS url,
+                      {_ts(AS_OF)} - INTERVAL '1' DAY * (doc_id % 30) - INTERVAL '1' HOUR * (doc_id % 24) AS indexed_date
+               FROM documents) x USING (doc_id)),
+dedup AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY project_id, coalesce(normalized_url, url)
+                                                      ORDER BY story_id) AS rn FROM found) WHERE rn = 1),
+kept AS (SELECT * EXCLUDE (rn2) FROM (
+           SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY project_id
+                                                     ORDER BY indexed_date DESC NULLS LAST, url) AS rn2 FROM dedup)
+         WHERE rn2 <= {cap})"""
+    stories = "SELECT k.story_id, k.project_id, d.text AS story_text FROM kept k JOIN documents d ON d.doc_id = k.story_id"
+    return CQ.score_cte(stories, match + ",\n" + found)
+
+
+_ABOVE_SQL = """
+, above AS (
+  SELECT s.project_id, sha256(concat_ws('|', CAST(s.project_id AS VARCHAR), coalesce(k.normalized_url, k.url))) AS log_db_id
+  FROM scored s JOIN proj p USING (project_id) JOIN kept k ON k.story_id = s.story_id AND k.project_id = s.project_id
+  WHERE s.model_score >= coalesce(p.min_confidence, 0)),
+numbered AS (SELECT project_id, (row_number() OVER (PARTITION BY project_id ORDER BY log_db_id) - 1) // 100 AS batch_no
+             FROM above)
+"""
+
+
+@query("pipeline_batches", sql=_pipeline_sql() + _ABOVE_SQL + """
+SELECT project_id, batch_no, count(*) AS n_stories FROM numbered GROUP BY 1, 2""")
 def q_pipeline_batches(spark, sf_dir):
     return run(spark, sf_dir).batches.select("project_id", "batch_no", "n_stories")
 
 
-@query("pipeline_summary")
-def q_pipeline_summary(spark, sf_dir):
+def _summary_sql() -> str:
+    titles = ", ".join(f"({r[0]}, '{r[1]}')" for r in fixtures.PROJECT_ROWS)
+    cap = schemas.PLATFORM_CAPS[schemas.SOURCE_MEDIA_CLOUD]
+    return _pipeline_sql() + f"""
+, pt AS (SELECT CAST(a AS BIGINT) AS project_id, b AS title FROM (VALUES {titles}) AS t(a, b)),
+f AS (SELECT project_id, count(*) AS found FROM found GROUP BY 1),
+k AS (SELECT project_id, count(*) AS kept, count(DISTINCT url) AS unique_urls FROM kept GROUP BY 1),
+per AS (SELECT pt.project_id, pt.title, coalesce(found, 0) AS found, coalesce(kept, 0) AS kept,
+               coalesce(unique_urls, 0) AS unique_urls FROM pt LEFT JOIN f USING (project_id) LEFT JOIN k USING (project_id))
+SELECT project_id, title, CAST(found AS BIGINT) AS found, CAST(kept AS BIGINT) AS kept,
+       CAST(unique_urls AS BIGINT) AS unique_urls, kept > {cap * schemas.BROAD_QUERY_FRACTION} AS too_broad,
+       printf('Project %d - %s: %d stories', project_id, title, kept) AS line FROM per"""
+
+
+def _total_sql() -> str:
+    return _summary_sql().rsplit("SELECT project_id, title,", 1)[0] + """
+SELECT CAST(sum(found) AS BIGINT) AS found, CAST(sum(kept) AS BIGINT) AS kept,
+       CAST(sum(unique_urls) AS BIGINT) AS unique_urls,
+       printf('Done - pulled %d stories.', CAST(sum(kept) AS BIGINT)) AS line FROM per"""
+
+
+def _summary(spark, sf_dir):
+    from vigil.operators.output import run_summary
     r = run(spark, sf_dir)
-    return __import__("vigil.operators.output", fromlist=["run_summary"]).run_summary(
-        r.found, r.kept, fixtures.projects(spark), schemas.PLATFORM_CAPS[schemas.SOURCE_MEDIA_CLOUD])
+    return run_summary(r.found, r.kept, fixtures.projects(spark), schemas.PLATFORM_CAPS[schemas.SOURCE_MEDIA_CLOUD])
+
+
+@query("pipeline_summary", sql=_summary_sql())
+def q_pipeline_summary(spark, sf_dir):
+    """E11 per-project rows of the run summary."""
+    return _summary(spark, sf_dir).filter(F.col("project_id").isNotNull())
+
+
+@query("pipeline_total", sql=_total_sql())
+def q_pipeline_total(spark, sf_dir):
+    """E11 grand-total row of the same rollup."""
+    return _summary(spark, sf_dir).filter(F.col("project_id").isNull()) \
+        .select("found", "kept", "unique_urls", "line")
