@@ -39,11 +39,16 @@ class ModelConfigError(RuntimeError):
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, tf)``: raw counts of feature tokens per document.
 
-    All tokens of a document are produced in one task, so the map-side
-    partial aggregate already yields final counts; the shuffle carries one
-    row per distinct (document, term).
+    Texts are hash-partitioned by document id *before* tokenising: a text is
+    smaller than its rows of distinct terms (a 2.5 KB story has ~150 of them
+    at ~40 bytes each), so moving texts once is cheaper than shuffling term
+    counts, and the counts come out partitioned by id -- per-document norms
+    and the join with (story, model) pairs then need no further shuffle of
+    the big side.
     """
-    return (spread(df.select(id_col, text_col))
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return (df.select(id_col, text_col).repartition(n, id_col)
             .select(id_col, F.explode(tokens(F.col(text_col), FEATURE_TOKEN)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -92,7 +97,10 @@ def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]],
     stats = train.agg(*[a for i, c in enumerate(names) for a in (
         F.count(F.col(c)).alias(f"n{i}"), F.count_if(F.col(c) == 1).alias(f"p{i}"),
         F.count_if(F.col(c) == 0).alias(f"q{i}"))]).first()
-    counts = term_counts(train, id_col, text_col).join(y, id_col)
+    # two consumers (document frequencies, TF-IDF rows): tokenise the
+    # training texts once and read the counts back from the shared folder
+    checkpoint_dir(train.sparkSession)
+    counts = term_counts(train, id_col, text_col).join(y, id_col).checkpoint()
     # document frequency over each label's own training rows
     idf = counts.groupBy("term").agg(*[
         F.log((F.lit(stats[f"n{i}"]) + 1.0) / (F.count(F.col(f"__y{i}")) + 1.0)).alias(f"__idf{i}")
@@ -111,10 +119,8 @@ def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]],
                  F.max(F.col(f"__y{i}").isNotNull().cast("int")).alias(f"__in{i}"),
                  F.first(F.col(f"__idf{i}")).alias(f"__idf{i}")]
     sums = x.groupBy("term").agg(*aggs)
-    # the per-term sums are the fitted state: write them once to the shared
-    # checkpoint folder, so the totals below and every later use read them
-    # instead of re-running the fit
-    checkpoint_dir(train.sparkSession)
+    # the per-term sums are the fitted state: write them once too, so the
+    # totals below and every later use read them instead of re-running the fit
     sums = sums.checkpoint()
     tot = sums.agg(*[a for i in range(len(names)) for a in (
         F.sum(F.col(f"__s1_{i}") * F.col(f"__in{i}")).alias(f"t1_{i}"),
