@@ -6,6 +6,8 @@ token list (no join), an independent check of the join-based Spark plan.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from vigil.operators import search as S
@@ -15,8 +17,10 @@ from vigil.sources.tables import table
 
 TOKEN_SQL = r"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}]+')"
 DOCS_CTE = """
-WITH d0 AS (SELECT doc_id, lang, text, split_part(text, chr(10), 1) AS title FROM documents),
-d AS (SELECT doc_id, lang, """ + TOKEN_SQL.format(c="concat_ws(' ', title, text)") + """ AS toks,
+WITH d0 AS (SELECT doc_id, lang, text, split_part(text, chr(10), 1) AS title,
+                   TIMESTAMP '2024-01-31 00:00:00' - INTERVAL '1' DAY * (doc_id % 30) - INTERVAL '1' HOUR * (doc_id % 24)
+                   AS indexed_date FROM documents),
+d AS (SELECT doc_id, lang, indexed_date, """ + TOKEN_SQL.format(c="concat_ws(' ', title, text)") + """ AS toks,
              """ + TOKEN_SQL.format(c="title") + """ AS ttoks FROM d0)
 """
 
@@ -113,7 +117,9 @@ BUILDERS = [
        + ", ".join(f"{_clause_sql(k, t)} AS {n}" for n, k, t in BUILDERS)
        + ", (list_contains(toks, 'thing') AND (list_contains(toks, 'erre') OR list_contains(toks, 'eran'))"
          " AND NOT list_contains(toks, 'no')) AS c_boolean"
-       + ", lower(lang) = 'en' AS c_language FROM d")
+       + ", lower(lang) = 'en' AS c_language"
+       + ", (indexed_date > TIMESTAMP '2024-01-20 00:00:00' AND indexed_date <= TIMESTAMP '2024-01-25 00:00:00')"
+         " AS c_range FROM d")
 def q_search_builders(spark, sf_dir):
     d = _docs(spark, sf_dir).withColumn("tokens", S.search_tokens()) \
         .withColumn("title_tokens", F.regexp_extract_all(F.lower("title"), F.lit(r"[\p{L}\p{N}]+"), 0))
@@ -124,5 +130,6 @@ def q_search_builders(spark, sf_dir):
         "c_title": S.term("the", on="title_tokens"),
         "c_boolean": S.all_of(S.term("thing"), S.any_of(S.term("erre"), S.term("eran")), S.none_of(S.term("no"))),
         "c_language": S.language("en"),
+        "c_range": S.date_range("indexed_date", dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 25)),
     }
     return d.select("doc_id", *[c.alias(n) for n, c in cols.items()])
