@@ -261,3 +261,40 @@ def test_top_k_ties_broken(spark):
     df = spark.createDataFrame([(0, 1, "b"), (0, 1, "a"), (0, 0, "c")], "g long, v long, u string")
     out = top_k(df, ["g"], [F.desc("v"), F.col("u")], 1).collect()
     assert [r.u for r in out] == ["a"]
+
+
+def test_country_filter_and_drop_empty(spark):
+    stories = spark.createDataFrame([(0, "us"), (0, "GB"), (3, "mx"), (None, "us")], "project_id long, country string")
+    kept = FD.filter_country(FD.drop_empty(stories), fixtures.projects(spark)).collect()
+    assert sorted((r.project_id, r.country) for r in kept) == [(0, "us"), (3, "mx")]
+
+
+def test_prefer_source_date(spark):
+    df = spark.createDataFrame([("2024-01-05 10:00:00", dt.datetime(2024, 1, 1)), ("garbage", dt.datetime(2024, 1, 2)),
+                                (None, dt.datetime(2024, 1, 3))], "sp string, ex timestamp")
+    got = [r.d for r in df.select(DT.prefer_source_date("sp", "ex").alias("d")).collect()]
+    assert got == [dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)]
+
+
+def test_clean_terms_and_entity_text(spark):
+    df = spark.createDataFrame([("“climate change” AND x", "Title", "Body")], "t string, ti string, b string")
+    r = df.select(TX.clean_terms("t").alias("c"), TX.entity_text("ti", "b").alias("e")).first()
+    assert r.c == '"climate change" AND x' and r.e == "Title Body"
+
+
+def test_filter_domains(spark):
+    stories = spark.createDataFrame([(0, "https://www.News.example.com/a"), (0, "https://other.org/b"),
+                                     (1, "https://www.news.example.com/c")], "project_id long, url string")
+    domains = spark.createDataFrame([(0, "www.news.example.com")], "project_id long, domain string")
+    assert [r.url for r in FD.filter_domains(stories, domains).collect()] == ["https://www.News.example.com/a"]
+
+
+def test_bounded_broadcast_falls_back(spark):
+    from vigil.operators.common import bounded_broadcast
+    big = spark.range(1000).withColumn("s", F.lit("x"))
+    small = bounded_broadcast(big, max_bytes=10_000_000)
+    plain = bounded_broadcast(big, max_bytes=1_000)
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(small) and not hinted(plain)
+    assert plain.count() == 1000 and small.count() == 1000

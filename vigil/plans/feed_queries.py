@@ -326,3 +326,18 @@ def q_canonical_feeds(spark, sf_dir):
                        FD.from_webarchive_feed(_webarchive_items(spark, sf_dir)))
     return out.select("project_id", "url", "source", "title", "language", "media_name",
                       "source_publish_date", "extracted_content_url")
+
+
+@query("filter_domains", sql=FEED_CTE + f"""
+, pc AS (SELECT project_id, unnest(media_collections) AS collection_id FROM {_projects_values()}),
+src AS (SELECT page_id % 5 AS collection_id,
+               CASE WHEN page_id % 11 = 0 THEN NULL ELSE {HOST_SQL.format(c='url')} END AS name,
+               CASE WHEN page_id % 7 = 0 THEN '/section/*' END AS url_search_string FROM pages),
+dom AS (SELECT DISTINCT CAST(pc.project_id AS BIGINT) AS project_id, src.name AS domain
+        FROM pc JOIN src USING (collection_id) WHERE src.url_search_string IS NULL AND src.name IS NOT NULL)
+SELECT d.feed_pos, d.project_id, d.url FROM deduped d
+WHERE EXISTS (SELECT 1 FROM dom WHERE dom.project_id = d.project_id AND dom.domain = {HOST_SQL.format(c='d.url')})""")
+def q_filter_domains(spark, sf_dir):
+    domains = FD.project_domains(fixtures.projects(spark),
+                                 fixtures.collection_sources(table(spark, sf_dir, "pages")))
+    return FD.filter_domains(deduped(spark, sf_dir), domains).select("feed_pos", "project_id", "url")

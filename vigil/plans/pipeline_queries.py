@@ -263,3 +263,19 @@ def q_pipeline_total(spark, sf_dir):
     """E11 grand-total row of the same rollup."""
     return _summary(spark, sf_dir).filter(F.col("project_id").isNull()) \
         .select("found", "kept", "unique_urls", "line")
+
+
+@query("pipeline_log_rows", sql=_pipeline_sql() + f"""
+SELECT sha256(concat_ws('|', CAST(k.project_id AS VARCHAR), coalesce(k.normalized_url, k.url))) AS id,
+       k.project_id, p.model_id, k.url, k.normalized_url, k.indexed_date AS published_date,
+       {_ts(AS_OF)} AS queued_date, false AS above_threshold, 'media-cloud' AS source
+FROM kept k JOIN proj p USING (project_id)""")
+def q_pipeline_log_rows(spark, sf_dir):
+    """A10: the log rows a run inserts (one per kept story, keyed by I16)."""
+    kept = run(spark, sf_dir).kept
+    models = fixtures.projects(spark).select("project_id", F.col("language_model_id").alias("model_id"))
+    rows = logops.log_rows(kept.join(models, "project_id").withColumn("publish_date", F.col("indexed_date")),
+                           queued_at=F.lit(f"{AS_OF:%Y-%m-%d %H:%M:%S}").cast("timestamp"),
+                           source=schemas.SOURCE_MEDIA_CLOUD)
+    return rows.select("id", "project_id", "model_id", "url", "normalized_url", "published_date",
+                       "queued_date", "above_threshold", "source")

@@ -165,3 +165,17 @@ def project_domains(projects: DataFrame, sources: DataFrame) -> DataFrame:
     good = sources.filter(F.col("url_search_string").isNull() & F.col("name").isNotNull()) \
         .select("collection_id", F.col("name").alias("domain"))
     return pc.join(good, "collection_id").select("project_id", "domain").distinct()
+
+
+def filter_domains(stories: DataFrame, domains: DataFrame, url_col: str = "url") -> DataFrame:
+    """Keep stories whose host is one of their project's domains
+    (``domains``: project_id, domain -- e.g. ``project_domains``).  A left semi
+    join on (project_id, host): only keys move, stories are never duplicated."""
+    keyed = stories.withColumn("__host", U.host(url_col))
+    d = domains.select("project_id", F.lower("domain").alias("__host"))
+    return keyed.join(d, ["project_id", "__host"], "left_semi").drop("__host")
+
+
+def drop_empty(stories: DataFrame) -> DataFrame:
+    """Rows without a project (empty pages, NULL stories) do no work."""
+    return stories.filter(F.col("project_id").isNotNull())
