@@ -27,11 +27,11 @@ import datetime as dt
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import ts_lit
-from vigil.functions.text import TOKEN, tokens
+from vigil.functions.text import tokens
 from vigil.operators.common import bounded_broadcast, spread
 
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
-from vigil import schemas
 from vigil.functions import text as TX
 from vigil.functions import urls as U
 from vigil.operators import dedupe as D
