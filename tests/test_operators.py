@@ -298,3 +298,32 @@ def test_bounded_broadcast_falls_back(spark):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(small) and not hinted(plain)
     assert plain.count() == 1000 and small.count() == 1000
+
+
+def test_replayed_batch_adds_nothing(spark, tmp_path):
+    from vigil.streaming.ingest import replay_safe_log_writer
+    write = replay_safe_log_writer(str(tmp_path / "log"), "pos")
+    b0 = spark.createDataFrame([(1, 0, "https://a.org/x"), (2, 0, "https://a.org/x/")], "pos long, project_id long, url string")
+    b1 = spark.createDataFrame([(3, 0, "https://a.org/x"), (4, 1, "https://a.org/x")], "pos long, project_id long, url string")
+    write(b0, 0)
+    write(b1, 1)
+    write(b1, 1)          # a retry of batch 1
+    rows = sorted((r.pos, r.project_id) for r in spark.read.parquet(str(tmp_path / "log")).collect())
+    assert rows == [(1, 0), (4, 1)]
+
+
+def test_log_partitions_prune(spark, tmp_path):
+    from vigil.operators.log import append_log, log_rows, retain
+    stories = spark.createDataFrame(
+        [(p, 1, f"https://x.org/{i}", f"x.org/{i}", dt.datetime(2024, 1, 1 + i % 5)) for i, p in enumerate([0, 1] * 5)],
+        "project_id long, model_id long, url string, normalized_url string, publish_date timestamp")
+    for d in range(5):
+        append_log(log_rows(stories.filter(F.dayofmonth("publish_date") == d + 1),
+                            dt.datetime(2024, 1, 1 + d), "media-cloud"), str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    kept, _ = retain(log, 2, dt.datetime(2024, 1, 5))
+    import re
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    part = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert "queued_day" in part
+    assert kept.count() == 6 and log.select("id").distinct().count() == 10

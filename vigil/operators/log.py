@@ -34,7 +34,14 @@ def retain(log: DataFrame, age_days: int, as_of: dt.datetime) -> tuple[DataFrame
     """
     cutoff = days_before(as_of, age_days)
     deleted_pred = F.coalesce(F.col("queued_date") < cutoff, F.lit(False))
-    return log.filter(~deleted_pred), log.filter(deleted_pred)
+    kept, deleted = log.filter(~deleted_pred), log.filter(deleted_pred)
+    if "queued_day" in log.columns:
+        # implied bounds on the partition column, so whole day directories
+        # are skipped instead of read and filtered
+        day_cut = F.to_date(cutoff)
+        kept = kept.filter(F.col("queued_day").isNull() | (F.col("queued_day") >= day_cut))
+        deleted = deleted.filter(F.col("queued_day") <= day_cut)
+    return kept, deleted
 
 
 def deleted_by_day(deleted: DataFrame) -> DataFrame:
