@@ -302,14 +302,21 @@ def _direct_probes(d: DataFrame, title: str, text: str, meta: dict, direct: dict
     per-occurrence work is a hash-set lookup plus a few bounded checks; probe
     keys (and deletion variants) are built only for the survivors.
     """
-    streams = [d.select("doc_id", "doc_lang", F.lit("all").alias("field"),
-                        F.posexplode(search_tokens(title, text)).alias("pos", "token"))]
     if meta["has_title"]:
-        streams.append(d.select("doc_id", "doc_lang", F.lit("title").alias("field"),
-                                F.posexplode(tokens(F.col(title))).alias("pos", "token")))
-    occ = streams[0]
-    for extra in streams[1:]:
-        occ = occ.unionByName(extra)
+        # one posexplode over  all ++ [""] ++ title : the index says which
+        # stream a token came from and its position there (one scan, no lambdas)
+        toks = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__a"),
+                        tokens(F.col(title)).alias("__t"))
+        occ = (toks.select("doc_id", "doc_lang", F.size("__a").alias("__n"),
+                           F.posexplode(F.concat("__a", F.array(F.lit("")), "__t")).alias("p", "token"))
+               .filter(F.col("p") != F.col("__n"))
+               .select("doc_id", "doc_lang",
+                       F.when(F.col("p") < F.col("__n"), F.lit("all")).otherwise(F.lit("title")).alias("field"),
+                       F.when(F.col("p") < F.col("__n"), F.col("p")).otherwise(F.col("p") - F.col("__n") - 1)
+                       .alias("pos"), "token"))
+    else:
+        occ = d.select("doc_id", "doc_lang", F.lit("all").alias("field"),
+                       F.posexplode(search_tokens(title, text)).alias("pos", "token"))
     tok = F.col("token")
     exact = tok.isin(direct["words"]) if direct["words"] else F.lit(False)
     pattern = F.lit(False)
