@@ -46,7 +46,11 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     and the join with (story, model) pairs then need no further shuffle of
     the big side.
     """
-    return (df.select(id_col, text_col).repartition(id_col)
+    # tokenising is CPU-bound while AQE sizes shuffles by bytes, so the
+    # partition count is set from the cluster: never fewer than twice its cores
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return (df.select(id_col, text_col).repartition(n, id_col)
             .select(id_col, F.explode(tokens(F.col(text_col), FEATURE_TOKEN)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 

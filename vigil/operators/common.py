@@ -112,9 +112,8 @@ def number_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     ``P + O`` must be unique (a total order) for the result to be exact.
     """
     keys = list(partition_by) + list(order_by)
-    # without an explicit count AQE sizes the range partitions from the data
-    # (coalescing keeps them contiguous and in order)
-    ranged = (df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("__nr_mid", F.monotonically_increasing_id()))
     # Range bounds come from sampling, and positions from the physical
