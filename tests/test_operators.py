@@ -327,3 +327,16 @@ def test_log_partitions_prune(spark, tmp_path):
     part = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
     assert "queued_day" in part
     assert kept.count() == 6 and log.select("id").distinct().count() == 10
+
+
+def test_write_batches_round_trip(spark, tmp_path):
+    rows = [(str(i), i % 2, f"https://x.org/{i}", 0.9) for i in range(130)]
+    df = spark.createDataFrame(rows, "log_db_id string, project_id long, url string, confidence double")
+    pr = fixtures.projects(spark)
+    b = O.result_batches(O.prep_for_posting(df, pr), pr)
+    O.write_batches(b, str(tmp_path / "out"))
+    payloads = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(len(p["stories"]) for p in payloads) == [65, 65]
+    assert {p["project"]["project_id"] for p in payloads} == {0, 1}
+    with pytest.raises(Exception):
+        O.write_batches(b, str(tmp_path / "out"))   # never over an existing run directory
