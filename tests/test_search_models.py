@@ -95,3 +95,12 @@ def test_entry_smoke(spark):
     assert [f.name for f in df.schema.fields] == ["project_id", "batch_no", "n_stories"]
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_general_key_join_equals_direct_filter(spark, monkeypatch):
+    docs = SQ._docs(spark, SMALL)
+    terms = fixtures.project_terms(spark)
+    direct = {(r.project_id, r.doc_id) for r in S.match_projects(docs, terms).collect()}
+    monkeypatch.setattr(S, "DIRECT_MAX_WORDS", 0)       # force the large-vocabulary path
+    general = {(r.project_id, r.doc_id) for r in S.match_projects(docs, terms).collect()}
+    assert direct == general and direct
