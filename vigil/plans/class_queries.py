@@ -178,10 +178,14 @@ def q_embedding_scores(spark, sf_dir):
 
 @query("lr_story_scores")
 def q_lr_scores(spark, sf_dir):
-    """H8 with Spark ML logistic regression: iterative, so no SQL twin."""
+    """H8 with Spark ML logistic regression: iterative, so no SQL twin.  Every
+    project uses the fitted LR model; scoring is the same weight-table join."""
+    from vigil import schemas
+    from vigil.sources.config import literal_table
     mt = C.fit_logistic_regression(training(spark, sf_dir), "quality", model_id=LR_MODEL_ID)
+    models = literal_table(spark, [(LR_MODEL_ID, "quality-lr", "quality_lr", "lr", "tfidf", False, None, None)],
+                           schemas.MODEL)
+    projects = literal_table(spark, [r[:8] + (LR_MODEL_ID,) for r in fixtures.PROJECT_ROWS], schemas.PROJECT)
     s = stories(spark, sf_dir)
-    counts = C.term_counts(s.filter(F.col("story_text").isNotNull()), "story_id", "story_text")
-    sm = s.filter(F.col("story_text").isNotNull()).select(
-        "story_id", F.lit(LR_MODEL_ID).cast("long").alias("model_id"), F.lit(1).alias("stage"))
-    return C.stage_scores(sm, counts, mt).select("story_id", F.round("p", 6).alias("p"))
+    return C.score(s, projects, models, mt, texts=s.select("story_id", "story_text")) \
+        .select("story_id", F.round("model_score", 6).alias("p"))
