@@ -7,10 +7,13 @@ different order differ in the last bits).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vigil.operators import classify as C
 from vigil.plans.registry import query
+from vigil.session import checkpoint_dir
 from vigil.sources import fixtures
 from vigil.sources.tables import table
 
@@ -24,10 +27,27 @@ def training(spark, sf_dir):
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
 
 
+_FITTED: dict[tuple[str, str], str] = {}
+
+
 def model_terms(spark, sf_dir):
     """All stages of all fixture models: each label is fitted once (both in
     one pass over the training texts) and its weights copied to every model
-    stage that uses it."""
+    stage that uses it.
+
+    A fitted model is a table: it is written once per application to the
+    shared checkpoint folder and later queries read it back, as a deployment
+    fits once and scores many runs.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/nb-{uuid.uuid4().hex[:12]}"
+        _fit_model_terms(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _FITTED[key] = path
+    return spark.read.parquet(_FITTED[key])
+
+
+def _fit_model_terms(spark, sf_dir):
     train = training(spark, sf_dir)
     labs = ("quality", "toxic")
     fitted = C.fit_naive_bayes_labels(train, {lab: (0, i) for i, lab in enumerate(labs)})
