@@ -340,3 +340,15 @@ def test_write_batches_round_trip(spark, tmp_path):
     assert {p["project"]["project_id"] for p in payloads} == {0, 1}
     with pytest.raises(Exception):
         O.write_batches(b, str(tmp_path / "out"))   # never over an existing run directory
+
+
+def test_null_text_is_reported_not_scored(spark):
+    stories = spark.createDataFrame([(1, 0, "thing erre"), (2, 0, None)], "story_id long, project_id long, story_text string")
+    mt = spark.createDataFrame([(1, 1, "thing", 1.0, 2.0), (1, 1, None, None, -1.0)], fixtures.schemas.MODEL_TERMS)
+    models = spark.createDataFrame([(1, "m", "m", "nb", "tfidf", False, None, None)], schemas.MODEL)
+    projects = literal_table(spark, [(0, "t", "en", "x", [0], "US", None, 0.5, 1)], schemas.PROJECT)
+    got = {r.story_id: r.model_score for r in C.score(stories, projects, models, mt).collect()}
+    assert got[2] is None and got[1] is not None
+    assert [r.story_id for r in C.unscorable(stories).collect()] == [2]
+    texts = stories.select("story_id", "story_text")
+    assert [r.story_id for r in C.unscorable(stories.drop("story_text"), texts).collect()] == [2]

@@ -310,6 +310,16 @@ def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_term
             .drop("p1", "p2", "chained_models"))
 
 
+def unscorable(stories: DataFrame, texts: DataFrame | None = None, id_col: str = "story_id",
+               text_col: str = "story_text") -> DataFrame:
+    """Q10: (story, project) rows that cannot be scored because the story has
+    no text -- reported as a `bad` output instead of failing the batch."""
+    if text_col in stories.columns:
+        return stories.filter(F.col(text_col).isNull())
+    missing = texts.filter(F.col(text_col).isNull()).select(id_col)
+    return stories.join(missing, id_col, "left_semi")
+
+
 def above_threshold(scored: DataFrame, projects: DataFrame) -> DataFrame:
     """Keep ``confidence >= coalesce(min_confidence, 0)`` (inclusive)."""
     t = projects.select("project_id", F.coalesce("min_confidence", F.lit(0.0)).alias("__min"))

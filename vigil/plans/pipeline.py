@@ -33,6 +33,7 @@ class RunResult:
     scored: DataFrame      # kept + scores
     above: DataFrame       # scored stories at or above their project's threshold
     batches: DataFrame     # (project_id, batch_no, n_stories, payload)
+    bad: DataFrame         # kept stories without text (NULL scores, reported)
 
 
 def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, models: DataFrame,
@@ -61,4 +62,5 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
     prepped = O.prep_for_posting(above.withColumn("source", F.lit(source))
                                  .withColumn("publish_date", F.col("indexed_date")), projects)
     batches = O.result_batches(prepped, projects)
-    return RunResult(found, kept, scored, above, batches)
+    bad = C.unscorable(kept, stories.select("story_id", "story_text"))
+    return RunResult(found, kept, scored, above, batches, bad)
