@@ -352,3 +352,22 @@ def test_null_text_is_reported_not_scored(spark):
     assert [r.story_id for r in C.unscorable(stories).collect()] == [2]
     texts = stories.select("story_id", "story_text")
     assert [r.story_id for r in C.unscorable(stories.drop("story_text"), texts).collect()] == [2]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    # project 0 and one URL hold a third of all rows
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("pos"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7 + 1).cast("long").alias("project_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("https://hot.example.com/story"))
+        .otherwise(F.concat(F.lit("https://x.org/"), F.col("id").cast("string"))).alias("url"))
+    kept = D.dedupe(df, "pos")
+    assert kept.filter("project_id = 0").count() == 1
+    assert kept.count() == 1 + (n - n // 3)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan        # combined in every task before the exchange
+    capped = D.cap_per_project(df, 10, [F.col("pos")])
+    assert capped.filter("project_id = 0").count() == 10
+    nums = D.batch_numbers(df.filter("project_id = 0"), ["pos"], size=100)
+    assert nums.agg(F.max("batch_no")).first()[0] == (n // 3 - 1) // 100

@@ -339,7 +339,7 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
 
     Plan: one scan; each document is tokenised once (positions kept) and its
     probe keys exploded -> broadcast hash join with ``clause_keys`` (the
-    clause table is config-sized; its row count is checked) -> pattern checks
+    clause table is config-sized; its byte size is checked) -> pattern checks
     -> per-clause hit by aggregation (all words of a sequence line up, or a
     near pair within distance, found inside bounded position buckets) ->
     AND/NOT per (document, project).  Repeated single-word hits collapse in
