@@ -13,6 +13,7 @@ from vigil.functions.urls import normalize_url
 from vigil.plans import class_queries as CQ
 from vigil.plans.feed_queries import FEED_CTE
 from vigil.plans.log_queries import LOG_CTE
+from vigil.plans.pipeline_queries import ARCHIVE_SQL as PQ_ARCHIVE_SQL
 from vigil.plans.registry import query
 from vigil.sources import fixtures
 from vigil.sources.tables import table
@@ -102,3 +103,29 @@ def q_stream_scores(spark, sf_dir):
             F.round("model_2_score", 6).alias("model_2_score"), F.round("model_score", 6).alias("model_score"))
     J.run_available(stories.writeStream.foreachBatch(J.foreach_batch_writer(scoring, f"{d}/out")), f"{d}/ck")
     return spark.read.parquet(f"{d}/out").drop("batch_id")
+
+
+def _late_split(spark, sf_dir):
+    from vigil import schemas
+    from vigil.operators import windows as W
+    d = J.run_dir(spark, "late")
+    w = W.query_windows(fixtures.projects(spark), spark.createDataFrame([], schemas.HISTORY),
+                        schemas.SOURCE_MEDIA_CLOUD, fixtures.AS_OF)
+    docs = _stream(spark, sf_dir, "documents")
+    stories = fixtures.stories_from_documents(docs).select(
+        (F.col("story_id") % 10).alias("project_id"), "story_id", "url", "indexed_date",
+        (F.col("indexed_date") - F.make_dt_interval(days=(F.col("story_id") % 3).cast("int"))).alias("publish_date"))
+    J.run_available(stories.writeStream.foreachBatch(J.split_late_writer(w, f"{d}/out")), f"{d}/ck")
+    return d
+
+
+@query("stream_in_window", sql=PQ_ARCHIVE_SQL + "SELECT project_id, story_id, url FROM j WHERE ok")
+def q_stream_in_window(spark, sf_dir):
+    d = _late_split(spark, sf_dir)
+    return spark.read.parquet(f"{d}/out/kept").select("project_id", "story_id", "url")
+
+
+@query("stream_late_rows", sql=PQ_ARCHIVE_SQL + "SELECT project_id, story_id, url FROM j WHERE NOT coalesce(ok, false)")
+def q_stream_late_rows(spark, sf_dir):
+    d = _late_split(spark, sf_dir)
+    return spark.read.parquet(f"{d}/out/late").select("project_id", "story_id", "url")

@@ -96,6 +96,20 @@ def foreach_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path:
     return write
 
 
+def split_late_writer(windows: DataFrame, out_path: str, indexed_col: str = "indexed_date",
+                      published_col: str = "publish_date") -> Callable[[DataFrame, int], None]:
+    """Each micro-batch is split by the query windows into ``kept`` and
+    ``late`` outputs (both written, per batch id, so replays replace)."""
+    from vigil.operators.windows import in_window, late_rows
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        in_window(batch, windows, indexed_col, published_col).write.mode("overwrite") \
+            .parquet(f"{out_path}/kept/batch_id={batch_id}")
+        late_rows(batch, windows, indexed_col, published_col).write.mode("overwrite") \
+            .parquet(f"{out_path}/late/batch_id={batch_id}")
+    return write
+
+
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
