@@ -371,3 +371,22 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert capped.filter("project_id = 0").count() == 10
     nums = D.batch_numbers(df.filter("project_id = 0"), ["pos"], size=100)
     assert nums.agg(F.max("batch_no")).first()[0] == (n // 3 - 1) // 100
+
+
+def test_json_feed_stream_with_explicit_schema(spark, tmp_path):
+    from vigil.streaming.ingest import dedupe_stream, read_stream, run_available
+    src = tmp_path / "feed"
+    src.mkdir()
+    lines = [{"project_id": 1, "url": "https://a.org/x", "normalized_url": "a.org/x",
+              "indexed_date": "2024-01-30T10:00:00"},
+             {"project_id": 1, "url": "https://a.org/x/", "normalized_url": "a.org/x",
+              "indexed_date": "2024-01-30T11:00:00"},
+             {"project_id": 2, "url": "https://a.org/x", "normalized_url": "a.org/x",
+              "indexed_date": "2024-01-30T12:00:00"}]
+    (src / "page-1.json").write_text("\n".join(json.dumps(x) for x in lines))
+    s = read_stream(spark, str(src), schemas.STORY, file_glob="*.json", fmt="json")
+    s = s.withColumn("queued_date", F.col("indexed_date"))
+    out = tmp_path / "out"
+    run_available(dedupe_stream(s).writeStream.format("parquet").option("path", str(out)), str(tmp_path / "ck"))
+    got = sorted((r.project_id, r.normalized_url) for r in spark.read.parquet(str(out)).collect())
+    assert got == [(1, "a.org/x"), (2, "a.org/x")]
