@@ -203,6 +203,7 @@ def fit_centroid_embedding(train: DataFrame, label_col: str, vec_col: str = "emb
 # Scoring (H2-H6)
 # ---------------------------------------------------------------------------
 def sigmoid(s: Column) -> Column:
+    """H3: lr and nb are both a linear score followed by this for two classes."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
@@ -222,6 +223,8 @@ def stage_scores(story_models: DataFrame, counts: DataFrame, model_terms: DataFr
     v = F.col("tf") * F.col("idf")
     agg = feats.groupBy(id_col, "model_id", "stage").agg(
         F.sum(v * F.col("weight")).alias("dot"), F.sqrt(F.sum(v * v)).alias("norm"))
+    # Scores attach by story id (a left join: stories without any known
+    # term still get sigmoid(bias))
     out = (story_models.join(agg, [id_col, "model_id", "stage"], "left")
            .join(bounded_broadcast(bias), ["model_id", "stage"], "left"))
     s = F.coalesce(F.col("bias"), F.lit(0.0)) + F.coalesce(F.col("dot") / F.nullif("norm", F.lit(0.0)), F.lit(0.0))
@@ -302,6 +305,7 @@ def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_term
         F.max(F.when(F.col("stage") == 1, F.col("p"))).alias("p1"),
         F.max(F.when(F.col("stage") == 2, F.col("p"))).alias("p2"))
     out = sp.join(wide, [id_col, "model_id"], "left")
+    # H5: chained models multiply the two stage probabilities
     chained = F.coalesce(F.col("chained_models"), F.lit(False))
     return (out.withColumn("model_1_score", F.when(chained, F.col("p1")))
             .withColumn("model_2_score", F.when(chained, F.col("p2")))

@@ -111,7 +111,7 @@ def none_of(*preds: Column) -> Column:
 
 
 def language(code: str, col: str = "language") -> Column:
-    """C13."""
+    """The story's language equals the project's."""
     return F.lower(F.col(col)) == code.lower()
 
 
@@ -132,6 +132,7 @@ def search(df: DataFrame, pred: Column, title: str = "title", text: str = "story
 # Every project against every document
 # ---------------------------------------------------------------------------
 def _parse_kind(project_terms: DataFrame) -> DataFrame:
+    # A ``title:`` prefix scopes a clause to the title token stream
     k = F.col("kind")
     field = F.when(k.startswith("title:"), F.lit("title")).otherwise(F.lit("all"))
     base = F.regexp_replace(k, "^title:", "")
@@ -405,6 +406,7 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     out = per_doc.join(need, "project_id") \
         .filter((F.col("pos_hits") == F.col("need")) & (F.col("neg_hit") == 0))
     if projects is not None:
+        # B2: the project's language clause (C13), applied to every project at once
         pl = projects.select("project_id", F.lower("language").alias("__pl"))
         out = out.join(bounded_broadcast(pl), "project_id") \
             .filter(F.col("__pl").isNull() | (F.lower("doc_lang") == F.col("__pl")))

@@ -47,6 +47,7 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
     # only light columns travel through de-duplication and the cap; texts
     # are tokenised where they are read, for scoring only
     light = stories.select(*[c for c in stories.columns if c != "story_text"])
+    # Stories split by project = the (project, story) match pairs joined back
     found = matches.join(unbounded(light), "story_id").withColumn("normalized_url", normalize_url("url"))
     kept = D.dedupe(found, order_by="story_id")
     if log is not None:
