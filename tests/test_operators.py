@@ -390,3 +390,15 @@ def test_json_feed_stream_with_explicit_schema(spark, tmp_path):
     run_available(dedupe_stream(s).writeStream.format("parquet").option("path", str(out)), str(tmp_path / "ck"))
     got = sorted((r.project_id, r.normalized_url) for r in spark.read.parquet(str(out)).collect())
     assert got == [(1, "a.org/x"), (2, "a.org/x")]
+
+
+def test_config_lists_keyed_by_id(spark, tmp_path):
+    p = tmp_path / "projects.json"
+    p.write_text(json.dumps([{"id": 7, "title": "x", "language": "en", "search_terms": "a\u00a0b",
+                              "media_collections": [1, 2], "min_confidence": 0.5, "language_model_id": 3}]))
+    r = FD.read_projects(spark, str(p)).first()
+    assert (r.project_id, r.search_terms, r.media_collections, r.language_model_id) == (7, "a b", [1, 2], 3)
+    m = tmp_path / "models.json"
+    m.write_text(json.dumps([{"id": 3, "name": "m", "model_type_1": "nb", "vectorizer_type_1": "tfidf",
+                              "chained_models": False}]))
+    assert FD.read_models(spark, str(m)).first().model_id == 3

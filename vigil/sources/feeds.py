@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil import schemas
 from vigil.functions import text as TX
@@ -25,18 +26,28 @@ def _require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def _with_id(schema: T.StructType, key: str) -> T.StructType:
+    """The schema plus a plain ``id`` field: config lists key records by ``id``."""
+    return T.StructType([*schema.fields, T.StructField("id", T.LongType())])
+
+
+def _read_config(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
+    raw = spark.read.schema(_with_id(schema, key)).option("multiLine", True).json(path)
+    return raw.withColumn(key, F.coalesce(F.col(key), F.col("id"))).select(*schema.fieldNames())
+
+
 def read_projects(spark: SparkSession, path: str) -> DataFrame:
-    """A1: project list (JSON array or JSON lines), explicit schema; NBSP in
-    the search terms becomes a space; an empty list is an error."""
-    df = spark.read.schema(schemas.PROJECT).option("multiLine", True).json(path)
+    """A1: project list (JSON array or JSON lines), explicit schema; records
+    keyed by ``id`` or ``project_id``; NBSP and curly quotes in the search
+    terms are cleaned; an empty list is an error."""
+    df = _read_config(spark, path, schemas.PROJECT, "project_id")
     df = df.withColumn("search_terms", TX.clean_terms("search_terms"))
     return _require_rows(df, "project")
 
 
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    """A2: model list; an empty list is an error."""
-    df = spark.read.schema(schemas.MODEL).option("multiLine", True).json(path)
-    return _require_rows(df, "model")
+    """A2: model list keyed by ``id`` or ``model_id``; an empty list is an error."""
+    return _require_rows(_read_config(spark, path, schemas.MODEL, "model_id"), "model")
 
 
 def with_countries(projects: DataFrame) -> DataFrame:
