@@ -26,13 +26,13 @@ def _require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def _with_id(schema: T.StructType, key: str) -> T.StructType:
+def _with_id(schema: T.StructType) -> T.StructType:
     """The schema plus a plain ``id`` field: config lists key records by ``id``."""
     return T.StructType([*schema.fields, T.StructField("id", T.LongType())])
 
 
 def _read_config(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    raw = spark.read.schema(_with_id(schema, key)).option("multiLine", True).json(path)
+    raw = spark.read.schema(_with_id(schema)).option("multiLine", True).json(path)
     return raw.withColumn(key, F.coalesce(F.col(key), F.col("id"))).select(*schema.fieldNames())
 
 
