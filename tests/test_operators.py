@@ -402,3 +402,45 @@ def test_config_lists_keyed_by_id(spark, tmp_path):
     m.write_text(json.dumps([{"id": 3, "name": "m", "model_type_1": "nb", "vectorizer_type_1": "tfidf",
                               "chained_models": False}]))
     assert FD.read_models(spark, str(m)).first().model_id == 3
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from vigil.session import checkpoint_dir
+    from vigil.streaming.ingest import run_dir
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    d = checkpoint_dir(spark)
+    if named:                       # the cluster's shared folder is used as named
+        assert d == named
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert run_dir(spark, "x").startswith(d.rstrip("/") + "/streams/x-")
+    assert checkpoint_dir(spark) == d
+    assert spark.range(10).checkpoint().count() == 10
+
+
+def test_checkpoint_dir_when_unset_registers_private_folder():
+    from vigil.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("the setting is fixed at start-up and must not be changed")
+
+    class Context:
+        applicationId = "app-without-shared-folder"
+        registered = None
+
+        def getCheckpointDir(self):
+            return self.registered
+
+        def setCheckpointDir(self, d):
+            self.registered = d
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    s = Session()
+    d = checkpoint_dir(s)
+    assert s.sparkContext.registered == d and checkpoint_dir(s) == d

@@ -47,16 +47,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_CHECKPOINTS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is read from the session.  Only when it is unset (local tests)
-    is a private scratch folder created and registered.
+    reach; it is read from the session (Spark applies it to the context at
+    start-up).  Only when it is unset (local tests) is a private scratch
+    folder created and registered with the context -- the setting itself is
+    fixed at start-up and is never changed here.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="vigil-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    app = sc.applicationId
+    if app not in _LOCAL_CHECKPOINTS:
+        _LOCAL_CHECKPOINTS[app] = tempfile.mkdtemp(prefix="vigil-ckpt-")
+        sc.setCheckpointDir(_LOCAL_CHECKPOINTS[app])
+    return _LOCAL_CHECKPOINTS[app]
