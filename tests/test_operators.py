@@ -444,3 +444,12 @@ def test_checkpoint_dir_when_unset_registers_private_folder():
     s = Session()
     d = checkpoint_dir(s)
     assert s.sparkContext.registered == d and checkpoint_dir(s) == d
+
+
+def test_spread_only_touches_narrow_inputs(spark):
+    from vigil.operators.common import spread
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(narrow).rdd.getNumPartitions() == cores
+    assert spread(wide) is wide
