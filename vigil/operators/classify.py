@@ -266,11 +266,12 @@ def with_model(projects: DataFrame, models: DataFrame, check: bool = True) -> Da
     model is missing or invalid is an error."""
     m = models.select("model_id", "chained_models")
     if check:
-        missing = projects.join(m, projects["language_model_id"] == m["model_id"], "left_anti")
-        bad = validate_models(models)
-        problems = missing.select("project_id").limit(5).collect() + bad.limit(5).collect()
+        missing = projects.join(m, projects["language_model_id"] == m["model_id"], "left_anti") \
+            .select(F.format_string("project %d: model %d not found", "project_id", "language_model_id").alias("p"))
+        bad = validate_models(models).select(F.format_string("model %d: %s", "model_id", "reason").alias("p"))
+        problems = [r.p for r in missing.unionByName(bad).limit(10).collect()]   # one small action
         if problems:
-            raise ModelConfigError(f"model problems: {problems}")
+            raise ModelConfigError("model problems: " + "; ".join(problems))
     return projects.join(bounded_broadcast(m), projects["language_model_id"] == m["model_id"])
 
 
