@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import ngram_join, suffix
+from vigil.llm import langid, ngram_join, suffix
 from vigil.sources.tables import table
 
 
@@ -14,6 +14,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), k=5, num=75, den=100)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(table(spark, sf_dir, "documents"), ranks=langid.RANKS)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.verbatim_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     return suffix.judge(found, times=20).select(
@@ -23,7 +27,15 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
+
+
+def load() -> tuple[dict, dict]:
+    """All queries and oracles of the package, the corpus pipeline included."""
+    import corpus_pipeline
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLES | sql

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
+from vigil.llm.storage import Scratch
 
 BLOCK_BYTES = 16 << 20      # test items held by a task at once
 
@@ -169,12 +170,12 @@ def _matches(words: K.Words, items: TestItems):
     return row[head], item[head], pos[head], where[head] - words.first[row[head]], pos[tail] - pos[head] + width[tail]
 
 
-def _scan(batches: Iterator[pa.RecordBatch], items_b) -> Iterator[pa.RecordBatch]:
-    """Per document: number of words, and its matches."""
+def _scan(batches: Iterator[pa.RecordBatch], items_b, text_at: int, keep: list[int]) -> Iterator[pa.RecordBatch]:
+    """Per document: the kept columns, number of words, and its matches."""
     items: TestItems = items_b.value
     ids = np.array(items.ids, dtype=object)
     for batch in batches:
-        data, off = K.string_parts(batch.column(1))
+        data, off = K.string_parts(batch.column(text_at))
         for a, b in K.slices(off, 4 * K.SLICE_BYTES):
             words = K.Words(data[off[a]:off[b]], off[a:b + 1] - off[a], K.ALNUM, lower=True)
             row, item, item_start, doc_start, length = _matches(words, items)
@@ -184,48 +185,47 @@ def _scan(batches: Iterator[pa.RecordBatch], items_b) -> Iterator[pa.RecordBatch
             found = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays(
                 fields, ["item_id", "item_start", "doc_start", "length"]))
             yield pa.RecordBatch.from_arrays(
-                [c.slice(a, b - a) for c in [batch.column(0), *batch.columns[2:]]]
-                + [pa.array(np.diff(words.first)), found], [batch.schema.names[0], *batch.schema.names[2:], "n_words", "matches"])
+                [batch.column(i).slice(a, b - a) for i in keep] + [pa.array(np.diff(words.first)), found],
+                [*(batch.schema.names[i] for i in keep), "n_words", "matches"])
 
 
 MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.StructField("item_start", T.LongType()),
                                   T.StructField("doc_start", T.LongType()), T.StructField("length", T.LongType())]))
 
 
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, window: int, block_bytes: int) -> Iterator:
+    """The test items as broadcast blocks of about ``block_bytes`` of text."""
+    test = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    test = test.filter(F.col("text").isNotNull())
+    size = test.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // block_bytes))
+    for b in range(n):
+        got = test.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
+        yield n, items.sparkSession.sparkContext.broadcast(
+            TestItems([r.item_id for r in got], [r.text for r in got], window))
+
+
 def verbatim_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      item_id_col: str = "item_id", item_text_col: str = "text", window: int = 13,
-                     block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None) -> DataFrame:
-    """(id, [carried columns], n_words, matches) for every row of ``docs``.
+                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, n_words, matches) for every row of ``docs``.
 
     ``matches`` lists every maximal verbatim match of at least one window:
     item, first word in the item, first word in the document, words.  Test
     items beyond ``block_bytes`` are searched block by block and the blocks'
-    matches are joined per document.
+    matches are joined per row.
     """
-    spark = docs.sparkSession
-    test = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    size = test.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    carry = carry or []
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carry)
-    schema = T.StructType([src.schema["id"], *[src.schema[c] for c in carry],
-                           T.StructField("n_words", T.LongType()), T.StructField("matches", MATCH)])
-    if blocks > 1:
-        if carry:
-            raise ValueError("carried columns need the test items to fit one block")
-        src = src.withColumn("row", F.monotonically_increasing_id())
-        schema = T.StructType([src.schema["id"], src.schema["row"], *schema.fields[1:]])
-    out = None
-    for b in range(blocks):
-        part = test if blocks == 1 else test.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        got = part.filter(F.col("text").isNotNull()).collect()       # one bounded block
-        held = spark.sparkContext.broadcast(TestItems([r.item_id for r in got], [r.text for r in got], window))
-        found = src.mapInArrow(partial(_scan, items_b=held), schema)
+    src = docs.select(F.col(id_col).alias(id_col), F.monotonically_increasing_id().alias("__row"),
+                      F.col(text_col).cast("string").alias("__text"))
+    schema = T.StructType([*src.schema.fields[:2], T.StructField("n_words", T.LongType()), T.StructField("matches", MATCH)])
+    out, n = None, 1
+    for n, held in _blocks(items, item_id_col, item_text_col, window, block_bytes):
+        found = src.mapInArrow(partial(_scan, items_b=held, text_at=2, keep=[0, 1]), schema)
         out = found if out is None else out.unionByName(found)
-    if blocks > 1:
-        out = (out.groupBy("id", "row").agg(F.first("n_words").alias("n_words"),
-                                            F.flatten(F.collect_list("matches")).alias("matches")).drop("row"))
-    return out.withColumnRenamed("id", id_col)
+    if n > 1:       # a row's matches of all blocks; bounded by the row's own text
+        out = out.groupBy(id_col, "__row").agg(F.first("n_words").alias("n_words"),
+                                               F.flatten(F.collect_list("matches")).alias("matches"))
+    return out.drop("__row")
 
 
 def judge(found: DataFrame, times: int = 20) -> DataFrame:
@@ -245,10 +245,23 @@ def judge(found: DataFrame, times: int = 20) -> DataFrame:
             .drop("__ids"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the contaminated ones, all columns as they were."""
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                  item_text_col: str = "text", window: int = 13, times: int = 20,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the contaminated ones, all columns as they were.  With
+    several blocks of test items the blocks' judgement is joined by row."""
     names = docs.columns
-    packed = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"),
-                         F.struct(*[F.col(c) for c in names]).alias("__row"))
-    found = judge(verbatim_matches(packed, items, "__id", "__text", carry=["__row"], **options))
-    return found.filter(~F.col("contaminated")).select("__row.*")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = names.index(text_col)
+    extra = [T.StructField("n_words", T.LongType()), T.StructField("matches", MATCH)]
+    blocks = list(_blocks(items, item_id_col, item_text_col, window, block_bytes))
+    if len(blocks) == 1:
+        found = rows.mapInArrow(partial(_scan, items_b=blocks[0][1], text_at=at, keep=list(range(len(names)))),
+                                T.StructType([*rows.schema.fields, *extra]))
+        return judge(found, times).filter(~F.col("contaminated")).select(
+            *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    run = Scratch(docs.sparkSession, "decontaminate")
+    rows = run.keep(rows.withColumn("row", F.expr("uuid()")), "rows")
+    bad = judge(verbatim_matches(rows, items, "row", f"c{at}", item_id_col, item_text_col, window, block_bytes), times)
+    kept = rows.join(bad.filter("contaminated").select("row"), "row", "left_anti")
+    return kept.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
