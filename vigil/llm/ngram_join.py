@@ -282,3 +282,22 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .withColumn("own", F.coalesce("component", "rep", "id")))
     return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                         F.when(F.col("id").isNotNull(), F.col("own")).alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group of near copies, that of the
+    smallest id, all columns as they were.  Of rows that share an id one stays
+    (the first by text).  Documents with a null id, or without words, stay."""
+    names = docs.columns
+    groups = ngram_jaccard_join(docs, id_col, text_col, **options)
+    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
+    kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    c_id, c_text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    kept = kept.join(bounded_broadcast(gone), F.col(c_id) == F.col("__id"), "left_anti")
+    twice = groups.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
+    again = kept.join(bounded_broadcast(twice), F.col(c_id) == F.col("__id"), "left_semi")
+    once = kept.join(bounded_broadcast(twice), F.col(c_id) == F.col("__id"), "left_anti")
+    words = F.col(c_text).cast("string").rlike(r"[^\x20\x09-\x0D]")
+    first = Window.partitionBy(c_id, F.coalesce(words, F.lit(False))).orderBy(F.xxhash64(c_text), c_text)
+    again = again.withColumn("__n", F.row_number().over(first)).filter((F.col("__n") == 1) | ~F.coalesce(words, F.lit(False))).drop("__n")
+    return once.unionByName(again).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

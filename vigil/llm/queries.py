@@ -3,10 +3,11 @@ by name, and DuckDB SQL for those that SQL can express."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, ngram_join, suffix
+from vigil.llm import langid, mixing, ngram_join, records, suffix
 from vigil.sources.tables import table
 
 
@@ -25,13 +26,25 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.col("matches").alias("verbatim_matches"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents")).drop("first_slot")
+
+
+def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op9_mixing": op9_mixing,
+    "op10_binary_records": op10_binary_records,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_mixing": mixing.MIX_SQL.strip(),
+}
 
 
 def load() -> tuple[dict, dict]:

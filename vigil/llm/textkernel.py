@@ -75,6 +75,22 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         a = b
 
 
+def span_hash(chars: np.ndarray, lengths: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of each of the consecutive, non-empty spans that ``chars`` consists of."""
+    if not len(chars):
+        return np.zeros(0, U64)
+    at = np.zeros(len(lengths), np.int64)
+    np.cumsum(lengths[:-1], out=at[1:])
+    inside = np.arange(len(chars)) - np.repeat(at, lengths)
+    powers = np.empty(int(lengths.max()), U64)
+    powers[0] = 1
+    powers[1:] = _POLY
+    np.multiply.accumulate(powers, out=powers)
+    value = _BYTE_VALUE[_LOWER] if lower else _BYTE_VALUE
+    total = np.add.reduceat(value[chars] * powers[inside], at)
+    return mix(total ^ (lengths.astype(U64) * U64(_GOLD)))
+
+
 class Words:
     """The words of some rows: ``hash`` per word, ``first[i]:first[i+1]`` the
     words of row i, ``start``/``end`` byte positions."""
@@ -95,21 +111,7 @@ class Words:
         self.first = np.searchsorted(self.start, offsets).astype(np.int64)
         self.n_rows = n_rows
         self.length = self.end - self.start
-        self.hash = self._hash(data[is_word], lower)
-
-    def _hash(self, chars: np.ndarray, lower: bool) -> np.ndarray:
-        if not len(chars):
-            return np.zeros(0, U64)
-        at = np.zeros(len(self.length), np.int64)
-        np.cumsum(self.length[:-1], out=at[1:])
-        inside = np.arange(len(chars)) - np.repeat(at, self.length)
-        powers = np.empty(int(self.length.max()), U64)
-        powers[0] = 1
-        powers[1:] = _POLY
-        np.multiply.accumulate(powers, out=powers)
-        value = _BYTE_VALUE[_LOWER] if lower else _BYTE_VALUE
-        total = np.add.reduceat(value[chars] * powers[inside], at)
-        return mix(total ^ (self.length.astype(U64) * U64(_GOLD)))
+        self.hash = span_hash(data[is_word], self.length, lower)
 
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_rows), np.diff(self.first))
