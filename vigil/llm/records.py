@@ -27,6 +27,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ from vigil.llm.storage import Scratch
 from vigil.operators.common import bounded_broadcast
 
 _MASK = 0xA282EAD8
-_CACHE_CHUNKS, _CACHE_IDS = 1_000_000, 8_000_000
+_TABLE_BITS = 22            # places for held chunks
+_STORE_IDS = 24_000_000     # ids of held chunks
 
 
 def masked_crc(data: bytes) -> int:
@@ -72,10 +74,16 @@ def unpack_ids(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, "<u2" if payload[0] == 2 else "<u4", offset=1)
 
 
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Byte positions where a chunk begins: each non-empty row's start, and each
+_ASCII_ALNUM = ~K.byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+_ASCII_MARK = ~K.byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Byte positions where a chunk begins: each non-empty row's start, each
     space or newline after a character that is certainly no white space (ASCII
-    21-7E, or a longer character whose lead byte no white space has)."""
+    21-7E, or a longer character whose lead byte no white space has), and each
+    byte of ``marks`` (ASCII marks) after an ASCII letter or digit: the
+    pre-tokenizer's letters and digits never go on into either."""
     gap = np.flatnonzero((data == 0x20) | (data == 0x0A))
     gap = gap[gap > 0]
     prev = data[gap - 1]
@@ -86,53 +94,69 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ok[tail] = ((two >= 0xC3) & (two <= 0xDF)) | (((two & 0xC0) == 0x80) & (
         (three >= 0xE4) & (three <= 0xEF) | ((three & 0xC0) == 0x80) & (four >= 0xF0)))
     rows = offsets[:-1][offsets[:-1] < offsets[1:]]
-    return np.union1d(gap[ok], rows)
+    begin = np.zeros(len(data) + 1, bool)
+    begin[gap[ok]] = True
+    begin[rows] = True
+    begin[1:-1] |= marks[data[1:]] & _ASCII_ALNUM[data[:-1]]
+    return np.flatnonzero(begin[:-1])
 
 
 class ChunkEncoder:
-    """Encodes rows with a tokenizer, each distinct chunk once while it is held."""
+    """Encodes rows with a tokenizer, each distinct chunk once while it is held.
+
+    The held chunks are a table of 2^22 places addressed by the chunk's hash; a
+    new chunk takes the place of the one it meets there."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        # no chunk begins inside an added token, which is found before the pre-tokenizer runs
+        self.marks = _ASCII_MARK.copy()
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            if set(token.content) & {" ", "\n"} or token.lstrip or token.rstrip:
+                raise ValueError(f"added token {token.content!r} takes in white space")
+            self.marks[np.frombuffer(token.content.encode(), np.uint8)] = False
         self._forget()
 
     def _forget(self):
-        self.known = np.zeros(0, np.uint64)     # hashes, ascending
-        self.at = np.zeros(0, np.int64)         # where their ids begin in the store
-        self.size = np.zeros(0, np.int64)
-        self.store = np.zeros(0, np.uint32)
+        self.hash = np.zeros(1 << _TABLE_BITS, np.uint64)
+        self.at = np.zeros(1 << _TABLE_BITS, np.uint32)       # where the chunk's ids begin in the store
+        self.size = np.full(1 << _TABLE_BITS, -1, np.int32)
+        self.store = np.zeros(1 << 16, np.uint16 if self.width == 2 else np.uint32)
+        self.used = 0
 
-    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        at = len(self.store) + np.cumsum(size) - size
-        self.store = np.concatenate([self.store, np.array([i for x in got for i in x], np.uint32)])
-        place = np.searchsorted(self.known, hashes)
-        self.known = np.insert(self.known, place, hashes)
-        self.at = np.insert(self.at, place, at)
-        self.size = np.insert(self.size, place, size)
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        total = int(size.sum())
+        if self.used + total > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros(max(total, len(self.store)), self.store.dtype)])
+        self.store[self.used:self.used + total] = np.fromiter(chain.from_iterable(got), self.store.dtype, total)
+        at = self.used + np.cumsum(size) - size
+        self.used += total
+        place = hashes >> np.uint64(64 - _TABLE_BITS)
+        self.hash[place], self.at[place], self.size[place] = hashes, at, size
+        return at, size
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of row i are ``ids[first[i]:first[i+1]]``."""
-        if len(self.known) > _CACHE_CHUNKS or len(self.store) > _CACHE_IDS:
+        if self.used > _STORE_IDS:
             self._forget()
-        start = chunk_starts(data, offsets)
+        start = chunk_starts(data, offsets, self.marks)
         end = np.append(start[1:], len(data))
-        h, one, which = np.unique(K.span_hash(data, end - start), return_index=True, return_inverse=True)
-        spot = np.searchsorted(self.known, h)
-        new = np.ones(len(h), bool)
-        if len(self.known):
-            new = self.known[np.minimum(spot, len(self.known) - 1)] != h
-        if new.any():
+        h = K.span_hash(data, end - start)
+        place = h >> np.uint64(64 - _TABLE_BITS)
+        at, size = self.at[place].astype(np.int64), self.size[place].astype(np.int64)
+        new = np.flatnonzero((self.hash[place] != h) | (size < 0))
+        if len(new):
+            distinct, one, which = np.unique(h[new], return_index=True, return_inverse=True)
             raw = data.tobytes()
-            self._learn(h[new], [raw[start[i]:end[i]].decode() for i in one[new]])
-        entry = np.searchsorted(self.known, h)[which]
-        size = self.size[entry]
+            new_at, new_size = self._learn(distinct, [raw[start[i]:end[i]].decode() for i in new[one]])
+            at[new], size[new] = new_at[which], new_size[which]
         total = np.append(0, np.cumsum(size))
-        ids = self.store[np.repeat(self.at[entry] - total[:-1], size) + np.arange(total[-1])]
+        ids = self.store[np.repeat(at - total[:-1], size) + np.arange(total[-1])]
         return ids, total[np.searchsorted(start, offsets)]
 
 
