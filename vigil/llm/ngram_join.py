@@ -11,11 +11,13 @@ only where the product can reach the threshold:
 3. The product is evaluated first against one central document per shingle,
    and verified links are contracted to components, so a group of thousands
    of near copies costs one check per copy instead of all pairs.
-4. What is left, pairs of different components that share a shingle, is
-   multiplied in full: overlaps are summed over all shared columns and pairs
-   whose sum cannot reach ``ceil(t (nx + ny) / (1 + t))`` are discarded, by the
-   counts of the columns that any document of another component shares and by
-   the prefix overlap.  The others are verified on their whole sets.
+4. What is left are pairs of different components that share a shingle.  In a
+   family (documents with the same central document) the whole product is
+   evaluated block by block.  Other pairs are multiplied over the prefix
+   columns: overlaps are summed, and pairs that cannot reach
+   ``ceil(t (nx + ny) / (1 + t))`` are discarded, first by how much of either
+   document other components share at all, then by the pair's own sum; the
+   rest are verified on their whole sets.
 
 Every link between different sets is either found, or lies inside a component
 that is already connected; the components are exact (up to collisions of
@@ -44,6 +46,7 @@ from vigil.llm.components import connected_components
 from vigil.llm.storage import Scratch
 from vigil.operators.common import bounded_broadcast
 
+BLOCK_SHINGLES = 100_000    # entries of a block of the product of a family
 COUNT_BITS = 18     # the shingle count table has 2^18 cells, whatever the input
 
 
@@ -187,6 +190,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             .filter(F.col("o") * den >= F.col("w") * num).select("u", "v"))
 
 
+def _block_links(table: pa.Table, num: int, den: int) -> pa.Table:
+    """One block of the product: of the documents of two blocks of a family
+    (rows comp, block, n, shingles), which components a pair links.  Columns
+    are taken 4096 at a time; a spanning part of the links comes back."""
+    table = table.combine_chunks()
+    comp = np.array(table.column("comp").to_pylist(), dtype=object)
+    block, lists = table.column("block").to_numpy(), table.column("shingles").combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
+    n = len(comp)
+    flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(n), size)
+    by = np.argsort(flat, kind="stable")
+    flat, owner = flat[by], owner[by]
+    head = np.append(True, flat[1:] != flat[:-1]) if len(flat) else np.zeros(0, bool)
+    column = np.cumsum(head) - 1
+    several = (np.bincount(column) > 1)[column] if len(column) else head
+    owner, column = owner[several], column[several]
+    overlap = np.zeros((n, n), np.float32)
+    cuts = np.unique(column)
+    for a in range(0, len(cuts), 4096):
+        lo, hi = np.searchsorted(column, cuts[a]), np.searchsorted(column, cuts[min(a + 4096, len(cuts)) - 1], side="right")
+        part = np.zeros((n, min(4096, len(cuts) - a)), np.float32)
+        part[owner[lo:hi], np.searchsorted(cuts, column[lo:hi]) - a] = 1
+        overlap += part @ part.T
+    o = overlap.astype(np.int64)
+    linked = o * den >= (size[:, None] + size[None, :] - o) * num
+    wanted = block[:, None] != block[None, :] if len(np.unique(block)) > 1 else np.ones((n, n), bool)
+    root = {c: c for c in comp}
+
+    def find(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    u, v = [], []
+    for i, j in zip(*np.nonzero(np.triu(linked & wanted, 1) & (comp[:, None] != comp[None, :]))):
+        x, y = find(comp[i]), find(comp[j])
+        if x != y:
+            root[x] = y
+            u.append(comp[i]), v.append(comp[j])
+    return pa.table([pa.array(u, table.schema.field("comp").type), pa.array(v, table.schema.field("comp").type)], ["u", "v"])
+
+
+def _family_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (u, v) between components inside families, documents with the same
+    central document: the full product of a family in blocks of about
+    ``BLOCK_SHINGLES`` entries, each pair of blocks a task of its own."""
+    sizes = members.groupBy("family").agg(F.sum("n").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    sizes = sizes.filter("lo < hi").select("family", F.ceil(F.col("all") / BLOCK_SHINGLES).alias("blocks"))
+    dealt = members.select("rep", "comp", "family").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    paired = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+    rows = paired.join(sets.withColumnRenamed("id", "rep").hint("merge"), "rep").select("family", "low", "high", "comp", "block", "shingles")
+    kind = members.schema["comp"].dataType
+
+    def block(part: pa.Table) -> pa.Table:
+        return _block_links(part, num, den)
+
+    return rows.groupBy("family", "low", "high").applyInArrow(
+        block, T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
+
+
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                        num: int = 75, den: int = 100, star_rounds: int = 1) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``: the size of
@@ -224,6 +288,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     central = shared.groupBy("rep", "n").agg(weight.alias("share"))
     rows = run.keep(shared.join(central, ["rep", "n"]), "rows")
     links: DataFrame | None = None
+    stars: DataFrame | None = None
     comp = rows.select(F.col("rep").alias("node")).distinct().withColumn("component", F.col("node"))
 
     def labelled(r: DataFrame) -> DataFrame:
@@ -250,37 +315,50 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = _verified(star, sets, num, den)
         links = run.keep(found if links is None else links.unionByName(found), f"links-{i}")
         comp = connected_components(links, run, f"cc-{i}")
-        run.drop(f"star-{i}")
+        stars = star if stars is None else stars.unionByName(star)
 
     # the rest of the product: pairs of different components
     open_rows = run.keep(labelled(rows), "open")
-    ids = open_rows.select(F.col("rep").alias("id")).distinct()
-    sets = run.keep(src.join(bounded_broadcast(ids), "id", "left_semi")
-                    .mapInArrow(partial(_whole_sets, k=k), schema(id=id_type, shingles=longs)), "sets")
-    usable = (labelled(sets.select(F.col("id").alias("rep"), F.explode("shingles").alias("h")).distinct())
+    shares = open_rows.groupBy("rep", "n", "comp").agg(F.count(F.lit(1)).alias("open"))
+    enough = _need(F.col("n"), F.col("n"), num, den) - _rest(F.col("n"), num, den)
+    shares = run.keep(shares.withColumn("strong", F.col("open") >= enough), "shares")
+    # documents that share much of their prefix with other components: how much of the whole set is shared
+    strong = shares.filter("strong").select(F.col("rep").alias("id")).distinct()
+    whole = run.keep(src.join(bounded_broadcast(strong), "id", "left_semi")
+                     .mapInArrow(partial(_whole_sets, k=k), schema(id=id_type, shingles=longs)), "whole")
+    usable = (labelled(whole.select(F.col("id").alias("rep"), F.explode("shingles").alias("h")).distinct())
               .groupBy("rep").agg(F.count(F.lit(1)).alias("usable")))
-    # a document can only link if enough of its set is shared with other components
-    side = (open_rows.join(usable, "rep").filter(F.col("usable") * den >= F.col("n") * num)
-            .select("h", "rep", "n", "comp", "usable"))
+    family = stars.groupBy(F.col("u").alias("rep")).agg(F.min("v").alias("family"))
+    shares = run.keep(shares.join(usable, "rep", "left").join(family, "rep", "left")
+                      .withColumn("usable", F.coalesce("usable", F.lit(0))).withColumn("family", F.coalesce("family", "rep")), "limits")
+    in_family = _family_links(shares.filter(F.col("strong") & (F.col("usable") * den >= F.col("n") * num)), whole, num, den)
+    side = open_rows.select("h", "rep", "n").join(shares, ["rep", "n"])
     a, b = side.alias("a"), side.alias("b")
     need = _need(F.col("a.n"), F.col("b.n"), num, den)
+    rest = F.greatest(_rest(F.col("a.n"), num, den), _rest(F.col("b.n"), num, den))
     pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") < F.col("b.comp"))
                     & (F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num)
-                    & (F.least("a.usable", "b.usable") >= need))
+                    & (F.least("a.open", "b.open") + rest >= need)
+                    & (~(F.col("a.strong") & F.col("b.strong"))
+                       | (F.least("a.usable", "b.usable") >= need) & (F.col("a.family") != F.col("b.family"))))
              .groupBy(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"), F.col("a.n").alias("nu"), F.col("b.n").alias("nv"))
              .agg(F.count(F.lit(1)).alias("o"))
              .filter(F.col("o") + F.greatest(_rest(F.col("nu"), num, den), _rest(F.col("nv"), num, den))
                      >= _need(F.col("nu"), F.col("nv"), num, den)))
-    found = _verified(pairs, sets, num, den)
+    pairs = run.keep(pairs.select("u", "v").distinct(), "pairs")
+    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    sets = (src.join(bounded_broadcast(ids), "id", "left_semi")
+            .mapInArrow(partial(_whole_sets, k=k), schema(id=id_type, shingles=longs)))
+    found = _verified(pairs, sets, num, den).unionByName(in_family)
     links = run.keep(found if links is None else links.unionByName(found), "links")
     comp = connected_components(links, run, "cc")
 
     reps = keys.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     # every row's class, then the component of the class; rows that share an id share the node
-    whole = (keys.join(reps, ["n", "s1", "s2"], "left")
+    result = (keys.join(reps, ["n", "s1", "s2"], "left")
              .join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .withColumn("own", F.coalesce("component", "rep", "id")))
-    return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                         F.when(F.col("id").isNotNull(), F.col("own")).alias("component_id"))
 
 
