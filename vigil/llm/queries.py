@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, mixing, ngram_join, records, suffix
+from vigil.llm import langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
 from vigil.sources.tables import table
 
 
@@ -15,6 +15,19 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), k=5, num=75, den=100)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").withColumn("path", licenses.url_path(F.col("url")))
+    return licenses.scan(pages, id_col="page_id", path_col="path", text_col="html")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"), urlfilter.RULES)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(table(spark, sf_dir, "documents"), ranks=langid.RANKS)
 
@@ -26,6 +39,15 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.col("matches").alias("verbatim_matches"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return subword.score(docs, subword.fit(docs, table(spark, sf_dir, "labels"), sample=subword.SAMPLE), threshold=0.3)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.judge_lines(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).drop("first_slot")
 
@@ -36,13 +58,19 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
+    "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_binary_records": op10_binary_records,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_quality_rules": lines.LINES_SQL.strip(),
     "op9_mixing": mixing.MIX_SQL.strip(),
 }
 
