@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
+from vigil.llm.storage import small_batches
 
 UNKNOWN = "und"
 RANKS = 300                 # n-grams of a profile, and of a document
@@ -220,6 +221,7 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    ranks: int = RANKS) -> Profiles:
     """Profiles from all documents that are not held out and have a language.
     Only ``ranks`` rows per language come to the driver."""
+    small_batches(docs.sparkSession)
     train = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counts = (train.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -231,6 +233,7 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of ``docs`` (all: ``keep=None``), under the names c0, c1,
     ..., with ``lang_pred`` and ``score`` (1 - distance / largest distance)."""
+    small_batches(docs.sparkSession)
     names = keep if keep is not None else docs.columns
     rows = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)], F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

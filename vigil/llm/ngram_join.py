@@ -43,10 +43,11 @@ from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
 from vigil.llm.components import connected_components
-from vigil.llm.storage import Scratch
+from vigil.llm.storage import Scratch, small_batches
 from vigil.operators.common import bounded_broadcast
 
-BLOCK_SHINGLES = 100_000    # entries of a block of the product of a family
+BLOCK_SHINGLES = 100_000    # entries of a block of the product of a family, about
+BLOCK_DOCS = 256            # and its documents
 COUNT_BITS = 18     # the shingle count table has 2^18 cells, whatever the input
 
 
@@ -131,9 +132,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, cou
 
 def _whole_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [s for _, s in _sets(batch, k)]
-        for a in range(0, len(found), 512):
-            yield pa.RecordBatch.from_arrays([batch.column(0)[a:a + 512], _long_lists(found[a:a + 512])], ["id", "shingles"])
+        held: list[np.ndarray] = []
+        for r, s in _sets(batch, k):
+            held.append(s)
+            if len(held) == 256 or r + 1 == batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(r + 1 - len(held), len(held)), _long_lists(held)], ["id", "shingles"])
+                held = []
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +239,10 @@ def _block_links(table: pa.Table, num: int, den: int) -> pa.Table:
 def _family_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (u, v) between components inside families, documents with the same
     central document: the full product of a family in blocks of about
-    ``BLOCK_SHINGLES`` entries, each pair of blocks a task of its own."""
-    sizes = members.groupBy("family").agg(F.sum("n").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    sizes = sizes.filter("lo < hi").select("family", F.ceil(F.col("all") / BLOCK_SHINGLES).alias("blocks"))
+    ``BLOCK_DOCS`` documents and ``BLOCK_SHINGLES`` entries, each pair of blocks a task of its own."""
+    sizes = members.groupBy("family").agg(F.sum("n").alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                            F.count(F.lit(1)).alias("docs"))
+    sizes = sizes.filter("lo < hi").select("family", F.greatest(F.ceil(F.col("all") / BLOCK_SHINGLES), F.ceil(F.col("docs") / BLOCK_DOCS)).alias("blocks"))
     dealt = members.select("rep", "comp", "family").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     paired = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
@@ -257,6 +262,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its set of ``k``-word shingles and the smallest id reachable over links
     with Jaccard >= ``num/den``."""
     spark = docs.sparkSession
+    small_batches(spark)
     run = Scratch(spark, "ngram-join")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = src.schema["id"].dataType

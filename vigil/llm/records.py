@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import Scratch
+from vigil.llm.storage import Scratch, small_batches
 from vigil.operators.common import bounded_broadcast
 
 _MASK = 0xA282EAD8
-_TABLE_BITS = 22            # places for held chunks
-_STORE_IDS = 24_000_000     # ids of held chunks
+_TABLE_BITS = 21            # places for held chunks
+_STORE_IDS = 12_000_000     # ids of held chunks
 
 
 def masked_crc(data: bytes) -> int:
@@ -104,7 +104,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> np
 class ChunkEncoder:
     """Encodes rows with a tokenizer, each distinct chunk once while it is held.
 
-    The held chunks are a table of 2^22 places addressed by the chunk's hash; a
+    The held chunks are a table of 2^21 places addressed by the chunk's hash; a
     new chunk takes the place of the one it meets there."""
 
     def __init__(self, path: str):
@@ -231,6 +231,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "d
     ``folder/index``.  ``before`` counts the ids of the part's earlier records;
     parts are in ascending order of id."""
     spark = docs.sparkSession
+    small_batches(spark)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     long = T.LongType()
     schema = T.StructType([src.schema["id"], T.StructField("part", T.IntegerType()), T.StructField("offset", long),

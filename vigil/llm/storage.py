@@ -14,6 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.session import checkpoint_dir
 
 
+ARROW_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows that travel to Python at once: whole texts may be long, and the
+    usual 10,000 of them need memory in the JVM and in the worker.  A smaller
+    setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 class Scratch:
     """One run's folder below ``spark.checkpoint.dir``."""
 

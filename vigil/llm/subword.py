@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
 from vigil.llm.langid import held_out
+from vigil.llm.storage import small_batches
 
 SAMPLE = 4000        # labelled documents that train
 BITS = 16            # 2^16 cells
@@ -136,6 +137,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample: int = SAMPLE, bits: int = BITS) -> Model:
     """Trains in one task on at most ``sample`` labelled documents that are not held out."""
+    small_batches(docs.sparkSession)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
         F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     chosen = usable.orderBy(F.xxhash64("id"), "id", "label").limit(sample)      # at most ``sample`` rows
@@ -162,6 +164,7 @@ def _score(batches: Iterator[pa.RecordBatch], model_b) -> Iterator[pa.RecordBatc
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, held_out, score, predicted) per document."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     held = docs.sparkSession.sparkContext.broadcast(model)
     out = src.mapInArrow(partial(_score, model_b=held), T.StructType([src.schema["id"], T.StructField("score", T.DoubleType())]))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import Scratch
+from vigil.llm.storage import Scratch, small_batches
 
 BLOCK_BYTES = 16 << 20      # test items held by a task at once
 
@@ -195,6 +195,7 @@ MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.St
 
 def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, window: int, block_bytes: int) -> Iterator:
     """The test items as broadcast blocks of about ``block_bytes`` of text."""
+    small_batches(items.sparkSession)
     test = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     test = test.filter(F.col("text").isNotNull())
     size = test.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20          # rows are hashed in slices of about this many bytes
+SLICE_BYTES = 1 << 18          # rows are hashed in slices of about this many bytes
 _GOLD = 0x9E3779B97F4A7C15     # 2^64 / golden ratio, the usual odd mixing constant
 _POLY = U64(0xD6E8FEB86659FD93)
 

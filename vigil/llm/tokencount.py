@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
+from vigil.llm.storage import small_batches
 
 CHUNK, OVERLAP = 16_384, 256     # characters
 SPACE_PIECE = "▁"
@@ -92,6 +93,7 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, chunk: int, overlap: in
 def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096,
                  chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) per document."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([src.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     out = src.mapInArrow(partial(_count, path=model, chunk=chunk, overlap=overlap), schema)
