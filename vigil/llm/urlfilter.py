@@ -51,7 +51,9 @@ def matching_rule(host: Column, path: Column, rules) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*["']?([^"'>]*)""", 1)
+    """Value of an attribute: in either quotes, or bare up to white space."""
+    value = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, value, i) for i in (1, 2, 3)])
 
 
 def link_targets(html: Column) -> Column:
@@ -60,7 +62,7 @@ def link_targets(html: Column) -> Column:
     canonical = F.transform(F.filter(tags, lambda t: F.lower(_attribute(t, "rel")).rlike(r"(^|\s)canonical(\s|$)")),
                             lambda t: _attribute(t, "href"))
     refresh = F.transform(F.filter(tags, lambda t: F.lower(F.trim(_attribute(t, "http-equiv"))) == "refresh"),
-                          lambda t: F.regexp_extract(t, r"""(?is)content\s*=\s*["']?\s*[0-9.]*\s*[;,]\s*url\s*=\s*["']?([^"'>]*)""", 1))
+                          lambda t: F.regexp_extract(_attribute(t, "content"), r"""(?is)^\s*[0-9.]*\s*[;,]\s*url\s*=\s*["']?([^"']*)""", 1))
     return F.filter(F.concat(canonical, refresh), lambda x: F.trim(x) != "")
 
 
