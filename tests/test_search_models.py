@@ -97,10 +97,35 @@ def test_entry_smoke(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_general_key_join_equals_direct_filter(spark, monkeypatch):
-    docs = SQ._docs(spark, SMALL)
-    terms = fixtures.project_terms(spark)
-    direct = {(r.project_id, r.doc_id) for r in S.match_projects(docs, terms).collect()}
-    monkeypatch.setattr(S, "DIRECT_MAX_WORDS", 0)       # force the large-vocabulary path
-    general = {(r.project_id, r.doc_id) for r in S.match_projects(docs, terms).collect()}
-    assert direct == general and direct
+def test_edge_searches_equal_builders(spark):
+    docs = spark.createDataFrame(
+        [(1, "", "the big other thing"), (2, "", "big thing"), (3, "", "woman killed"), (4, "", "zebra a woman killed b"),
+         (5, "", "killed x x x x x woman zebra"), (6, "", "axb (ban 12"), (7, "the the", "urban"), (8, None, None),
+         (9, "", "the a the thing"), (10, "", "a " + " ".join(f"w{i}" for i in range(100)))],
+        "doc_id long, title string, story_text string").withColumn("language", F.lit("en"))
+    long_phrase = " ".join(f"w{i}" for i in range(100))
+    cases = [
+        ("near5", "woman killed zebra", S.near("woman", "killed", "zebra", 5)), ("near3", "the the thing", S.near("the", "the", "thing", 3)),
+        ("near", "killed woman", S.near("killed", "woman", 1)), ("near5", "zebra", S.term("zebra")),
+        ("wildcard", "*ban", S.wildcard("*ban")), ("wildcard", "*xb", S.wildcard("*xb")), ("wildcard", "*rb*", S.wildcard("*rb*")),
+        ("wildcard", "*[xy]b", S.wildcard("*[xy]b")), ("wildcard", "*(ban", S.wildcard("*(ban")), ("wildcard", "*.b*", S.wildcard("*.b*")),
+        ("wildcard", "??", S.wildcard("??")), ("wildcard", "*", S.wildcard("*")), ("prefix", "ur?", S.prefix("ur?")),
+        ("prefix", "ur", S.prefix("ur")), ("term", "woman killed", S.term("woman killed")), ("phrase", long_phrase, S.phrase(long_phrase)),
+        ("title:wildcard", "?he", S.wildcard("?he", on="title_tokens")), ("phrase", "--", S.phrase("--")),
+    ]
+    terms = [(i, 1, False, k, t) for i, (k, t, _) in enumerate(cases)]
+    # alternatives of one clause never complete each other
+    terms += [(100, 1, False, "phrase", "big thing"), (100, 1, False, "phrase", "the other"), (100, 1, False, "phrase", "big thing")]
+    got = {(r.project_id, r.doc_id) for r in S.match_projects(docs, spark.createDataFrame(terms, fixtures.schemas.PROJECT_TERMS)).collect()}
+    d = docs.withColumn("tokens", S.search_tokens()).withColumn("title_tokens", S.tokens(F.coalesce("title", F.lit(""))))
+    want = {(100, 2)}
+    for i, (_, _, pred) in enumerate(cases):
+        want |= {(i, r.doc_id) for r in d.filter(pred).select("doc_id").collect()}
+    assert got == want
+    assert {x for x in got if x[0] in (0, 1, 4, 15)} == {(0, 4), (1, 7), (1, 9), (4, 6), (4, 7), (15, 10)} - {(1, 7)}
+
+
+def test_unknown_clause_kind_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "t", "x", "en")], "doc_id long, title string, story_text string, language string")
+    with pytest.raises(ValueError):
+        S.match_projects(docs, spark.createDataFrame([(0, 1, False, "regex", "x")], fixtures.schemas.PROJECT_TERMS))

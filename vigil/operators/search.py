@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,15 +52,17 @@ def _words(s: str) -> list[str]:
 
 
 def term(t: str, on: str | Column = "tokens") -> Column:
-    """Whole word, case-insensitive."""
-    return F.array_contains(_toks(on), t.lower())
+    """Whole word, case-insensitive; text of several words is a phrase."""
+    ws = _words(t)
+    return F.array_contains(_toks(on), ws[0]) if len(ws) == 1 else phrase(t, on)
 
 
 def phrase(p: str, on: str | Column = "tokens") -> Column:
-    """Adjacent tokens (a hyphenated phrase is its token sequence)."""
+    """Adjacent tokens (a hyphenated phrase is its token sequence); a
+    phrase without a word matches nothing."""
     ws = _words(p)
     padded = F.concat(F.lit(" "), F.array_join(_toks(on), " "), F.lit(" "))
-    return padded.contains(" " + " ".join(ws) + " ")
+    return padded.contains(" " + " ".join(ws) + " ") if ws else F.lit(False)
 
 
 def wildcard_regex(p: str) -> str:
@@ -83,16 +86,19 @@ def fuzzy(t: str, max_edits: int = 1, on: str | Column = "tokens") -> Column:
     return F.exists(_toks(on), lambda x: F.levenshtein(x, F.lit(t.lower()), max_edits) >= 0)
 
 
-def near(a: str, b: str, n: int, on: str | Column = "tokens") -> Column:
-    """``a`` and ``b`` within ``n`` words of each other, any order."""
-    ts = _toks(on)
-    a, b = a.lower(), b.lower()
-    size = F.size(ts)
+def near(*words_and_n: str | int, on: str | Column = "tokens") -> Column:
+    """``near(word, word, ..., n)``: all the words, in any order, with no
+    two of them more than ``n`` positions apart (a repeated word must occur as
+    often as it is given)."""
+    *given, n = words_and_n
+    ts, wanted = _toks(on), Counter(w.lower() for w in given)
+
+    def occurrences(window: Column, word: str) -> Column:
+        return F.size(F.filter(window, lambda x: x == word))
+
     return F.exists(
-        F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
-        lambda i: (F.element_at(ts, i) == a) & F.exists(
-            F.sequence(F.greatest(F.lit(1), i - n), F.greatest(F.least(size, i + n), F.lit(1))),
-            lambda j: (j != i) & (F.element_at(ts, j) == b)))
+        F.sequence(F.lit(1), F.greatest(F.size(ts), F.lit(1))),
+        lambda i: all_of(*[occurrences(F.slice(ts, i, F.lit(n + 1)), w) >= k for w, k in wanted.items()]))
 
 
 def all_of(*preds: Column) -> Column:
@@ -139,65 +145,89 @@ def _parse_kind(project_terms: DataFrame) -> DataFrame:
     return (project_terms
             .withColumn("field", field)
             .withColumn("base", F.regexp_extract(base, "^([a-z]+)", 1))
-            .withColumn("arg", F.regexp_extract(base, "([0-9]+)$", 1)))
+            .withColumn("arg", F.regexp_extract(base, "([0-9]+)$", 1))
+            .withColumn("alt", F.xxhash64(base, F.lower("term")))
+            .dropDuplicates(["project_id", "clause_id", "negated", "field", "alt"]))
+
 
+KINDS = ("term", "phrase", "prefix", "wildcard", "fuzzy", "near")
+GRAM = 3    # length of the probe of a pattern that has a literal only in its middle
 
-MAX_PHRASE_WORDS = 62   # offsets are tracked as bits of one long
+
+def _patterns(pt: DataFrame) -> DataFrame:
+    """Prefix and wildcard clauses with ``regex`` and the literal part they are
+    found by: ``part`` = (form, lit), the form being ``p`` a literal start, ``s``
+    a literal end, ``g`` up to ``GRAM`` characters of the longest inner
+    literal, ``a`` none (a pattern of ``?`` and ``*`` alone)."""
+    t = F.lower("term")
+    is_prefix = F.col("base") == "prefix"
+    start = F.when(is_prefix, t).otherwise(F.regexp_extract(t, r"^[^?*]*", 0))
+    end = F.regexp_extract(t, r"[^?*]*$", 0)
+    inner = F.array_max(F.transform(F.split(t, r"[?*]+"), lambda x: F.struct(F.length(x).alias("n"), x.alias("lit"))))
+    gram = F.substring(inner["lit"], 1, GRAM)
+
+    def part(form: str, lit: Column) -> Column:
+        return F.struct(F.lit(form).alias("form"), lit.alias("lit"))
+
+    literal = F.regexp_replace(t, r"([^\p{L}\p{N}])", r"\\$1")
+    wild = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"([^\p{L}\p{N}?*])", r"\\$1"), r"\?", "."), r"\*", ".*")
+    return pt.filter(F.col("base").isin("prefix", "wildcard")).select(
+        "field", "project_id", "clause_id", "negated", "alt",
+        F.when(start != "", part("p", start)).when(end != "", part("s", end))
+        .when(gram != "", part("g", gram)).otherwise(part("a", F.lit(""))).alias("part"),
+        F.concat(F.lit("^"), F.when(is_prefix, F.concat(literal, F.lit(".*"))).otherwise(wild), F.lit("$")).alias("regex"))
 
 
 def search_meta(project_terms: DataFrame) -> dict:
-    """One small action over the (config-sized) clause table: the literal-prefix lengths of pattern clauses, the
-    fuzzy edit bound and word-length range, and whether any clause is
-    title-scoped.  Everything the probe side needs to know up front."""
+    """Two small actions over the (config-sized) clause table: the forms and
+    lengths of pattern literals, the fuzzy edit bound and word-length range,
+    and whether any clause is title-scoped.  Everything the probe side needs
+    to know up front.  Clauses of an unknown kind are an error."""
     pt = _parse_kind(project_terms)
     t = F.lower("term")
-    lp_len = F.length(F.regexp_extract(
-        F.when(F.col("base") == "prefix", F.concat(t, F.lit("*"))).otherwise(t), r"^[^?*]*", 0))
     is_fz = F.col("base") == "fuzzy"
     edits = F.coalesce(F.nullif("arg", F.lit("")), F.lit("1")).cast("int")
     r = pt.select(
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.when(F.col("base").isin("prefix", "wildcard"), lp_len)).alias("lengths"),
         F.max(F.when(is_fz, edits)).alias("edits"),
         F.min(F.when(is_fz, F.length(t) - edits)).alias("fz_min"),
         F.max(F.when(is_fz, F.length(t) + edits)).alias("fz_max"),
         F.max((F.col("field") == "title").cast("int")).alias("has_title"),
-        F.max(F.when(F.col("base") == "phrase", F.size(tokens(F.col("term"))))).alias("longest"),
+        F.min(F.when(~F.col("base").isin(*KINDS), F.col("kind"))).alias("unknown"),
     ).first()
-    if (r["longest"] or 0) > MAX_PHRASE_WORDS:
-        raise ValueError(f"phrases are limited to {MAX_PHRASE_WORDS} words")
-    return {"rows": r["rows"], "lengths": sorted(r["lengths"] or []), "edits": int(r["edits"] or 0),
+    if r["unknown"] is not None:
+        raise ValueError(f"unknown kind of clause: {r['unknown']}")
+    parts = _patterns(pt).select("part.form", F.length("part.lit").alias("n")).distinct().collect()
+    return {"parts": sorted((x["form"], x["n"]) for x in parts), "edits": int(r["edits"] or 0),
             "fz_min": r["fz_min"], "fz_max": r["fz_max"], "has_title": bool(r["has_title"])}
 
 
 def clause_keys(project_terms: DataFrame, max_edits: int) -> DataFrame:
     """Probe keys of every clause word.
 
-    Columns: ``field, key, project_id, clause_id, negated, near, offset, n,
-    dist, role, same, regex, word, edits``.  ``near`` = 0 marks a token
-    sequence of length ``n`` (single words are sequences of one), 1 a near
-    pair.  Exact words are keyed by themselves; prefix/wildcard patterns by
-    ``~L:<literal prefix of length L>`` (then checked with ``regex``); fuzzy
-    terms by their deletion variants ``~d:<variant>`` (then checked with
-    Levenshtein).  Keys are equality keys, so the probe is a hash join.
+    Columns: ``field, key, project_id, clause_id, negated, alt, near, offset,
+    n, dist, times, regex, word, edits``.  ``alt`` tells the alternatives of a
+    clause apart.  ``near`` = 0 marks a token sequence of ``n`` words, 1 the
+    ``n`` distinct words of a near clause (word number ``offset`` needed
+    ``times`` times within ``dist`` positions).  Words of sequences and near
+    clauses are keyed by themselves, single words by ``~w:<word>``, patterns by
+    their literal part (then checked with ``regex``), fuzzy terms by their
+    deletion variants ``~d:<variant>`` (then checked with Levenshtein).  Keys
+    are equality keys, so the probe is a hash join.
     """
     pt = _parse_kind(project_terms)
-    common = ["field", "project_id", "clause_id", "negated"]
-    words = tokens(F.col("term"))
-
-    seq = (pt.filter(F.col("base").isin("term", "phrase"))
-           .select(*common, F.posexplode(words).alias("offset", "word"), F.size(words).alias("n"))
-           .select(*common, F.col("word").alias("key"), "offset", "n", "word"))
-
-    pattern = F.when(F.col("base") == "prefix", F.concat(F.lower("term"), F.lit("*"))).otherwise(F.lower("term"))
-    lit_prefix = F.regexp_extract(pattern, r"^[^?*]*", 0)
-    pats = (pt.filter(F.col("base").isin("prefix", "wildcard"))
-            .select(*common, pattern.alias("pattern"), lit_prefix.alias("lp"))
-            .select(*common,
-                    F.concat(F.lit("~"), F.length("lp").cast("string"), F.lit(":"), F.col("lp")).alias("key"),
-                    F.lit(0).alias("offset"), F.lit(1).alias("n"),
-                    F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(F.col("pattern"), r"\?", "."),
-                                                          r"\*", ".*"), F.lit("$")).alias("regex")))
+    common = ["field", "project_id", "clause_id", "negated", "alt"]
+    pt = pt.withColumn("words", tokens(F.col("term")))
+    # a near clause of one word is that word
+    is_near = (F.col("base") == "near") & (F.size("words") > 1)
+
+    seq = (pt.filter(F.col("base").isin("term", "phrase", "near") & ~is_near)
+           .select(*common, F.posexplode("words").alias("offset", "word"), F.size("words").alias("n"))
+           .select(*common, F.when(F.col("n") == 1, F.concat(F.lit("~w:"), "word")).otherwise(F.col("word")).alias("key"),
+                   "offset", "n", "word"))
+
+    pats = _patterns(pt).select(
+        *common, F.format_string("~%s%d:%s", "part.form", F.length("part.lit"), "part.lit").alias("key"),
+        F.lit(0).alias("offset"), F.lit(1).alias("n"), "regex")
 
     t = F.lower(F.col("term"))
     fz = (pt.filter(F.col("base") == "fuzzy")
@@ -207,13 +237,12 @@ def clause_keys(project_terms: DataFrame, max_edits: int) -> DataFrame:
           .select(*common, F.concat(F.lit("~d:"), F.col("v")).alias("key"),
                   F.lit(0).alias("offset"), F.lit(1).alias("n"), "word", "edits"))
 
-    nr = (pt.filter(F.col("base") == "near")
-          .select(*common, F.col("arg").cast("int").alias("dist"),
-                  F.element_at(words, 1).alias("a"), F.element_at(words, 2).alias("b"))
-          .withColumn("same", F.col("a") == F.col("b")))
-    near_a = nr.select(*common, F.col("a").alias("key"), F.lit(0).alias("role"), "dist", "same")
-    near_b = nr.filter(~F.col("same")).select(*common, F.col("b").alias("key"), F.lit(1).alias("role"), "dist", "same")
-    nears = near_a.unionByName(near_b).withColumn("offset", F.lit(0)).withColumn("n", F.lit(1))
+    # without a number the words of a near clause are neighbours, in any order
+    dist = F.coalesce(F.nullif("arg", F.lit("")).cast("int"), F.size("words") - 1)
+    nears = (pt.filter(is_near)
+             .select(*common, "words", dist.alias("dist"), F.size(F.array_distinct("words")).alias("n"),
+                     F.posexplode(F.array_distinct("words")).alias("offset", "key"))
+             .withColumn("times", F.size(F.filter("words", lambda x: x == F.col("key")))).drop("words"))
 
     out = (seq.unionByName(pats, allowMissingColumns=True)
            .unionByName(fz, allowMissingColumns=True)
@@ -235,101 +264,55 @@ def deletion_variants(w: Column, depth: int) -> Column:
     return out
 
 
-def _pattern_keys(tok: Column, meta: dict) -> Column | None:
-    """Probe keys of one token for pattern and fuzzy clauses (no exact key)."""
-    keys = [F.array(F.concat(F.lit(f"~{n}:"), F.substring(tok, 1, n))) for n in meta["lengths"]]
+def _grams(tok: Column, n: int, head: Column) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.length(tok) - n + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.concat(head, F.substring(tok, i, F.lit(n))))
+
+
+def _pattern_keys(tok: Column, meta: dict) -> list[Column]:
+    """Arrays of the probe keys of one token for pattern and fuzzy clauses."""
+    keys = []
+    for form, n in meta["parts"]:
+        head = F.lit(f"~{form}{n}:")
+        if form == "g":
+            keys.append(F.array_distinct(_grams(tok, n, head)))
+        else:
+            lit = {"p": F.substring(tok, 1, n), "s": F.substring(tok, -n, n), "a": F.lit("")}[form]
+            keys.append(F.array(F.concat(head, lit)))
     if meta["edits"]:
         # only tokens whose length is within reach of some fuzzy term
         reach = F.length(tok).between(meta["fz_min"], meta["fz_max"])
         keys.append(F.when(reach, F.transform(deletion_variants(tok, meta["edits"]),
                                                lambda v: F.concat(F.lit("~d:"), v)))
                     .otherwise(F.array().cast("array<string>")))
-    if not keys:
-        return None
-    return F.flatten(F.array(*keys)) if len(keys) > 1 else keys[0]
+    return keys
 
 
-def _probes(toks: Column, field: str, meta: dict) -> Column:
-    """``array<struct<field, token, pos, key>>`` for one token stream.
+def _probes(d: DataFrame, title: str, text: str, meta: dict) -> DataFrame:
+    """``(doc_id, doc_lang, field, token, pos, key)`` of every document.
 
-    Every occurrence is probed with its exact key (positions matter for
-    phrases and near pairs); pattern and fuzzy keys are generated once per
-    distinct token of the document (presence is all they need), so the costly
-    expansions never repeat for a word that occurs many times.
+    One scan and one ``posexplode`` over  all ++ title ++ distinct all ++
+    distinct title: the index tells the stream and the position.  Occurrences
+    are probed by the token itself (phrases and near clauses need positions);
+    single words, patterns and fuzzy terms only need presence and are probed
+    once per distinct token of a document.
     """
-    def st(tok, pos, key):
-        return F.struct(F.lit(field).alias("field"), tok.alias("token"), pos.alias("pos"), key.alias("key"))
-    exact = F.transform(toks, lambda x, i: st(x, i, x))
-    if _pattern_keys(F.lit("x"), meta) is None:
-        return exact
-    pats = F.flatten(F.transform(F.array_distinct(toks), lambda x: F.transform(
-        _pattern_keys(x, meta), lambda k: st(x, F.lit(0), k))))
-    return F.concat(exact, pats)
-
-
-# Up to these sizes the clause vocabulary is inlined as a pre-filter on
-# every token occurrence (a hash-set ``isin`` and a few codegen'd checks);
-# beyond them every occurrence is probed through the key join.
-DIRECT_MAX_WORDS = 5000
-DIRECT_MAX_PATTERNS = 64
-
-
-def _direct_filter(project_terms: DataFrame, meta: dict):
-    """The clause vocabulary as plain Python values, when it is small."""
-    pt = _parse_kind(project_terms)
-    rows = pt.select("base", "arg", F.lower("term").alias("t"), tokens(F.col("term")).alias("w")) \
-        .limit(DIRECT_MAX_WORDS + 1).collect()
-    if len(rows) > DIRECT_MAX_WORDS:
-        return None
-    words, regexes, fuzzy = set(), set(), set()
-    for r in rows:
-        if r["base"] in ("term", "phrase", "near"):
-            words.update(r["w"] or [])
-        elif r["base"] == "prefix":
-            regexes.add(wildcard_regex(r["t"] + "*"))
-        elif r["base"] == "wildcard":
-            regexes.add(wildcard_regex(r["t"]))
-        elif r["base"] == "fuzzy":
-            fuzzy.add((r["t"], int(r["arg"] or 1)))
-    if len(words) > DIRECT_MAX_WORDS or len(regexes) + len(fuzzy) > DIRECT_MAX_PATTERNS:
-        return None
-    return {"words": sorted(words), "regexes": sorted(regexes), "fuzzy": sorted(fuzzy)}
-
-
-def _direct_probes(d: DataFrame, title: str, text: str, meta: dict, direct: dict) -> DataFrame:
-    """Token occurrences that can hit some clause, with their probe keys.
-
-    ``posexplode`` and the filter are whole-stage-codegen operators, so the
-    per-occurrence work is a hash-set lookup plus a few bounded checks; probe
-    keys (and deletion variants) are built only for the survivors.
-    """
-    if meta["has_title"]:
-        # one posexplode over  all ++ [""] ++ title : the index says which
-        # stream a token came from and its position there (one scan, no lambdas)
-        toks = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__a"),
-                        tokens(F.col(title)).alias("__t"))
-        occ = (toks.select("doc_id", "doc_lang", F.size("__a").alias("__n"),
-                           F.posexplode(F.concat("__a", F.array(F.lit("")), "__t")).alias("p", "token"))
-               .filter(F.col("p") != F.col("__n"))
-               .select("doc_id", "doc_lang",
-                       F.when(F.col("p") < F.col("__n"), F.lit("all")).otherwise(F.lit("title")).alias("field"),
-                       F.when(F.col("p") < F.col("__n"), F.col("p")).otherwise(F.col("p") - F.col("__n") - 1)
-                       .alias("pos"), "token"))
-    else:
-        occ = d.select("doc_id", "doc_lang", F.lit("all").alias("field"),
-                       F.posexplode(search_tokens(title, text)).alias("pos", "token"))
-    tok = F.col("token")
-    exact = tok.isin(direct["words"]) if direct["words"] else F.lit(False)
-    pattern = F.lit(False)
-    for rx in direct["regexes"]:
-        pattern = pattern | tok.rlike(rx)
-    for t, k in direct["fuzzy"]:
-        pattern = pattern | (F.levenshtein(tok, F.lit(t), k) >= 0)
-    occ = occ.filter(exact | pattern).withColumn("__pat", pattern)
-    pat_keys = _pattern_keys(tok, meta)
-    keys = F.array(tok) if pat_keys is None else F.when(F.col("__pat"), F.concat(F.array(tok), pat_keys)) \
-        .otherwise(F.array(tok))
-    return occ.select("doc_id", "doc_lang", "field", "token", "pos", F.explode(keys).alias("key"))
+    toks = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__a"),
+                    (tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")).alias("__t"))
+    toks = toks.withColumn("__t", F.coalesce("__t", F.array().cast("array<string>")))
+    parts = toks.select("doc_id", "doc_lang", "__a", "__t", F.array_distinct("__a").alias("__da"),
+                        F.array_distinct("__t").alias("__dt"))
+    na, nt, nd = F.col("__na"), F.col("__nt"), F.col("__nd")
+    occ = parts.select("doc_id", "doc_lang", F.size("__a").alias("__na"), F.size("__t").alias("__nt"),
+                       F.size("__da").alias("__nd"),
+                       F.posexplode(F.concat("__a", "__t", "__da", "__dt")).alias("p", "token"))
+    p, tok = F.col("p"), F.col("token")
+    once = p >= na + nt
+    in_title = ((p >= na) & ~once) | (p >= na + nt + nd)
+    present = F.concat(F.array(F.concat(F.lit("~w:"), tok)), *_pattern_keys(tok, meta))
+    return occ.select("doc_id", "doc_lang", F.when(in_title, F.lit("title")).otherwise(F.lit("all")).alias("field"),
+                      "token", F.when(once, F.lit(0)).when(p < na, p).otherwise(p - na).alias("pos"),
+                      F.explode(F.when(once, present).otherwise(F.array(tok))).alias("key"))
 
 
 def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFrame | None = None,
@@ -342,10 +325,11 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     probe keys exploded -> broadcast hash join with ``clause_keys`` (the
     clause table is config-sized; its byte size is checked) -> pattern checks
     -> per-clause hit by aggregation (all words of a sequence line up, or a
-    near pair within distance, found inside bounded position buckets) ->
-    AND/NOT per (document, project).  Repeated single-word hits collapse in
-    the map-side partial aggregate, so frequent words do not flood the
-    shuffle; no group grows with the length of a document.
+    all words of a near clause within distance, found inside bounded position
+    buckets) -> AND/NOT per (document, project).  Single words, patterns and
+    fuzzy terms are probed once per distinct token of a document, so frequent
+    words do not flood the shuffle; words of phrases and near clauses move one
+    row per occurrence.  No group grows with the length of a document.
     """
     meta = search_meta(project_terms)
     keys = clause_keys(project_terms, meta["edits"])
@@ -354,47 +338,37 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     keys = bounded_broadcast(keys)
 
     d = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("doc_lang"), title, text))
-    direct = _direct_filter(project_terms, meta)
-    if direct is not None:
-        probes = _direct_probes(d, title, text, meta, direct)
-    else:
-        # tokenise once per document; the title stream's positions restart at 0
-        d = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__all"),
-                     (tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")).alias("__title"))
-        tagged = _probes(F.col("__all"), "all", meta)
-        if meta["has_title"]:
-            tagged = F.concat(tagged, _probes(F.col("__title"), "title", meta))
-        probes = (d.select("doc_id", "doc_lang", F.explode(tagged).alias("t"))
-                  .select("doc_id", "doc_lang", "t.field", "t.token", "t.pos", "t.key"))
-
+    probes = _probes(d, title, text, meta)
     hits = probes.join(keys, ["field", "key"])
     ok = (F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex"))
           .when(F.col("edits").isNotNull(), F.levenshtein("token", "word") <= F.col("edits"))
           .otherwise(F.lit(True)))
-    hits = hits.filter(ok).select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "near",
-                                  "pos", "offset", "n", "dist", "role", "same")
+    hits = hits.filter(ok).select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "alt", "near",
+                                  "pos", "offset", "n", "dist", "times")
 
     # Group key g: for a sequence, its start position (a single word's
-    # position is irrelevant, so all its occurrences share g = 0 and collapse
-    # in the map-side partial aggregate); for a near pair, a position bucket
-    # of width dist+1, each occurrence also spilling into the next bucket --
-    # any two positions within dist then meet in one group, and a group holds
-    # at most 2*(dist+1) positions, so the pair check below is bounded.
+    # position is irrelevant: g = 0); for a near clause, a position bucket of
+    # width dist+1, each occurrence also spilling into the next bucket -- any
+    # positions within dist then meet in one group, and a group holds at most
+    # 2*(dist+1) positions, so the check below is bounded.
     seq_start = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.col("pos") - F.col("offset"))
     hits = hits.withColumn("__spill", F.explode(F.when(F.col("near") == 1, F.array(F.lit(0), F.lit(1)))
                                                .otherwise(F.array(F.lit(0)))))
     g = F.when(F.col("near") == 0, seq_start).otherwise(
         F.floor(F.col("pos") / (F.col("dist") + 1)).cast("int") + F.col("__spill"))
     grp = ["doc_id", "doc_lang", "project_id", "clause_id", "negated"]
-    groups = (hits.groupBy(*grp, "near", g.alias("g"))
-              .agg(F.max("n").alias("n"), F.max("dist").alias("dist"), F.max("same").alias("same"),
-                   F.bit_or(F.when(F.col("near") == 0, F.expr("shiftleft(1L, offset)"))).alias("seen"),
-                   F.collect_list(F.when(F.col("near") == 1, F.struct("role", "pos"))).alias("occ")))
-    full = F.expr("shiftleft(1L, n) - 1")
-    pair = F.exists("occ", lambda x: F.exists("occ", lambda y: (x["pos"] != y["pos"])
-                                              & (F.abs(x["pos"] - y["pos"]) <= F.col("dist"))
-                                              & (F.col("same") | (x["role"] != y["role"]))))
-    clause_hit = F.when(F.col("near") == 0, F.col("seen") == full).otherwise(pair)
+    groups = (hits.groupBy(*grp, "alt", "near", g.alias("g"))
+              .agg(F.max("n").alias("n"), F.max("dist").alias("dist"),
+                   F.collect_set(F.when(F.col("near") == 0, F.col("offset"))).alias("seen"),
+                   F.collect_list(F.when(F.col("near") == 1, F.struct("offset", "pos", "times"))).alias("occ")))
+
+    def together(x: Column) -> Column:
+        win = F.filter("occ", lambda y: (y["pos"] >= x["pos"]) & (y["pos"] <= x["pos"] + F.col("dist")))
+        enough = F.filter(win, lambda y: (y["times"] == 1) | (
+            F.size(F.filter(win, lambda z: z["offset"] == y["offset"])) >= y["times"]))
+        return F.size(F.array_distinct(F.transform(enough, lambda y: y["offset"]))) == F.col("n")
+
+    clause_hit = F.when(F.col("near") == 0, F.size("seen") == F.col("n")).otherwise(F.exists("occ", together))
     clauses = groups.filter(clause_hit).select(*grp).distinct()
     per_doc = (clauses.groupBy("doc_id", "doc_lang", "project_id")
                .agg(F.count_if(~F.col("negated")).alias("pos_hits"),

@@ -10,9 +10,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from vigil import schemas
 from vigil.operators import search as S
 from vigil.plans.registry import query
 from vigil.sources import fixtures
+from vigil.sources.config import literal_table
 from vigil.sources.tables import table
 
 TOKEN_SQL = r"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}]+')"
@@ -34,8 +36,8 @@ def _clause_sql(kind: str, term: str) -> str:
     if kind.startswith("title:"):
         col, kind = "ttoks", kind[len("title:"):]
     words = S._words(term)
-    if kind == "term":
-        return f"list_contains({col}, {_q(words[0])})"
+    if kind == "term" or kind.startswith("near") and len(words) == 1:
+        kind = "phrase"
     if kind == "phrase":
         return f"contains(' ' || array_to_string({col}, ' ') || ' ', {_q(' ' + ' '.join(words) + ' ')})"
     if kind == "prefix":
@@ -47,15 +49,14 @@ def _clause_sql(kind: str, term: str) -> str:
         return f"len(list_filter({col}, lambda x: levenshtein(x, {_q(term.lower())}) <= {k})) > 0"
     if kind.startswith("near"):
         n = int(kind[4:])
-        a, b = words
-        return (f"len(list_filter(range(1, len({col}) + 1), lambda i: {col}[i] = {_q(a)} AND "
-                f"len(list_filter(range(greatest(1, i - {n}), least(len({col}), i + {n}) + 1), "
-                f"lambda j: j <> i AND {col}[j] = {_q(b)})) > 0)) > 0")
+        every = " AND ".join(f"len(list_filter({col}[i:i + {n}], lambda x: x = {_q(w)})) >= {words.count(w)}"
+                             for w in sorted(set(words)))
+        return f"len(list_filter(range(1, len({col}) + 1), lambda i: {every})) > 0"
     raise ValueError(kind)
 
 
-def _project_sql(pid: int) -> str:
-    rows = [r for r in fixtures.PROJECT_TERM_ROWS if r[0] == pid]
+def _project_sql(pid: int, terms=fixtures.PROJECT_TERM_ROWS) -> str:
+    rows = [r for r in terms if r[0] == pid]
     pos, neg = {}, []
     for _, cid, negated, kind, term in rows:
         (neg.append(_clause_sql(kind, term)) if negated else pos.setdefault(cid, []).append(_clause_sql(kind, term)))
@@ -133,3 +134,24 @@ def q_search_builders(spark, sf_dir):
         "c_range": S.date_range("indexed_date", dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 25)),
     }
     return d.select("doc_id", *[c.alias(n) for n, c in cols.items()])
+
+
+# Searches at the edges of the syntax: one project each.
+EDGE_TERM_ROWS = [
+    (0, 1, False, "near5", "thing erre the"), (1, 1, False, "near8", "the the thing"),
+    (2, 1, False, "wildcard", "*ing"), (3, 1, False, "wildcard", "*hin*"), (4, 1, False, "wildcard", "*[xy]g"),
+    (5, 1, False, "wildcard", "*.b*"), (6, 1, False, "wildcard", "*(ban"), (7, 1, False, "wildcard", "???"),
+    (8, 1, False, "prefix", "th?"), (9, 1, False, "term", "the thing"),
+    (10, 1, False, "phrase", "big thing"), (10, 1, False, "phrase", "the other"),
+    (11, 1, False, "phrase", " ".join(["the thing"] * 50)),
+    (12, 1, False, "near5", "thing"), (13, 1, False, "title:wildcard", "*e"), (13, 2, True, "wildcard", "?h*g"),
+]
+
+
+@query("match_edge_searches", sql=DOCS_CTE + "\nUNION ALL\n".join(
+    f"SELECT CAST({pid} AS BIGINT) AS project_id, doc_id FROM d WHERE {_project_sql(pid, EDGE_TERM_ROWS)}"
+    for pid in sorted({r[0] for r in EDGE_TERM_ROWS})))
+def q_match_edge_searches(spark, sf_dir):
+    """Near over several words, wildcards at the start and around,
+    special characters, alternatives that are phrases, a long phrase."""
+    return S.match_projects(_docs(spark, sf_dir), literal_table(spark, EDGE_TERM_ROWS, schemas.PROJECT_TERMS))
