@@ -122,18 +122,18 @@ def test_normalize_url_examples(spark):
 
 
 def test_normalize_url_is_idempotent(spark):
-    hypothesis = pytest.importorskip("hypothesis")
-    from hypothesis import strategies as st
-    seg = st.text(alphabet="abcXYZ019-_.", min_size=0, max_size=6)
-    url = st.builds(lambda s, w, h, p, q, f: f"{s}{w}{h}.com/{p}{q}{f}",
-                    st.sampled_from(["http://", "https://", ""]), st.sampled_from(["www.", ""]), seg,
-                    seg, st.sampled_from(["", "?utm_medium=a", "?a=1&ref=2", "?x=1&utm_x=2&y=3"]),
-                    st.sampled_from(["", "#top"]))
-    samples = hypothesis.find(st.lists(url, min_size=40, max_size=40), lambda xs: True)
-    df = spark.createDataFrame([(u,) for u in samples], "url string")
-    once = df.select(U.normalize_url("url").alias("a"))
-    twice = once.select("a", U.normalize_url("a").alias("b")).collect()
-    assert all(r.a == r.b for r in twice)
+    """A grid of every combination of parts, the odd ones included."""
+    heads = ["", " ", "http://", "HTTPS://", "http://http://", "http:// ", "www.", "www.www.", "http://www.http://www."]
+    paths = ["", "/", "a.com", "A.com/x", "a.com/x //", "a.com/www.b", "a.com/a /", "?"]
+    queries = ["", "?", "?utm_medium=a", "?a=1&ref=2", "?x=1 &utm_x=2& &y=3 ", "??", "?a=http://b"]
+    tails = ["", "#top", " #a\nb", "#"]
+    rows = [(h + p + q + t,) for h in heads for p in paths for q in queries for t in tails]
+    once = spark.createDataFrame(rows, "url string").select("url", U.normalize_url("url").alias("a"))
+    got = once.select("url", "a", U.normalize_url("a").alias("b")).collect()
+    assert [r for r in got if r.a != r.b] == []
+    assert len({r.a for r in got}) >= 20
+    by = {r.url: r.a for r in got}
+    assert by["http://http://a.com"] == by["www.www.a.com"] == by["HTTPS://a.com?utm_medium=a #a\nb"] == "a.com"
 
 
 def test_hosts_and_domains(spark):
@@ -228,6 +228,78 @@ def test_query_window_rules(spark):
     assert W.query_windows(late, hist, "newscatcher", AS_OF).first().start_date == dt.datetime(2024, 1, 26)
 
 
+def test_daily_window_finds_stories_since_the_mark(spark):
+    hist = spark.createDataFrame([(2, "media-cloud", dt.datetime(2024, 1, 30, 12), AS_OF)], schemas.HISTORY)
+    w = W.query_windows(fixtures.projects(spark).filter("project_id = 2"), hist, "media-cloud", AS_OF)
+    stories = spark.createDataFrame(
+        [(1, 2, dt.datetime(2024, 1, 30, 13), dt.datetime(2024, 1, 29)), (2, 2, dt.datetime(2024, 1, 30, 12), dt.datetime(2024, 1, 29)),
+         (3, 2, AS_OF, dt.datetime(2024, 1, 26, 5)), (4, 2, AS_OF, dt.datetime(2024, 1, 25, 23)),
+         (5, 2, AS_OF, dt.datetime(2024, 1, 31)), (6, 2, AS_OF, None), (7, 3, None, dt.datetime(2024, 1, 29))],
+        "story_id int, project_id long, indexed_date timestamp, publish_date timestamp")
+    assert sorted(r.story_id for r in W.in_window(stories, w).collect()) == [1, 3]
+    assert sorted(r.story_id for r in W.late_rows(stories, w).collect()) == [2, 4, 5, 6, 7]
+
+
+def test_cap_and_cut_split_the_rows(spark):
+    df = spark.createDataFrame([(p, f"https://a.org/{i}", i) for p in (1, None) for i in range(7)], "project_id long, url string, n int")
+    order = [F.desc_nulls_last("n"), F.col("url")]
+    kept, cut = D.cap_per_project(df, 3, order), D.cut_by_cap(df, 3, order)
+    assert sorted(r.n for r in kept.collect()) == [4, 4, 5, 5, 6, 6]
+    assert sorted(r.n for r in cut.collect()) == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
+def test_log_rows_without_a_publication_date(spark):
+    from vigil.operators import log as L
+    df = spark.createDataFrame([(1, 1, "u", "u", None), (1, 1, "v", "v", "nonsense"), (1, 1, "w", "w", "2024-01-02 03:04:05")],
+                               "project_id long, model_id long, url string, normalized_url string, publish_date string")
+    got = {r.url: r.published_date for r in L.log_rows(df, AS_OF, "x").collect()}
+    assert got == {"u": AS_OF, "v": AS_OF, "w": dt.datetime(2024, 1, 2, 3, 4, 5)}
+
+
+def test_domains_compare_without_www(spark):
+    stories = spark.createDataFrame([(1, "https://www.nytimes.com/a"), (1, "https://m.b.org/x"), (2, "https://nytimes.com/a")],
+                                    "project_id long, url string")
+    domains = spark.createDataFrame([(1, "nytimes.com"), (1, "www.B.org")], "project_id long, domain string")
+    assert sorted(r.url for r in FD.filter_domains(stories, domains).collect()) == ["https://m.b.org/x", "https://www.nytimes.com/a"]
+
+
+def test_scoring_stops_without_weights(spark):
+    from vigil.operators import classify as C
+    stories = spark.createDataFrame([(1, 0, "a thing")], "story_id long, project_id long, story_text string")
+    projects = fixtures.projects(spark).filter("project_id = 0")
+    weights = spark.createDataFrame([(2, 1, None, None, 0.1)], "model_id long, stage int, term string, idf double, weight double")
+    with pytest.raises(C.ModelConfigError, match="model 1 stage 1: no weights"):
+        C.score(stories, projects, fixtures.models(spark), weights)
+    embedded = fixtures.models(spark).withColumn("vectorizer_type_1", F.lit("embeddings"))
+    with pytest.raises(C.ModelConfigError, match="embeddings"):
+        C.score(stories, projects, embedded, weights.withColumn("model_id", F.lit(1).cast("long")))
+
+
+def test_replay_safe_log_over_files_restarts_and_replays(spark, tmp_path):
+    from vigil.streaming import ingest as J
+    src, log = str(tmp_path / "in"), str(tmp_path / "log")
+    schema = "feed_pos long, project_id long, url string, normalized_url string"
+
+    def add(*rows):
+        spark.createDataFrame([(i, 1, u, u) for i, u in rows], schema).coalesce(1).write.mode("append").parquet(src)
+
+    def stream(checkpoint):
+        feed = J.read_stream(spark, src, spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
+        J.run_available(feed.writeStream.foreachBatch(J.replay_safe_log_writer(log, "feed_pos")), str(tmp_path / checkpoint))
+        return sorted(r.url for r in spark.read.parquet(log).collect())
+
+    add((1, "a"), (2, "b"))
+    add((3, "b"), (4, "c"))
+    assert stream("ck1") == ["a", "b", "c"]
+    add((5, "d"), (6, "a"))
+    assert stream("ck1") == ["a", "b", "c", "d"]        # goes on where it stopped
+    assert stream("ck2") == ["a", "b", "c", "d"]        # a fresh checkpoint counts from batch 0 again
+    write = J.replay_safe_log_writer(log, "feed_pos", run_id="x")
+    batch = spark.createDataFrame([(7, 1, "e", "e"), (8, 1, "a", "a")], schema)
+    write(batch, 0), write(batch, 0)
+    assert sorted(r.url for r in spark.read.parquet(log).collect()) == ["a", "b", "c", "d", "e"]
+
+
 def test_history_never_moves_back(spark):
     hist = spark.createDataFrame([(1, "newscatcher", dt.datetime(2024, 1, 20), AS_OF)], schemas.HISTORY)
     found = spark.createDataFrame([(1, dt.datetime(2024, 1, 10)), (2, dt.datetime(2024, 1, 25))],

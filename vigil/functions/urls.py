@@ -32,23 +32,27 @@ def host(url: Column | str) -> Column:
 
 def canonical_domain(url: Column | str) -> Column:
     """Host without a leading ``www``/``wwwN``/``m`` label."""
-    return F.regexp_replace(host(url), r"^(www[0-9]*|m)\.", "")
+    return bare_domain(host(url))
+
+
+def bare_domain(name: Column) -> Column:
+    """A host name without its leading ``www``/``wwwN``/``m`` label."""
+    return F.regexp_replace(name, r"^(www[0-9]*|m)\.", "")
 
 
 def normalize_url(url: Column | str) -> Column:
     """The de-duplication key of a URL.
 
-    trim, lower-case, drop scheme and a leading ``www.``, drop the fragment,
+    trim, lower-case, drop leading schemes and ``www.``, drop the fragment,
     drop tracking parameters (keeping the others in order), strip trailing
     slashes from the path, NULL when nothing is left.  Idempotent.
     """
-    u = F.lower(F.trim(_c(url)))
-    u = F.regexp_replace(u, r"^[a-z][a-z0-9+.\-]*://", "")
-    u = F.regexp_replace(u, r"^www\.", "")
-    u = F.regexp_replace(u, "#.*$", "")
-    base = F.regexp_replace(F.substring_index(u, "?", 1), "/+$", "")
+    u = F.regexp_replace(F.lower(_c(url)), "(?s)#.*$", "")
+    u = F.regexp_replace(u, r"^(?:\s|[a-z][a-z0-9+.\-]*://|www\.)+", "")
+    base = F.regexp_replace(F.substring_index(u, "?", 1), r"[/\s]+$", "")
     query = F.when(F.instr(u, "?") > 0, F.substring(u, F.instr(u, "?") + 1, 1 << 30)).otherwise(F.lit(""))
-    params = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING_PARAM))
+    params = F.transform(F.split(query, "&"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
+    params = F.filter(params, lambda p: (p != "") & ~p.rlike(TRACKING_PARAM))
     out = F.when(F.size(params) > 0, F.concat(base, F.lit("?"), F.array_join(params, "&"))).otherwise(base)
     return F.when(out == "", F.lit(None).cast("string")).otherwise(out)
 

@@ -275,6 +275,26 @@ def with_model(projects: DataFrame, models: DataFrame, check: bool = True) -> Da
     return projects.join(bounded_broadcast(m), projects["language_model_id"] == m["model_id"])
 
 
+def require_weights(projects: DataFrame, models: DataFrame, model_terms: DataFrame) -> None:
+    """Stop when a stage that some project uses has no weights (no bias row),
+    or is not a TF-IDF stage, whose features ``score`` computes (embedding
+    stages: ``embedding_scores``)."""
+    used = models.join(projects.select(F.col("language_model_id").alias("model_id")).distinct(), "model_id", "left_semi")
+    stages = F.array(F.struct(F.lit(1).alias("stage"), F.col("vectorizer_type_1").alias("vectorizer")),
+                     F.struct(F.lit(2).alias("stage"), F.col("vectorizer_type_2").alias("vectorizer")))
+    chained = F.coalesce(F.col("chained_models"), F.lit(False))
+    used = (used.select("model_id", chained.alias("chained"), F.inline(stages))
+            .filter((F.col("stage") == 1) | F.col("chained")))
+    fitted = model_terms.filter(F.col("term").isNull()).select("model_id", "stage", F.lit(True).alias("fitted")).distinct()
+    problem = (F.when(F.col("vectorizer") != "tfidf", F.format_string("model %d stage %d: %s features are not computed here",
+                                                                      "model_id", "stage", "vectorizer"))
+               .when(F.col("fitted").isNull(), F.format_string("model %d stage %d: no weights", "model_id", "stage")))
+    problems = [r.p for r in used.join(fitted, ["model_id", "stage"], "left").select(problem.alias("p"))
+                .filter("p IS NOT NULL").orderBy("p").limit(10).collect()]
+    if problems:
+        raise ModelConfigError("model problems: " + "; ".join(problems))
+
+
 def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_terms: DataFrame,
           id_col: str = "story_id", text_col: str = "story_text", texts: DataFrame | None = None) -> DataFrame:
     """H4-H6: every (story, project) row scored with its project's model.
@@ -290,6 +310,7 @@ def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_term
     join with the (story, model) pairs.
     """
     pm = with_model(projects, models).select("project_id", "model_id", "chained_models")
+    require_weights(projects, models, model_terms)
     sp = stories.join(bounded_broadcast(pm), "project_id")
     if texts is None:
         texts = stories.select(id_col, text_col).dropDuplicates([id_col])

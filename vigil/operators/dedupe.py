@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +84,15 @@ def cap_per_project(df: DataFrame, cap: int, order_by: Sequence[Column],
     return top_k(df, list(keys), list(order_by), cap)
 
 
+def cut_by_cap(df: DataFrame, cap: int, order_by: Sequence[Column],
+               keys: Sequence[str] = ("project_id",)) -> DataFrame:
+    """The rows that ``cap_per_project`` with the same arguments leaves out."""
+    kept = cap_per_project(df, cap, order_by, keys).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], dedupe_key(df).alias("__k"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("__dk").eqNullSafe(F.col("__k")))
+    return df.withColumn("__dk", dedupe_key(df)).join(unbounded(kept), same, "left_anti").drop("__dk")
+
+
 def batch_numbers(df: DataFrame, order_by: Sequence[str], size: int = 100,
                   keys: Sequence[str] = ("project_id",), out_col: str = "batch_no") -> DataFrame:
     """F8: ``floor((row_number - 1) / size)`` per project, computed with the

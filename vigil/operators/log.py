@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.dates import day, day_text, days_before
+from vigil.functions.dates import day, day_text, days_before, lenient_timestamp
 
 
 def story_key(project_id: Column | str, url_key: Column | str) -> Column:
@@ -51,7 +51,8 @@ def deleted_by_day(deleted: DataFrame) -> DataFrame:
 
 def log_rows(stories: DataFrame, queued_at: dt.datetime | Column, source: str | Column | None = None) -> DataFrame:
     """A10: turn accepted stories (already de-duplicated, with ``project_id``,
-    ``model_id``, ``url``, ``normalized_url``, ``publish_date``) into log rows."""
+    ``model_id``, ``url``, ``normalized_url``, ``publish_date``) into log rows.
+    A missing or unreadable publication date becomes the queueing time."""
     q = queued_at if isinstance(queued_at, Column) else F.lit(queued_at).cast("timestamp")
     src = F.col("source") if source is None else (source if isinstance(source, Column) else F.lit(source))
     key = F.coalesce(F.col("normalized_url"), F.col("url"))
@@ -62,7 +63,7 @@ def log_rows(stories: DataFrame, queued_at: dt.datetime | Column, source: str |
         F.lit(None).cast("double").alias("model_score"),
         F.lit(None).cast("double").alias("model_1_score"),
         F.lit(None).cast("double").alias("model_2_score"),
-        F.col("publish_date").cast("timestamp").alias("published_date"),
+        lenient_timestamp(F.col("publish_date").cast("string"), q).alias("published_date"),
         q.alias("queued_date"),
         F.lit(None).cast("timestamp").alias("processed_date"),
         F.lit(None).cast("timestamp").alias("posted_date"),

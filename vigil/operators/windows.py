@@ -29,7 +29,10 @@ def ensure_history(projects: DataFrame, history: DataFrame, source: str, as_of:
 
 def query_windows(projects: DataFrame, history: DataFrame, source: str, as_of: dt.datetime,
                   respect_project_start: bool = True) -> DataFrame:
-    """``(project_id, start_date, end_date)`` for one platform.
+    """``(project_id, start_date, end_date)`` for one platform, and the
+    ranges a story must lie in (B4): ``indexed_to`` = now (a story is indexed
+    after ``start_date``), ``published_from`` / ``published_to`` = the days
+    ``now-(offset+window)d`` and ``now-offset d``, whatever the mark.
 
     * no history row: ``start = now-(offset+window)d``, raised to the project's
       start date when that parses and is later; ``end = now-offset d``.
@@ -51,30 +54,35 @@ def query_windows(projects: DataFrame, history: DataFrame, source: str, as_of: d
     return (projects.join(bounded_broadcast(h), "project_id", "left")
             .select("project_id",
                     F.when(F.col("__h").isNotNull(), hist_start).otherwise(first_start).alias("start_date"),
-                    end.alias("end_date")))
+                    end.alias("end_date"), ts_lit(as_of).alias("indexed_to"),
+                    F.to_date(default_start).alias("published_from"), F.to_date(end).alias("published_to")))
+
+
+def _ranges(windows: DataFrame) -> DataFrame:
+    return windows.select("project_id", F.col("start_date").alias("__s"), F.col("indexed_to").alias("__e"),
+                          F.col("published_from").alias("__pf"), F.col("published_to").alias("__pt"))
 
 
 def _window_ok(indexed_col: str, published_col: str):
     return ((F.col(indexed_col) > F.col("__s")) & (F.col(indexed_col) <= F.col("__e"))
-            & F.to_date(published_col).between(F.to_date("__s"), F.to_date("__e")))
+            & F.to_date(published_col).between(F.col("__pf"), F.col("__pt")))
 
 
 def in_window(stories: DataFrame, windows: DataFrame, indexed_col: str = "indexed_date",
               published_col: str = "publish_date") -> DataFrame:
-    """Keep stories indexed in ``(start, end]`` of their project's
-    window and published on a day in ``[day(start), day(end)]``."""
-    w = windows.select("project_id", F.col("start_date").alias("__s"), F.col("end_date").alias("__e"))
-    return (stories.join(bounded_broadcast(w), "project_id")
-            .filter(_window_ok(indexed_col, published_col)).drop("__s", "__e"))
+    """Keep stories indexed in ``(start_date, indexed_to]`` of their
+    project's window and published on a day in ``[published_from, published_to]``."""
+    return (stories.join(bounded_broadcast(_ranges(windows)), "project_id")
+            .filter(_window_ok(indexed_col, published_col)).drop("__s", "__e", "__pf", "__pt"))
 
 
 def late_rows(stories: DataFrame, windows: DataFrame, indexed_col: str = "indexed_date",
               published_col: str = "publish_date") -> DataFrame:
     """The complement of ``in_window`` (stories of projects without a
     window included) -- the `late` output, never silently dropped."""
-    w = windows.select("project_id", F.col("start_date").alias("__s"), F.col("end_date").alias("__e"))
-    return (stories.join(bounded_broadcast(w), "project_id", "left")
-            .filter(~F.coalesce(_window_ok(indexed_col, published_col), F.lit(False))).drop("__s", "__e"))
+    return (stories.join(bounded_broadcast(_ranges(windows)), "project_id", "left")
+            .filter(~F.coalesce(_window_ok(indexed_col, published_col), F.lit(False)))
+            .drop("__s", "__e", "__pf", "__pt"))
 
 
 def advance_history(history: DataFrame, found: DataFrame, source: str, as_of: dt.datetime,

@@ -287,11 +287,11 @@ def _webarchive_items(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     return p.select(((F.col("page_id") + 5) % 10).alias("project_id"), "url",
                     TX.html_title("html").alias("title"),
-                    F.lit("2024-01-20").alias("publication_date"),
+                    F.lit("2024-01-20").alias("publish_date"),
                     F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("language"),
-                    U.canonical_domain("url").alias("domain"),
+                    U.canonical_domain("url").alias("media_url"), U.canonical_domain("url").alias("media_name"),
                     F.concat(F.lit("https://archive.example.org/extract/"), F.col("page_id").cast("string")).alias("article_url"),
-                    F.concat(F.lit("https://archive.example.org/web/"), F.col("url")).alias("archive_playback_url"))
+                    F.concat(F.lit("https://archive.example.org/web/"), F.col("url")).alias("archived_url"))
 
 
 def _projects_lang_values() -> str:
@@ -333,7 +333,8 @@ src AS (SELECT page_id % 5 AS collection_id,
 dom AS (SELECT DISTINCT CAST(pc.project_id AS BIGINT) AS project_id, src.name AS domain
         FROM pc JOIN src USING (collection_id) WHERE src.url_search_string IS NULL AND src.name IS NOT NULL)
 SELECT d.feed_pos, d.project_id, d.url FROM deduped d
-WHERE EXISTS (SELECT 1 FROM dom WHERE dom.project_id = d.project_id AND dom.domain = {HOST_SQL.format(c='d.url')})""")
+WHERE EXISTS (SELECT 1 FROM dom WHERE dom.project_id = d.project_id AND regexp_replace(dom.domain, '^(www[0-9]*|m)\\.', '')
+              = regexp_replace({HOST_SQL.format(c='d.url')}, '^(www[0-9]*|m)\\.', ''))""")
 def q_filter_domains(spark, sf_dir):
     domains = FD.project_domains(fixtures.projects(spark),
                                  fixtures.collection_sources(table(spark, sf_dir, "pages")))

@@ -1,7 +1,7 @@
 """The whole monitoring run as one lazy DataFrame plan.
 
 feed -> match every project's search -> de-duplicate (batch, then log) ->
-cap per project -> log keys -> score with each project's model -> keep
+cap per project (if asked for) -> log keys -> score with each project's model -> keep
 above threshold -> attach entities -> posting projection -> result batches.
 
 The driver only plans; config tables (projects, models, clauses, weights)
@@ -22,6 +22,7 @@ from vigil.operators import classify as C
 from vigil.operators import dedupe as D
 from vigil.operators import output as O
 from vigil.operators import search as S
+from vigil.operators import windows as W
 from vigil.operators.common import unbounded
 from vigil.operators.log import story_key
 
@@ -29,30 +30,47 @@ from vigil.operators.log import story_key
 @dataclass
 class RunResult:
     found: DataFrame       # (project, story) pairs matched by the searches
-    kept: DataFrame        # after de-duplication and the cap, with log keys
+    kept: DataFrame        # after de-duplication and the cap if any, with log keys
+    cut: DataFrame | None  # what a cap left out (None without a cap)
     scored: DataFrame      # kept + scores
     above: DataFrame       # scored stories at or above their project's threshold
     batches: DataFrame     # (project_id, batch_no, n_stories, payload)
     bad: DataFrame         # kept stories without text (NULL scores, reported)
+    late: DataFrame | None     # matched but outside the query window (with a history)
+    history: DataFrame | None  # the new high-water marks (with a history)
 
 
 def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, models: DataFrame,
         model_terms: DataFrame, as_of: dt.datetime, source: str = schemas.SOURCE_MEDIA_CLOUD,
         log: DataFrame | None = None, entities: DataFrame | None = None,
-        cap: int | None = None) -> RunResult:
+        cap: int | None = None, history: DataFrame | None = None) -> RunResult:
     """``stories``: canonical rows with a unique ``story_id`` (feed order),
-    ``url, title, story_text, language, indexed_date``; no project yet."""
-    cap = cap or schemas.PLATFORM_CAPS.get(source, 3000)
+    ``url, title, story_text, language, indexed_date`` and, if known,
+    ``publish_date``; no project yet.  Every story goes through unless the
+    caller names a ``cap`` per project; what it leaves out is ``cut``.  With a
+    ``history`` of marks only stories inside their project's window count; the
+    others are ``late``, and the new marks come back."""
+    if "publish_date" not in stories.columns:
+        stories = stories.withColumn("publish_date", F.lit(None).cast("timestamp"))
     matches = S.match_projects(stories, project_terms, projects, doc_id="story_id")
     # only light columns travel through de-duplication and the cap; texts
     # are tokenised where they are read, for scoring only
     light = stories.select(*[c for c in stories.columns if c != "story_text"])
     # Stories split by project = the (project, story) match pairs joined back
     found = matches.join(unbounded(light), "story_id").withColumn("normalized_url", normalize_url("url"))
+    late = marks = None
+    if history is not None:
+        windows = W.query_windows(projects, history, source, as_of)
+        late = W.late_rows(found, windows)
+        found = W.in_window(found, windows)
+        marks = W.advance_history(history, found, source, as_of)
     kept = D.dedupe(found, order_by="story_id")
     if log is not None:
         kept = D.dedupe_against_log(kept, log)
-    kept = D.cap_per_project(kept, cap, [F.desc_nulls_last("indexed_date"), F.col("url")])
+    cut = None
+    if cap is not None:
+        newest = [F.desc_nulls_last("indexed_date"), F.col("url")]
+        kept, cut = D.cap_per_project(kept, cap, newest), D.cut_by_cap(kept, cap, newest)
     kept = kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url")))
     # the feed has one row per story: tokenise texts where they are read
     scored = C.score(kept, projects, models, model_terms, id_col="story_id",
@@ -60,8 +78,7 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
     above = C.above_threshold(scored, projects)
     if entities is not None:
         above = O.attach_entities(above, entities)
-    prepped = O.prep_for_posting(above.withColumn("source", F.lit(source))
-                                 .withColumn("publish_date", F.col("indexed_date")), projects)
+    prepped = O.prep_for_posting(above.withColumn("source", F.lit(source)), projects)
     batches = O.result_batches(prepped, projects)
     bad = C.unscorable(kept, stories.select("story_id", "story_text"))
-    return RunResult(found, kept, scored, above, batches, bad)
+    return RunResult(found, kept, cut, scored, above, batches, bad, late, marks)

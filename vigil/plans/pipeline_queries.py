@@ -129,18 +129,20 @@ def _archive_stories(spark, sf_dir):
                     .alias("publish_date"))
 
 
-ARCHIVE_SQL = f"""
-WITH s AS (SELECT doc_id % 10 AS project_id, doc_id AS story_id,
+_OFFSET, _WINDOW = schemas.PLATFORM_WINDOWS[schemas.SOURCE_MEDIA_CLOUD]
+ARCHIVE_CTE = f"""s AS (SELECT doc_id % 10 AS project_id, doc_id AS story_id,
                   concat('https://', source, '.example.org/story/', CAST(doc_id AS VARCHAR)) AS url,
                   {_ts(AS_OF)} - INTERVAL '1' DAY * (doc_id % 30) - INTERVAL '1' HOUR * (doc_id % 24) AS indexed_date
            FROM documents),
 s2 AS (SELECT *, indexed_date - INTERVAL '1' DAY * (story_id % 3) AS publish_date FROM s),
-w AS ({_windows_sql(schemas.SOURCE_MEDIA_CLOUD, False)}),
+w AS (<windows>),
 j AS (SELECT s2.*, w.start_date, w.end_date,
-             (indexed_date > start_date AND indexed_date <= end_date
-              AND CAST(publish_date AS DATE) BETWEEN CAST(start_date AS DATE) AND CAST(end_date AS DATE)) AS ok
+             (indexed_date > start_date AND indexed_date <= {_ts(AS_OF)}
+              AND CAST(publish_date AS DATE) BETWEEN CAST({_ts(AS_OF - dt.timedelta(days=_OFFSET + _WINDOW))} AS DATE)
+                                                 AND CAST({_ts(AS_OF - dt.timedelta(days=_OFFSET))} AS DATE)) AS ok
       FROM s2 LEFT JOIN w USING (project_id))
 """
+ARCHIVE_SQL = "WITH " + ARCHIVE_CTE.replace("<windows>", _windows_sql(schemas.SOURCE_MEDIA_CLOUD, False))
 
 
 @query("in_window", sql=ARCHIVE_SQL + "SELECT project_id, story_id, url FROM j WHERE ok")
@@ -157,6 +159,24 @@ def q_late_rows(spark, sf_dir):
     return W.late_rows(_archive_stories(spark, sf_dir), w).select("project_id", "story_id", "url")
 
 
+def _daily_windows(spark, sf_dir):
+    return W.query_windows(fixtures.projects(spark), history_before(spark, sf_dir), schemas.SOURCE_MEDIA_CLOUD, AS_OF)
+
+
+_DAILY_SQL = LOG_CTE + HIST_SQL + ", " + ARCHIVE_CTE.replace("<windows>", _windows_sql(schemas.SOURCE_MEDIA_CLOUD, True))
+
+
+@query("in_window_with_history", sql=_DAILY_SQL + "SELECT project_id, story_id, url FROM j WHERE ok")
+def q_in_window_with_history(spark, sf_dir):
+    """B4 on a later run: indexed since the project's mark, published in the day range."""
+    return W.in_window(_archive_stories(spark, sf_dir), _daily_windows(spark, sf_dir)).select("project_id", "story_id", "url")
+
+
+@query("late_rows_with_history", sql=_DAILY_SQL + "SELECT project_id, story_id, url FROM j WHERE NOT coalesce(ok, false)")
+def q_late_rows_with_history(spark, sf_dir):
+    return W.late_rows(_archive_stories(spark, sf_dir), _daily_windows(spark, sf_dir)).select("project_id", "story_id", "url")
+
+
 @query("log_state", sql=LOG_CTE + "SELECT * FROM story_log")
 def q_log_state(spark, sf_dir):
     """The log rebuilt from insert rows plus lifecycle events equals the log."""
@@ -182,7 +202,8 @@ def q_log_state(spark, sf_dir):
 
 
 def run(spark, sf_dir):
-    stories = fixtures.stories_from_documents(table(spark, sf_dir, "documents"))
+    stories = fixtures.stories_from_documents(table(spark, sf_dir, "documents")).withColumn(
+        "publish_date", F.col("indexed_date") - F.make_dt_interval(days=(F.col("story_id") % 3).cast("int")))
     return pipeline.run(stories, fixtures.projects(spark), fixtures.project_terms(spark),
                         fixtures.models(spark), CQ.model_terms(spark, sf_dir), AS_OF)
 
@@ -192,7 +213,6 @@ def _pipeline_sql() -> str:
     match = _match_sql(True).strip()
     assert match.startswith("WITH ")
     match = match[len("WITH "):]
-    cap = schemas.PLATFORM_CAPS[schemas.SOURCE_MEDIA_CLOUD]
     found = f"""found AS (
   SELECT m.project_id, m.doc_id AS story_id, x.url, regexp_replace(x.url, '^https?://', '') AS normalized_url,
          x.indexed_date
@@ -201,10 +221,7 @@ def _pipeline_sql() -> str:
                FROM documents) x USING (doc_id)),
 dedup AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY project_id, coalesce(normalized_url, url)
                                                       ORDER BY story_id) AS rn FROM found) WHERE rn = 1),
-kept AS (SELECT * EXCLUDE (rn2) FROM (
-           SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY project_id
-                                                     ORDER BY indexed_date DESC NULLS LAST, url) AS rn2 FROM dedup)
-         WHERE rn2 <= {cap})"""
+kept AS (SELECT * EXCLUDE (rn) FROM dedup)"""
     stories = "SELECT k.story_id, k.project_id, d.text AS story_text FROM kept k JOIN documents d ON d.doc_id = k.story_id"
     return CQ.score_cte(stories, match + ",\n" + found)
 
@@ -267,14 +284,14 @@ def q_pipeline_total(spark, sf_dir):
 
 @query("pipeline_log_rows", sql=_pipeline_sql() + f"""
 SELECT sha256(concat_ws('|', CAST(k.project_id AS VARCHAR), coalesce(k.normalized_url, k.url))) AS id,
-       k.project_id, p.model_id, k.url, k.normalized_url, k.indexed_date AS published_date,
+       k.project_id, p.model_id, k.url, k.normalized_url, k.indexed_date - INTERVAL '1' DAY * (k.story_id % 3) AS published_date,
        {_ts(AS_OF)} AS queued_date, false AS above_threshold, 'media-cloud' AS source
 FROM kept k JOIN proj p USING (project_id)""")
 def q_pipeline_log_rows(spark, sf_dir):
     """A10: the log rows a run inserts (one per kept story, keyed by I16)."""
     kept = run(spark, sf_dir).kept
     models = fixtures.projects(spark).select("project_id", F.col("language_model_id").alias("model_id"))
-    rows = logops.log_rows(kept.join(models, "project_id").withColumn("publish_date", F.col("indexed_date")),
+    rows = logops.log_rows(kept.join(models, "project_id"),
                            queued_at=F.lit(f"{AS_OF:%Y-%m-%d %H:%M:%S}").cast("timestamp"),
                            source=schemas.SOURCE_MEDIA_CLOUD)
     return rows.select("id", "project_id", "model_id", "url", "normalized_url", "published_date",

@@ -102,7 +102,7 @@ def q_stream_scores(spark, sf_dir):
             "story_id", "project_id", "model_id", F.round("model_1_score", 6).alias("model_1_score"),
             F.round("model_2_score", 6).alias("model_2_score"), F.round("model_score", 6).alias("model_score"))
     J.run_available(stories.writeStream.foreachBatch(J.foreach_batch_writer(scoring, f"{d}/out")), f"{d}/ck")
-    return spark.read.parquet(f"{d}/out").drop("batch_id")
+    return spark.read.parquet(f"{d}/out").drop("run", "batch_id")
 
 
 def _late_split(spark, sf_dir):

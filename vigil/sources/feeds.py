@@ -125,17 +125,17 @@ def from_search_feed(df: DataFrame, projects: DataFrame) -> DataFrame:
 
 
 def from_webarchive_feed(df: DataFrame) -> DataFrame:
-    """A5: web-archive items (``project_id, url, title, publication_date,
-    language, domain, article_url, archive_playback_url``) -> stories, keeping
+    """A5: web-archive items (``project_id, url, title, publish_date,
+    language, media_url, media_name, article_url, archived_url``) -> stories, keeping
     the extracted-content and archive URLs; no authors."""
     return df.select(*_canonical(
         project_id=F.col("project_id"), url=F.col("url"),
         source=F.lit(schemas.SOURCE_WAYBACK_MACHINE), title=F.col("title"),
-        language=F.col("language"), source_publish_date=F.col("publication_date"),
-        publish_date=(F.col("publication_date")).try_cast("timestamp"),
-        media_url=F.col("domain"), media_name=F.col("domain"),
+        language=F.col("language"), source_publish_date=F.col("publish_date"),
+        publish_date=(F.col("publish_date")).try_cast("timestamp"),
+        media_url=F.col("media_url"), media_name=F.col("media_name"),
         extracted_content_url=F.col("article_url"),
-        archived_url=F.col("archive_playback_url"),
+        archived_url=F.col("archived_url"),
     ))
 
 
@@ -179,11 +179,12 @@ def project_domains(projects: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def filter_domains(stories: DataFrame, domains: DataFrame, url_col: str = "url") -> DataFrame:
-    """Keep stories whose host is one of their project's domains
-    (``domains``: project_id, domain -- e.g. ``project_domains``).  A left semi
-    join on (project_id, host): only keys move, stories are never duplicated."""
-    keyed = stories.withColumn("__host", U.host(url_col))
-    d = domains.select("project_id", F.lower("domain").alias("__host"))
+    """Keep stories whose domain is one of their project's domains
+    (``domains``: project_id, domain -- e.g. ``project_domains``), both without
+    a leading ``www``/``m`` label.  A left semi join on (project_id, domain):
+    only keys move, stories are never duplicated."""
+    keyed = stories.withColumn("__host", U.canonical_domain(url_col))
+    d = domains.select("project_id", U.bare_domain(F.lower("domain")).alias("__host"))
     return keyed.join(d, ["project_id", "__host"], "left_semi").drop("__host")
 
 

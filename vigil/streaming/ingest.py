@@ -5,8 +5,9 @@ and the low-volume alert (J1-J8).
 Every stateful operator is bounded: de-duplication and windows forget state
 behind a watermark; the high-water mark keeps one row per (project, source).
 Sinks are files under the shared checkpoint folder; a micro-batch writes its
-own directory named by batch id, so a retried batch replaces its own output
-instead of adding rows.
+own directory named by the query and the batch id, so a retried batch replaces
+its own output instead of adding rows, and a query that starts again with a
+fresh checkpoint (its batches count from 0) never overwrites earlier rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from vigil import schemas
 from vigil.operators import dedupe as D
@@ -32,7 +32,7 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def read_stream(spark: SparkSession, directory: str, schema: T.StructType, file_glob: str = "*.parquet",
-                fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
+                fmt: str = "parquet", max_files_per_trigger: int = 1000) -> DataFrame:
     """New files of a directory as an unbounded table (explicit schema,
     bounded micro-batches)."""
     return (spark.readStream.format(fmt).schema(schema)
@@ -70,51 +70,65 @@ def high_water_stream(log: DataFrame, date_col: str = "queued_date") -> DataFram
     return log.groupBy("project_id", "source").agg(F.max(date_col).alias("latest_date"))
 
 
-def replay_safe_log_writer(log_path: str, order_by: str, key_cols: tuple[str, ...] = ("project_id",)
-                           ) -> Callable[[DataFrame, int], None]:
+def _run_of(batch: DataFrame, run_id: str | None) -> str:
+    """The run a micro-batch belongs to: the id of its streaming query, which
+    its checkpoint keeps over restarts, unless the caller names the run;
+    batches written outside a query and without a name are one run."""
+    run = run_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"run-{run or 'unnamed'}"     # never read back as a number or a date
+
+
+def _batch_path(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
+def replay_safe_log_writer(log_path: str, order_by: str, key_cols: tuple[str, ...] = ("project_id",),
+                           run_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer that appends only stories not yet in the
-    log; the batch is written to ``batch_id=<id>`` with overwrite, so a
-    retried batch replaces its own rows and never duplicates them."""
+    log; the batch is written to ``run=<run>/batch_id=<id>`` with overwrite, so
+    a retried batch replaces its own rows and never duplicates them."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run = _run_of(batch, run_id)
         fresh = D.dedupe(batch, order_by=order_by, keys=key_cols)
-        target = f"{log_path}/batch_id={batch_id}"
-        seen = _read_if_exists(spark, log_path)
-        if seen is not None:
-            # earlier batches only: a replay of this batch must not see itself
-            fresh = D.dedupe_against_log(fresh, seen.filter(F.col("batch_id") != batch_id).drop("batch_id"))
-        fresh.write.mode("overwrite").parquet(target)
+        if _exists(spark, log_path):
+            # all other batches: a replay of this batch must not see itself
+            seen = spark.read.parquet(log_path)
+            others = (F.col("run") != run) | (F.col("batch_id") != batch_id)
+            fresh = D.dedupe_against_log(fresh, seen.filter(others).drop("run", "batch_id"))
+        fresh.write.mode("overwrite").parquet(_batch_path(log_path, run, batch_id))
     return write
 
 
-def foreach_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str
-                         ) -> Callable[[DataFrame, int], None]:
+def foreach_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str,
+                         run_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """Apply a batch transformation (e.g. scoring against static model
     weights) to each micro-batch and write it under its batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        transform(batch).write.mode("overwrite").parquet(_batch_path(out_path, _run_of(batch, run_id), batch_id))
     return write
 
 
 def split_late_writer(windows: DataFrame, out_path: str, indexed_col: str = "indexed_date",
-                      published_col: str = "publish_date") -> Callable[[DataFrame, int], None]:
+                      published_col: str = "publish_date", run_id: str | None = None
+                      ) -> Callable[[DataFrame, int], None]:
     """Each micro-batch is split by the query windows into ``kept`` and
     ``late`` outputs (both written, per batch id, so replays replace)."""
     from vigil.operators.windows import in_window, late_rows
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = _run_of(batch, run_id)
         in_window(batch, windows, indexed_col, published_col).write.mode("overwrite") \
-            .parquet(f"{out_path}/kept/batch_id={batch_id}")
+            .parquet(_batch_path(f"{out_path}/kept", run, batch_id))
         late_rows(batch, windows, indexed_col, published_col).write.mode("overwrite") \
-            .parquet(f"{out_path}/late/batch_id={batch_id}")
+            .parquet(_batch_path(f"{out_path}/late", run, batch_id))
     return write
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a log yet; one that cannot be read stays an error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def run_available(stream_writer, checkpoint: str):
