@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +30,43 @@ from vigil.operators.log import story_key
 
 @dataclass
 class RunResult:
+    """The outputs of a run.  Scores and batches are planned when first asked
+    for: numbering batches writes the numbered rows, which a caller who wants
+    the summary or the log rows only need not pay for."""
     found: DataFrame       # (project, story) pairs matched by the searches
     kept: DataFrame        # after de-duplication and the cap if any, with log keys
     cut: DataFrame | None  # what a cap left out (None without a cap)
-    scored: DataFrame      # kept + scores
-    above: DataFrame       # scored stories at or above their project's threshold
-    batches: DataFrame     # (project_id, batch_no, n_stories, payload)
-    bad: DataFrame         # kept stories without text (NULL scores, reported)
     late: DataFrame | None     # matched but outside the query window (with a history)
     history: DataFrame | None  # the new high-water marks (with a history)
+    texts: DataFrame
+    projects: DataFrame
+    models: DataFrame
+    model_terms: DataFrame
+    source: str
+    entities: DataFrame | None = None
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """kept + scores; the feed has one row per story, so texts are
+        tokenised where they are read."""
+        return C.score(self.kept, self.projects, self.models, self.model_terms, id_col="story_id", texts=self.texts)
+
+    @cached_property
+    def above(self) -> DataFrame:
+        """Scored stories at or above their project's threshold."""
+        above = C.above_threshold(self.scored, self.projects)
+        return above if self.entities is None else O.attach_entities(above, self.entities)
+
+    @cached_property
+    def batches(self) -> DataFrame:
+        """(project_id, batch_no, n_stories, payload)"""
+        prepped = O.prep_for_posting(self.above.withColumn("source", F.lit(self.source)), self.projects)
+        return O.result_batches(prepped, self.projects)
+
+    @cached_property
+    def bad(self) -> DataFrame:
+        """Kept stories without text (NULL scores, reported)."""
+        return C.unscorable(self.kept, self.texts)
 
 
 def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, models: DataFrame,
@@ -72,13 +101,5 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
         newest = [F.desc_nulls_last("indexed_date"), F.col("url")]
         kept, cut = D.cap_per_project(kept, cap, newest), D.cut_by_cap(kept, cap, newest)
     kept = kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url")))
-    # the feed has one row per story: tokenise texts where they are read
-    scored = C.score(kept, projects, models, model_terms, id_col="story_id",
-                     texts=stories.select("story_id", "story_text"))
-    above = C.above_threshold(scored, projects)
-    if entities is not None:
-        above = O.attach_entities(above, entities)
-    prepped = O.prep_for_posting(above.withColumn("source", F.lit(source)), projects)
-    batches = O.result_batches(prepped, projects)
-    bad = C.unscorable(kept, stories.select("story_id", "story_text"))
-    return RunResult(found, kept, cut, scored, above, batches, bad, late, marks)
+    return RunResult(found, kept, cut, late, marks, stories.select("story_id", "story_text"), projects, models,
+                     model_terms, source, entities)
