@@ -48,6 +48,7 @@ from vigil.operators.common import bounded_broadcast
 
 BLOCK_SHINGLES = 100_000    # entries of a block of the product of a family, about
 BLOCK_DOCS = 256            # and its documents
+HOT_CLASSES = 4096  # classes of more than 1/4096 of all rows join by broadcast: fewer than 4096 rows
 COUNT_BITS = 18     # the shingle count table has 2^18 cells, whatever the input
 
 
@@ -293,6 +294,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     weight = F.count(F.lit(1)) / (F.col("n") - _rest(F.col("n"), num, den))
     central = shared.groupBy("rep", "n").agg(weight.alias("share"))
     rows = run.keep(shared.join(central, ["rep", "n"]), "rows")
+    run.drop("shared")
     links: DataFrame | None = None
     stars: DataFrame | None = None
     comp = rows.select(F.col("rep").alias("node")).distinct().withColumn("component", F.col("node"))
@@ -359,13 +361,23 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = run.keep(found if links is None else links.unionByName(found), "links")
     comp = connected_components(links, run, "cc")
 
-    reps = keys.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
-    # every row's class, then the component of the class; rows that share an id share the node
-    result = (keys.join(reps, ["n", "s1", "s2"], "left")
-             .join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-             .withColumn("own", F.coalesce("component", "rep", "id")))
+    reps = keys.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows"))
+    reps = run.keep(reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+                    .select("n", "s1", "s2", F.coalesce("component", "rep").alias("own"), "rows"), "classes")
+    for name in ("open", "shares", "whole", "limits", "pairs"):
+        run.drop(name)
+    # a class of many copies would be one hot key: at most HOT_CLASSES classes
+    # hold more than that share of all rows, and they are broadcast
+    total = keys.count()
+    hot = F.broadcast(reps.filter(F.col("rows") * HOT_CLASSES > total).drop("rows"))
+    same = ["n", "s1", "s2"]
+    some = keys.filter("n > 0")
+    alone = keys.filter("n = 0").withColumn("own", F.col("id"))
+    result = (some.join(hot, same).unionByName(some.join(hot, same, "left_anti").join(reps.drop("rows"), same, "left"))
+              .unionByName(alone))
+    # rows that share an id share the node
     return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                        F.when(F.col("id").isNotNull(), F.col("own")).alias("component_id"))
+                        F.when(F.col("id").isNotNull(), F.coalesce("own", "id")).alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
