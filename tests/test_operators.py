@@ -372,6 +372,50 @@ def test_bounded_broadcast_falls_back(spark):
     assert plain.count() == 1000 and small.count() == 1000
 
 
+def test_bounded_broadcast_measures_wide_columns(spark):
+    from vigil.operators.common import bounded_broadcast
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+    ids = spark.range(100)
+    wide = {
+        "string": F.repeat(F.lit("x"), 4000),
+        "longs": F.sequence(F.lit(1), F.lit(500)).cast("array<long>"),
+        "strings": F.array_repeat(F.repeat(F.lit("x"), 100), 40),
+        "map": F.create_map(F.lit("k"), F.repeat(F.lit("x"), 4000)),
+        "struct": F.struct(F.lit(1).alias("a"), F.repeat(F.lit("x"), 4000).alias("b")),
+    }
+    for name, value in wide.items():
+        df = ids.withColumn("a.b", value)
+        assert not hinted(bounded_broadcast(df, max_bytes=200_000)), name
+        assert hinted(bounded_broadcast(df, max_bytes=2_000_000)), name
+        assert hinted(bounded_broadcast(ids.withColumn("v", F.lit(None).cast(df.schema["a.b"].dataType)), max_bytes=200_000)), name
+    clash = ids.withColumn("s", F.lit("x")).select("s", F.col("s"))
+    assert hinted(bounded_broadcast(clash, max_bytes=200_000))
+    assert hinted(bounded_broadcast(ids.withColumn("s", F.lit("x")).limit(0)))
+
+
+def test_shared_folder_is_needed_off_local_mode():
+    from types import SimpleNamespace
+
+    from vigil.session import checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)
+
+
+def test_logistic_regression_keeps_every_term_or_fails(spark):
+    from vigil.operators import classify as C
+    train = spark.createDataFrame([("alpha beta gamma", 1), ("delta epsilon beta", 0), ("alpha gamma", 1), ("delta", 0)],
+                                  "text string, quality int")
+    terms = C.fit_logistic_regression(train, "quality", max_iter=3).filter("term is not null")
+    assert {r.term for r in terms.collect()} == {"alpha", "beta", "gamma", "delta", "epsilon"}
+    with pytest.raises(ValueError, match="5 distinct terms"):
+        C.fit_logistic_regression(train, "quality", max_terms=4)
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     from vigil.streaming.ingest import replay_safe_log_writer
     write = replay_safe_log_writer(str(tmp_path / "log"), "pos")

@@ -150,18 +150,24 @@ def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]],
 
 def fit_logistic_regression(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
                             model_id: int = 1, stage: int = 1, reg_param: float = 0.01,
-                            max_iter: int = 50) -> DataFrame:
+                            max_iter: int = 50, max_terms: int = 1 << 22) -> DataFrame:
     """Logistic regression on the same TF-IDF features, fitted with a Spark ML
-    pipeline (distributed L-BFGS), exported as ``model_terms`` rows."""
+    pipeline (distributed L-BFGS), exported as ``model_terms`` rows.  Every
+    term of the training texts is a feature; more than ``max_terms`` distinct
+    terms are an error, never a cut."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer
 
     train = train.filter(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()) \
         .select(F.col(text_col).alias("__text"), F.col(label_col).cast("double").alias("__label"))
+    tokenizer = RegexTokenizer(inputCol="__text", outputCol="__tok", gaps=False, pattern=FEATURE_TOKEN, toLowercase=True)
+    n_terms = tokenizer.transform(train).select(F.explode("__tok")).distinct().count()
+    if n_terms > max_terms:
+        raise ValueError(f"{n_terms} distinct terms; the weights of a fitted model pass through the driver, at most {max_terms} may")
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="__text", outputCol="__tok", gaps=False, pattern=FEATURE_TOKEN, toLowercase=True),
-        CountVectorizer(inputCol="__tok", outputCol="__tf", vocabSize=1 << 18),
+        tokenizer,
+        CountVectorizer(inputCol="__tok", outputCol="__tf", vocabSize=max(n_terms, 1)),
         IDF(inputCol="__tf", outputCol="__tfidf"),
         Normalizer(inputCol="__tfidf", outputCol="__x", p=2.0),
         LogisticRegression(featuresCol="__x", labelCol="__label", regParam=reg_param, maxIter=max_iter),
@@ -173,7 +179,7 @@ def fit_logistic_regression(train: DataFrame, label_col: str, id_col: str = "doc
     coef = lr.coefficients.toArray().tolist()
     import pandas as pd
     spark = train.sparkSession
-    # a fitted Spark ML model lives on the driver; its (at most 2^18) weights
+    # a fitted Spark ML model lives on the driver; its (at most max_terms) weights
     # are handed back as a table through Arrow
     pdf = pd.DataFrame({"model_id": model_id, "stage": stage, "term": list(vocab) + [None],
                         "idf": idf + [None], "weight": coef + [float(lr.intercept)]})

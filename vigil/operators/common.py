@@ -40,17 +40,55 @@ def row_width(df: DataFrame) -> int:
     return 16 + sum(_type_size(f.dataType) for f in df.schema.fields)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only if its estimated size is at most ``max_bytes``.
+def _has_variable_part(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_variable_part(f.dataType) for f in t.fields)
+    return isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
+
+
+def _measured_size(c: Column, t: T.DataType) -> Column:
+    """Bytes of one value: lengths of strings and binaries, and what arrays,
+    maps and structs hold; nulls count as empty."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c).cast("long")
+    elif isinstance(t, T.ArrayType):
+        if _has_variable_part(t.elementType):
+            size = F.aggregate(c, F.lit(0).cast("long"),
+                               lambda acc, x: acc + F.lit(8) + _measured_size(x, t.elementType))
+        else:
+            size = F.size(c).cast("long") * _type_size(t.elementType)
+    elif isinstance(t, T.MapType):
+        size = (_measured_size(F.map_keys(c), T.ArrayType(t.keyType))
+                + _measured_size(F.map_values(c), T.ArrayType(t.valueType)))
+    elif isinstance(t, T.StructType):
+        size = F.lit(0).cast("long")
+        for f in t.fields:
+            size = size + _measured_size(c.getField(f.name), f.dataType)
+    else:
+        return F.lit(_type_size(t)).cast("long")
+    return F.greatest(F.coalesce(size, F.lit(0).cast("long")), F.lit(0).cast("long"))
 
-    The bound is a row count (``max_bytes`` / estimated row width) checked by
-    reading at most that many rows plus one (a limit pushed into the scan).
-    Beyond the bound the frame is returned unhinted, so the join falls back
-    to a shuffle join that AQE can still split when a key is skewed.
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it measures at most ``max_bytes``.
+
+    At most ``max_bytes`` / estimated row width rows, plus one, are read (a
+    limit pushed into the scan).  Where columns vary in width (strings,
+    arrays, maps), the bytes of those rows are summed as well; only the sizes
+    leave the scan's tasks.  Beyond either bound the frame is returned
+    unhinted, so the join falls back to a shuffle join that AQE can still
+    split when a key is skewed.
     """
     max_rows = max(1, max_bytes // row_width(df))
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if not any(_has_variable_part(f.dataType) for f in df.schema.fields):
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    columns = df.toDF(*[f"c{i}" for i in range(len(df.columns))])   # names may clash or hold dots
+    width = F.lit(16).cast("long")
+    for f in columns.schema.fields:
+        width = width + _measured_size(F.col(f.name), f.dataType)
+    read = (columns.select(width.alias("bytes")).limit(max_rows + 1)
+            .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first())
+    return F.broadcast(df) if read.n <= max_rows and read.bytes <= max_bytes else df
 
 
 def unbounded(df: DataFrame) -> DataFrame:

@@ -55,9 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach; it is read from the session (Spark applies it to the context at
-    start-up).  Only when it is unset (local tests) is a private scratch
-    folder created and registered with the context -- the setting itself is
-    fixed at start-up and is never changed here.
+    start-up).  Only when it is unset in local mode (tests) is a private
+    scratch folder created and registered with the context -- the setting
+    itself is fixed at start-up and is never changed here.  On a cluster a
+    missing setting is an error: executors cannot read the driver's folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -65,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = sc.applicationId
     if app not in _LOCAL_CHECKPOINTS:
         _LOCAL_CHECKPOINTS[app] = tempfile.mkdtemp(prefix="vigil-ckpt-")
