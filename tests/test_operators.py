@@ -400,8 +400,8 @@ def test_shared_folder_is_needed_off_local_mode():
     from types import SimpleNamespace
 
     from vigil.session import checkpoint_dir
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
-                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+    settings = {"spark.master": "spark://host:7077"}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(applicationId="app"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(cluster)
 

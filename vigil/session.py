@@ -66,7 +66,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d
-    if not sc.master.startswith("local"):
+    if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = sc.applicationId
     if app not in _LOCAL_CHECKPOINTS:
