@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pytest
 
-from vigil.llm import licenses
+from vigil.llm import licenses, queries
 
 SAMPLES = Path(__file__).parent / "license_samples"
 GPL2 = """/*
@@ -69,3 +69,14 @@ def test_whole_licence_files(spark):
 def test_licence_texts_are_told_apart(spark, name):
     text = (licenses.TEXTS / f"{name}.txt").read_text(encoding="utf-8")
     assert scan(spark, [text.replace("\n", "\r\n") + "\r\nCopyright 2020 J. Roe\r\n"]) == [name]
+
+
+def test_query_scans_pages_and_documents(spark, tmp_path):
+    pages = [(1, "http://h/", "<p>Licensed under the Apache License, Version 2.0.</p>"), (2, "http://h/a", "<p>none</p>")]
+    docs = [(1, "prose\n\nLicensed under CC BY-NC 4.0.\n\nmore prose"), (2, "prose"), (3, None), (3, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.table, r.id, r.path, r.license, r.origin) for r in queries.op3_license_scan(spark, str(tmp_path)).collect()
+                 if r.table == "pages" or r.license)
+    assert got == [("documents", 1, None, "CC-BY-NC-4.0", "own"), ("pages", 1, "h/", "Apache-2.0", "own"), ("pages", 2, "h/a", "Apache-2.0", "inherited")]
+    assert queries.op3_license_scan(spark, str(tmp_path)).filter("origin = 'none'").count() == 3

@@ -4,7 +4,7 @@ by name, and DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
@@ -20,8 +20,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").withColumn("path", licenses.url_path(F.col("url")))
-    return licenses.scan(pages, id_col="page_id", path_col="path", text_col="html")
+    """Pages by the path of their url; documents have no path and inherit nothing."""
+    def files(name: str, id_col: str, path: Column, text_col: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.struct(F.lit(name).alias("table"), F.col(id_col).alias("id")).alias("file"),
+                                                 path.alias("path"), F.col(text_col).alias("text"))
+
+    both = files("pages", "page_id", licenses.url_path(F.col("url")), "html").unionByName(
+        files("documents", "doc_id", F.lit(None).cast("string"), "text"))
+    return licenses.scan(both, id_col="file").select("file.*", "path", "license", "cosine", "origin", "inherited_from")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
