@@ -121,20 +121,24 @@ def _placed(rows: DataFrame, targets: DataFrame, digits: int) -> DataFrame:
 def _block_of(word: Column) -> Column:
     """Block that holds a word of a stream of source_size words in ``blocks``
     blocks: the first ``source_size mod blocks`` have one word more."""
-    small = F.floor(F.col("source_size") / F.col("blocks"))
-    extra = F.pmod("source_size", "blocks")
+    some = F.greatest("blocks", F.lit(1))       # a source of empty texts has no block
+    small = F.floor(F.col("source_size") / some)
+    extra = F.pmod("source_size", some)
     return F.when(word < extra * (small + 1), F.floor(word / (small + 1))).otherwise(
         extra + F.floor((word - extra * (small + 1)) / F.greatest(small, F.lit(1))))
 
 
 def block_start(block: Column) -> Column:
     """First word of a block (see ``_block_of``)."""
-    small = F.floor(F.col("source_size") / F.col("blocks"))
-    return block * small + F.least(block, F.pmod("source_size", "blocks"))
+    some = F.greatest("blocks", F.lit(1))
+    small = F.floor(F.col("source_size") / some)
+    return block * small + F.least(block, F.pmod("source_size", some))
 
 
 def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, run: Scratch, **options):
-    sized = run.keep(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")), "sized")
+    # the row's own key: rows of size 0 may be equal in all else
+    sized = run.keep(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+                     .withColumn("row", F.monotonically_increasing_id()), "sized")
     targets = run.keep(source_targets(sized, **options), "targets")
     total = targets.agg(F.sum("slots"), F.sum("n_docs")).first()
     slots = schedule(targets, total[0] or 0)
@@ -154,7 +158,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .groupBy("sid", F.pmod("rank", "blocks").alias("block"))
              .agg(F.count(F.lit(1)).alias("times"), F.min("slot").alias("first_slot")))
     return (cut.join(times, ["sid", "block"], "left")
-            .groupBy("id", "sid", "at", "size", "source_size", "target")
+            .groupBy("row", "id", "size", "source_size", "target")
             .agg(F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("long").alias("taken"), F.min("first_slot").alias("first_slot"))
             .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "first_slot"))
 
