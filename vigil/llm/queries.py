@@ -58,6 +58,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).drop("first_slot")
 
 
+def op9_mixing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the schedule first takes each document; ``op9_mixing`` has its
+    twin's columns only."""
+    return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "taken", "first_slot")
+
+
 def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op9_mixing_order": op9_mixing_order,
     "op10_binary_records": op10_binary_records,
 }
 
