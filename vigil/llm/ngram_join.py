@@ -37,7 +37,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -382,18 +382,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of near copies, that of the
-    smallest id, all columns as they were.  Of rows that share an id one stays
-    (the first by text).  Documents with a null id, or without words, stay."""
+    smallest id, all columns as they were.  Rows that share an id are documents
+    of their own, the first by hash of the text counting as the smaller.
+    Documents with a null id, or without words, stay."""
     names = docs.columns
-    groups = ngram_jaccard_join(docs, id_col, text_col, **options)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
     kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    c_id, c_text = (f"c{names.index(c)}" for c in (id_col, text_col))
-    kept = kept.join(bounded_broadcast(gone), F.col(c_id) == F.col("__id"), "left_anti")
-    twice = groups.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
-    again = kept.join(bounded_broadcast(twice), F.col(c_id) == F.col("__id"), "left_semi")
-    once = kept.join(bounded_broadcast(twice), F.col(c_id) == F.col("__id"), "left_anti")
-    words = F.col(c_text).cast("string").rlike(r"[^\x20\x09-\x0D]")
-    first = Window.partitionBy(c_id, F.coalesce(words, F.lit(False))).orderBy(F.xxhash64(c_text), c_text)
-    again = again.withColumn("__n", F.row_number().over(first)).filter((F.col("__n") == 1) | ~F.coalesce(words, F.lit(False))).drop("__n")
-    return once.unionByName(again).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    key, c_text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    if kept.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1).count():
+        # a key of the row's own in the order of the ids: place in the sorted rows
+        order = [F.col(key), F.xxhash64(c_text), F.col(c_text)]
+        sorted_rows = kept.repartitionByRange(*order).sortWithinPartitions(*order)
+        row = F.when(F.col(key).isNotNull(), F.monotonically_increasing_id())
+        kept, key = Scratch(docs.sparkSession, "near-copies").keep(sorted_rows.withColumn("row", row), "numbered"), "row"
+    groups = ngram_jaccard_join(kept, key, c_text, **options)
+    gone = groups.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__id")).distinct()
+    kept = kept.join(bounded_broadcast(gone), F.col(key) == F.col("__id"), "left_anti")
+    return kept.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
