@@ -193,13 +193,18 @@ MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.St
                                   T.StructField("doc_start", T.LongType()), T.StructField("length", T.LongType())]))
 
 
-def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, window: int, block_bytes: int) -> Iterator:
-    """The test items as broadcast blocks of about ``block_bytes`` of text."""
-    small_batches(items.sparkSession)
+def _test_items(items: DataFrame, item_id_col: str, item_text_col: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """Rows (item_id, text) and the number of blocks they make; no text leaves the tasks."""
     test = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     test = test.filter(F.col("text").isNotNull())
     size = test.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
+    return test, max(1, -(-size // block_bytes))
+
+
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, window: int, block_bytes: int) -> Iterator:
+    """The test items as broadcast blocks of about ``block_bytes`` of text."""
+    small_batches(items.sparkSession)
+    test, n = _test_items(items, item_id_col, item_text_col, block_bytes)
     for b in range(n):
         got = test.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
         yield n, items.sparkSession.sparkContext.broadcast(
@@ -255,9 +260,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = names.index(text_col)
     extra = [T.StructField("n_words", T.LongType()), T.StructField("matches", MATCH)]
-    blocks = list(_blocks(items, item_id_col, item_text_col, window, block_bytes))
-    if len(blocks) == 1:
-        found = rows.mapInArrow(partial(_scan, items_b=blocks[0][1], text_at=at, keep=list(range(len(names)))),
+    if _test_items(items, item_id_col, item_text_col, block_bytes)[1] == 1:
+        ((_, held),) = _blocks(items, item_id_col, item_text_col, window, block_bytes)
+        found = rows.mapInArrow(partial(_scan, items_b=held, text_at=at, keep=list(range(len(names)))),
                                 T.StructType([*rows.schema.fields, *extra]))
         return judge(found, times).filter(~F.col("contaminated")).select(
             *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
