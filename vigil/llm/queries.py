@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
+from vigil.llm import bpe, langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
 from vigil.sources.tables import table
 
 
@@ -68,6 +68,10 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op9_mixing_order": op9_mixing_order,
     "op10_binary_records": op10_binary_records,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
 }
 
 ORACLES: dict[str, str] = {
