@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
+from vigil.llm import bpe, filteraudit, langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
 from vigil.sources.tables import table
 
 
@@ -72,6 +72,10 @@ def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -85,11 +89,13 @@ QUERIES = {
     "op9_mixing_order": op9_mixing_order,
     "op10_binary_records": op10_binary_records,
     "op12_bpe_round_trip": op12_bpe_round_trip,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op8_quality_rules": lines.LINES_SQL.strip(),
     "op9_mixing": mixing.MIX_SQL.strip(),
+    "op13_filter_audit": filteraudit.AUDIT_SQL.strip(),
 }
 
 
