@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, filteraudit, langid, licenses, lines, mixing, ngram_join, records, subword, suffix, tokencount, urlfilter
+from vigil.llm import bpe, filteraudit, langid, licenses, lines, mixing, ngram_join, periodic, records, subword, suffix, tokencount, urlfilter
 from vigil.sources.tables import table
 
 
@@ -68,6 +68,11 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic.repeated_tail(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic.digests(periodic.find_runs(docs))
+
+
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op9_mixing_order": op9_mixing_order,
     "op10_binary_records": op10_binary_records,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_bpe_round_trip": op12_bpe_round_trip,
     "op13_filter_audit": op13_filter_audit,
 }
