@@ -32,6 +32,8 @@ from vigil.llm.storage import small_batches
 
 UNKNOWN = "und"
 RANKS = 300                 # n-grams of a profile, and of a document
+MIN_SCORE = 0.3             # of a document whose language can be told
+MIN_MARGIN = 0.01           # by which its language is nearer than the next, of the largest distance
 _NONE = 0x1FFFFF            # no character: above every code point
 _HELD_GRAMS = 400_000       # a training task passes its counts on beyond this many
 
@@ -198,7 +200,7 @@ def _predict(batches: Iterator[pa.RecordBatch], profiles_b, text_at: int, keep:
     langs = np.array([*p.langs, UNKNOWN], dtype=object)
     for batch in batches:
         data, off = K.string_parts(batch.column(text_at))
-        lang, score = np.full(batch.num_rows, len(p.langs)), np.zeros(batch.num_rows)
+        lang, score, margin = np.full(batch.num_rows, len(p.langs)), np.zeros(batch.num_rows), np.zeros(batch.num_rows)
         for a, b in K.slices(off):
             if not p.langs:
                 continue
@@ -207,10 +209,12 @@ def _predict(batches: Iterator[pa.RecordBatch], profiles_b, text_at: int, keep:
             best = far.argmin(axis=1)
             some = most > 0
             lang[a:b] = np.where(some, best, len(p.langs))
-            score[a:b] = np.where(some, 1 - far[np.arange(b - a), best] / np.maximum(most, 1), 0.0)
+            nearest = np.sort(np.column_stack([far, most]), axis=1)     # as if a language shared no n-gram, for one alone
+            score[a:b] = np.where(some, 1 - nearest[:, 0] / np.maximum(most, 1), 0.0)
+            margin[a:b] = np.where(some, (nearest[:, 1] - nearest[:, 0]) / np.maximum(most, 1), 0.0)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in keep), pa.array(langs[lang], pa.string()), pa.array(score)],
-            [*(batch.schema.names[i] for i in keep), "lang_pred", "score"])
+            [*(batch.column(i) for i in keep), pa.array(langs[lang], pa.string()), pa.array(score), pa.array(margin)],
+            [*(batch.schema.names[i] for i in keep), "lang_pred", "score", "margin"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -232,11 +236,13 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of ``docs`` (all: ``keep=None``), under the names c0, c1,
-    ..., with ``lang_pred`` and ``score`` (1 - distance / largest distance)."""
+    ..., with ``lang_pred``, ``score`` (1 - distance / largest distance) and
+    ``margin`` (how much nearer than the second language, in the same measure)."""
     small_batches(docs.sparkSession)
     names = keep if keep is not None else docs.columns
     rows = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)], F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("margin", T.DoubleType())])
     if keep is None:        # the text goes along once
         at = names.index(text_col)
         rows = rows.drop("text")
@@ -248,15 +254,19 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep:
 
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                       ranks: int = RANKS) -> DataFrame:
-    """(id, held_out, lang_pred, score): profiles learned from the documents
+    """(id, held_out, lang_pred, score, margin): profiles learned from the documents
     that are not held out, applied to every document."""
     found = identify(docs, learn_profiles(docs, id_col, text_col, lang_col, ranks), text_col, [id_col])
-    return found.select(F.col("c0").alias(id_col), held_out(F.col("c0")).alias("held_out"), "lang_pred", "score")
+    return found.select(F.col("c0").alias(id_col), held_out(F.col("c0")).alias("held_out"), "lang_pred", "score", "margin")
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    ranks: int = RANKS) -> DataFrame:
-    """``docs`` without the documents whose language cannot be told (``und``:
-    no text or no letter), all columns as they were."""
+                    ranks: int = RANKS, min_score: float = MIN_SCORE, min_margin: float = MIN_MARGIN) -> DataFrame:
+    """``docs`` without the documents whose language cannot be told: no text or
+    letter (``und``), too far from every profile, or hardly nearer to one than
+    to the next.  ``lang_col`` becomes the identified language; the other
+    columns stay as they were."""
     found = identify(docs, learn_profiles(docs, id_col, text_col, lang_col, ranks), text_col)
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(docs.columns)])
+    told = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (F.col("margin") >= min_margin)
+    lang = F.col("lang_pred").cast(docs.schema[lang_col].dataType)
+    return found.filter(told).select(*[(lang if n == lang_col else F.col(f"c{i}")).alias(n) for i, n in enumerate(docs.columns)])
