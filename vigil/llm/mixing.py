@@ -30,8 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.storage import Scratch
-from vigil.operators.common import bounded_broadcast
+from vigil.llm.storage import ROW, Scratch, located
+from vigil.operators.common import bounded_broadcast, unbounded
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 256
@@ -105,17 +105,22 @@ def _digits(n_docs: int) -> int:
     return max(1, math.ceil(math.log(max(n_docs / GROUP_ROWS, 1), 16)))
 
 
+def shuffle_key(row_id: Column, text: Column) -> Column:
+    """Order of a source's stream: reruns agree, and rows that share an id (or
+    have none) are dealt by their texts."""
+    return F.md5(F.concat(F.coalesce(row_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text.cast("string"), F.lit("")))))
+
+
 def _placed(rows: DataFrame, targets: DataFrame, digits: int) -> DataFrame:
-    """Rows (id, source, size, ...) with their source's columns and ``at``, the
-    words of the source's shuffled stream before them."""
-    keyed = rows.withColumn("key", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    keyed = (keyed.join(bounded_broadcast(targets.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    """Rows (id, source, size, key, ...) with their source's columns and ``at``,
+    the words of the source's shuffled stream before them."""
+    keyed = (rows.join(bounded_broadcast(targets.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
              .withColumn("grp", F.substring("key", 1, digits)))
     sums = keyed.groupBy("sid", "grp").agg(F.sum("size").alias("words"))
     offsets = sums.select("sid", "grp", (F.sum("words").over(Window.partitionBy("sid").orderBy("grp")) - F.col("words")).alias("base"))
     inside = Window.partitionBy("sid", "grp").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     return (keyed.withColumn("at", F.sum("size").over(inside) - F.col("size"))
-            .join(bounded_broadcast(offsets), ["sid", "grp"]).withColumn("at", F.col("at") + F.col("base")).drop("base", "grp", "key"))
+            .join(bounded_broadcast(offsets), ["sid", "grp"]).withColumn("at", F.col("at") + F.col("base")).drop("base", "grp"))
 
 
 def _block_of(word: Column) -> Column:
@@ -135,10 +140,10 @@ def block_start(block: Column) -> Column:
     return block * small + F.least(block, F.pmod("source_size", some))
 
 
-def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, run: Scratch, **options):
-    # the row's own key: rows of size 0 may be equal in all else
-    sized = run.keep(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-                     .withColumn("row", F.monotonically_increasing_id()), "sized")
+def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, run: Scratch, row: list, **options):
+    """(sized, targets, slots, digits); ``row``: columns that name a row."""
+    sized = run.keep(docs.select(*row, F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
+                                 shuffle_key(F.col(id_col), F.col(text_col)).alias("key")), "sized")
     targets = run.keep(source_targets(sized, **options), "targets")
     total = targets.agg(F.sum("slots"), F.sum("n_docs")).first()
     slots = schedule(targets, total[0] or 0)
@@ -149,7 +154,9 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, size, source_size, target, taken, first_slot) per document: words
     the mix takes, repeats counted, and the first slot that takes any."""
     run = Scratch(docs.sparkSession, "mix")
-    sized, targets, slots, digits = _plan(docs, id_col, text_col, source_col, run, **options)
+    # the row's own key: rows of size 0 may be equal in all else
+    row = [F.monotonically_increasing_id().alias("row")]
+    sized, targets, slots, digits = _plan(docs, id_col, text_col, source_col, run, row, **options)
     placed = _placed(sized, targets, digits)
     blocks = F.when(F.col("size") > 0, F.sequence(_block_of(F.col("at")), _block_of(F.col("at") + F.col("size") - 1)))
     cut = placed.withColumn("block", F.explode_outer(blocks)).withColumn(
@@ -165,40 +172,56 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     length_col: str | None = "n_chars", **options) -> DataFrame:
-    """The mix as documents, all columns as they were: each pass of the schedule
-    over a source gives its documents once, the last one cut after the words
-    that the pass's last block takes (``length_col`` is then set anew)."""
+    """The mix as documents in mix order, all columns as they were.
+
+    Each pass of the schedule over a source gives its documents once, the last
+    one cut after the words that the pass's last block takes (``length_col`` is
+    then set anew).  A copy stands where the slot that takes its first word
+    stands in the schedule: the result's partitions, and so the files it is
+    written to, follow the slots from the first to the last.
+
+    The schedule is worked out on sizes and keys alone; texts are joined to
+    their copies once, by the place of their row in the table's files."""
     run = Scratch(docs.sparkSession, "mixed")
     names = docs.columns
-    _, targets, slots, digits = _plan(docs, id_col, text_col, source_col, run, **options)
+    c = {n: f"c{i}" for i, n in enumerate(names)}
+    rows = located(docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)]), run)
+    sized, targets, slots, digits = _plan(rows, c[id_col], c[text_col], c[source_col], run, ROW, **options)
+    slots = run.keep(slots, "slots")
     # blocks that each pass takes of a source: its first ones
     per_pass = (slots.join(bounded_broadcast(targets.select("sid", "blocks")), "sid")
                 .groupBy("sid", F.floor(F.col("rank") / F.col("blocks")).alias("pass")).agg(F.count(F.lit(1)).alias("n")))
     passes = per_pass.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("pass", "n"))).alias("passes"))
-    rows = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)])
-    c = {n: f"c{i}" for i, n in enumerate(names)}
-    rows = (rows.withColumn("id", F.col(c[id_col])).withColumn("source", F.col(c[source_col]))
-            .withColumn("size", n_words(F.col(c[text_col]))).filter("size > 0"))
-    placed = _placed(rows, targets, digits).join(bounded_broadcast(passes), "sid")
-    words = F.transform("passes", lambda p: F.least(F.col("size"), F.greatest(F.lit(0), block_start(p["n"]) - F.col("at"))).cast("int"))
-    taken = placed.withColumn("take", F.explode(F.filter(words, lambda x: x > 0)))
+    placed = _placed(sized.filter("size > 0"), targets, digits).join(bounded_broadcast(passes), "sid")
+    words = lambda p: F.least(F.col("size"), F.greatest(F.lit(0), block_start(p["n"]) - F.col("at"))).cast("int")
+    copies = F.filter(F.transform("passes", lambda p: F.struct(p["pass"].alias("pass"), words(p).alias("take"))), lambda x: x["take"] > 0)
+    copies = (placed.select(*ROW, "sid", "key", "size", "blocks", _block_of(F.col("at")).alias("block"), F.inline(copies))
+              .withColumn("rank", F.col("pass") * F.col("blocks") + F.col("block")))
+    copies = copies.join(unbounded(slots), ["sid", "rank"]).select(*ROW, "key", "size", "pass", "take", "slot")
+    taken = rows.join(unbounded(copies), ROW)
     pieces = F.split(F.col(c[text_col]), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     text = F.when(F.col("take") >= F.col("size"), F.col(c[text_col])).otherwise(F.array_join(F.slice(pieces, 1, F.col("take")), ""))
-    taken = taken.withColumn("cut", text)
+    # slots hold equally many words, so equal spans of slots are equal partitions
+    n_slots = targets.agg(F.sum("slots")).first()[0] or 0
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = F.least(F.floor(F.col("slot") * n / max(n_slots, 1)), F.lit(n - 1)).cast("int")
+    taken = taken.withColumn("cut", text).repartitionById(n, span).sortWithinPartitions("slot", "key", "pass", *ROW)
     out = []
-    for n in names:
-        if n == text_col:
-            out.append(F.col("cut").alias(n))
-        elif n == length_col:
-            out.append(F.when(F.col("take") >= F.col("size"), F.col(c[n])).otherwise(F.length("cut")).cast(docs.schema[n].dataType).alias(n))
+    for name in names:
+        if name == text_col:
+            out.append(F.col("cut").alias(name))
+        elif name == length_col:
+            out.append(F.when(F.col("take") >= F.col("size"), F.col(c[name])).otherwise(F.length("cut")).cast(docs.schema[name].dataType).alias(name))
         else:
-            out.append(F.col(c[n]).alias(n))
+            out.append(F.col(c[name]).alias(name))
     return taken.select(*out)
 
 
-#: DuckDB SQL for ``mix_documents`` on ``documents`` (without first_slot).
+#: DuckDB SQL for ``mix_documents`` on ``documents``; the schedule's points are
+#: drawn one by one (first_slot -1: never taken).
 MIX_SQL = r"""
-WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM sized GROUP BY source),
 weighted AS (SELECT *, CASE (sid - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2 * source_size AS most FROM per),
 filling AS (SELECT *, row_number() OVER f AS nth, sum(most) OVER f - most AS filled,
@@ -208,9 +231,20 @@ chosen AS (SELECT level FROM levels WHERE level <= most::DOUBLE / weight ORDER B
 targets AS (SELECT source, sid, source_size, least(most::DOUBLE, (SELECT level FROM chosen) * weight) AS target,
     ceil(source_size::DOUBLE / 256)::BIGINT AS blocks FROM levels),
 slotted AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target * blocks / source_size + 0.5)::BIGINT ELSE 0 END AS slots FROM targets),
-placed AS (SELECT s.doc_id, s.size, t.*, sum(s.size) OVER (PARTITION BY t.sid ORDER BY md5(coalesce(s.doc_id::VARCHAR, '')), s.doc_id, s.size
+placed AS (SELECT s.doc_id, s.size, t.*, sum(s.size) OVER (PARTITION BY t.sid ORDER BY s.key, s.doc_id, s.size
     ROWS UNBOUNDED PRECEDING)::BIGINT - s.size AS pos FROM sized s JOIN slotted t ON s.source IS NOT DISTINCT FROM t.source),
 limits AS (SELECT *, CASE WHEN blocks > 0 THEN (slots // blocks) ELSE 0 END AS whole, CASE WHEN blocks > 0 THEN (slots % blocks) ELSE 0 END AS part FROM placed),
-cut AS (SELECT *, CASE WHEN blocks > 0 THEN part * (source_size // blocks) + least(part, source_size % blocks) ELSE 0 END AS words FROM limits)
-SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, words - pos)))::BIGINT AS taken FROM cut
+cut AS (SELECT *, CASE WHEN blocks > 0 THEN part * (source_size // blocks) + least(part, source_size % blocks) ELSE 0 END AS words,
+    CASE WHEN size = 0 THEN NULL WHEN pos < (source_size % blocks) * (source_size // blocks + 1) THEN pos // (source_size // blocks + 1)
+         ELSE source_size % blocks + (pos - (source_size % blocks) * (source_size // blocks + 1)) // (source_size // blocks) END AS block FROM limits),
+total AS (SELECT sum(slots)::BIGINT AS n FROM slotted),
+ends AS (SELECT sid, slots, sum(slots) OVER (ORDER BY sid)::BIGINT AS upto FROM slotted WHERE slots > 0),
+points AS (SELECT i AS slot, (i // 1048576)::DOUBLE * fmod(1048576 * 0.6180339887498949::DOUBLE, 1.0::DOUBLE) AS high,
+    (i % 1048576 + 1)::DOUBLE * 0.6180339887498949::DOUBLE AS low FROM range((SELECT n FROM total)) r(i)),
+spots AS (SELECT slot, (high - floor(high)) + low - floor((high - floor(high)) + low) AS u FROM points),
+drawn AS (SELECT p.slot, e.sid, e.slots, row_number() OVER (PARTITION BY e.sid ORDER BY p.slot) - 1 AS rank FROM spots p, ends e, total
+    WHERE (e.upto - e.slots)::DOUBLE / n::DOUBLE <= p.u AND p.u < e.upto::DOUBLE / n::DOUBLE)
+SELECT c.doc_id, c.size, c.source_size, c.target, (whole * size + greatest(0, least(size, words - pos)))::BIGINT AS taken,
+    CASE WHEN c.block < c.slots THEN coalesce(d.slot, (SELECT n FROM total)) ELSE -1 END AS first_slot
+FROM cut c LEFT JOIN drawn d ON d.sid = c.sid AND d.rank = c.block
 """

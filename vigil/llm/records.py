@@ -1,7 +1,8 @@
 """Token ids as length-delimited binary records, with an offset index.
 
-Documents are range-partitioned by id; the task of each range writes one file
-of records in ascending id order and one index row per record.  A record is
+Documents are range-partitioned by id (rows of one id by their text), or by
+their place in the table's files; the task of each range writes one file of
+records in that order and one index row per record.  A record is
 
     length     u64 little-endian: bytes of the payload
     check      u32: masked CRC-32 of the 8 length bytes
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import Scratch, small_batches
+from vigil.llm.storage import ROW, Scratch, located, qualified, small_batches
 from vigil.operators.common import bounded_broadcast
 
 _MASK = 0xA282EAD8
@@ -167,8 +168,6 @@ def _encoder(path: str) -> ChunkEncoder:
 
 def _filesystem(uri: str):
     from pyarrow import fs
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
 
 
@@ -225,21 +224,25 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                  end_id: int = 0) -> DataFrame:
+                  end_id: int = 0, order: list[str] | None = None) -> DataFrame:
     """Writes ``docs`` as record files into ``folder/data`` and returns the
     index (id, part, offset, length, before, n_ids), stored in
     ``folder/index``.  ``before`` counts the ids of the part's earlier records;
-    parts are in ascending order of id."""
+    parts are in ascending order of id, or of the columns ``order``."""
     spark = docs.sparkSession
     small_batches(spark)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    folder = qualified(spark, folder)
+    by = [F.col(c).alias(f"by{i}") for i, c in enumerate(order or [id_col])]
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *by)
+    # rows alike in the order: by a hash of their text, so that they need not meet in one task
+    keys = [*(f"by{i}" for i in range(len(by))), F.xxhash64("text")]
     long = T.LongType()
     schema = T.StructType([src.schema["id"], T.StructField("part", T.IntegerType()), T.StructField("offset", long),
                            T.StructField("length", long), T.StructField("before", long), T.StructField("n_ids", long)])
     jvm = spark.sparkContext._jvm
     data = jvm.org.apache.hadoop.fs.Path(f"{folder}/data")
     data.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(data)
-    (src.repartitionByRange("id").sortWithinPartitions("id", "text")
+    (src.repartitionByRange(*keys).sortWithinPartitions(*keys, "text").select("id", "text")
      .mapInArrow(partial(_write, folder=f"{folder}/data", tokenizer=tokenizer, end_id=end_id), schema)
      .write.parquet(f"{folder}/index"))
     return spark.read.schema(schema).parquet(f"{folder}/index")
@@ -248,6 +251,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "d
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every record of the index, from the
     files; ``start`` counts the ids of all records before it."""
+    folder = qualified(index.sparkSession, folder)
     rows = index.select("id", "part", "offset", "length", "before")
     schema = T.StructType([rows.schema["id"], rows.schema["part"], rows.schema["before"],
                            T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -258,8 +262,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             .select("id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"))
 
 
-def write_and_read(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
-    """Records in a new folder of the shared storage, read back: (id, start, n_tokens, ids_crc32)."""
-    folder = Scratch(docs.sparkSession, "records").root
-    index = write_records(docs, folder, tokenizer, id_col, text_col, end_id)
-    return read_records(index, folder).withColumnRenamed("id", id_col)
+def write_and_read(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
+                   table_order: bool = False) -> DataFrame:
+    """Records in a new folder of the shared storage, read back: (id, start,
+    n_tokens, ids_crc32).  By id, or in the order of the table's files."""
+    run = Scratch(docs.sparkSession, "records")
+    index = write_records(located(docs, run) if table_order else docs, run.root, tokenizer, id_col, text_col, end_id, ROW if table_order else None)
+    return read_records(index, run.root).withColumnRenamed("id", id_col)
