@@ -4,12 +4,15 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next stage's docs.  All but the last return the
 columns of ``documents``.
 
-1. language ID: documents whose language cannot be told (no letter) go;
+1. language ID: documents whose language cannot be told go (no letter, far from
+   every profile, or no nearer to one than to the next); ``lang`` becomes the
+   identified language;
 2. n-gram Jaccard join: of each group of near copies the one with the smallest
    id stays, with documents that have no words all staying;
 3. benchmark decontamination: contaminated documents go;
-4. mixing: the sources' words are taken up to their targets, at most twice;
-5. output: token ids as length-delimited binary records, read back.
+4. mixing: the sources' words are taken up to their targets, at most twice, in
+   the order of the low-discrepancy schedule;
+5. output: token ids as length-delimited binary records in that order, read back.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return records.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return records.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), table_order=True)
 
 
 STAGES = [
