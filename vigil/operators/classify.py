@@ -8,6 +8,13 @@ term holds the bias), and scoring is a join of story term counts with that
 table followed by a grouped sum -- the same plan for one project or ten
 thousand, with no model object shipped to executors and no Python per row.
 
+A stage's features are term counts (TF-IDF) or a vector per story
+(embeddings): ``score`` dispatches every stage to its own kind, in one plan,
+and chained models may mix them.  Embedding weights are packed, one array per
+(model, stage), so that a story's score is one ``zip_with`` / ``aggregate``
+over its vector.  A caller's own model takes part as a function over Arrow
+batches (``scorers``).
+
 TF-IDF (fixed once, both engines): tokens ``[\\p{L}\\p{N}]{2,}`` lower-cased;
 ``tf`` raw count; ``idf = ln((N+1)/(df+1))`` over the training documents;
 L2-normalised over in-vocabulary terms (a zero vector stays zero).
@@ -17,12 +24,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions.text import FEATURE_TOKEN, tokens
-from vigil.operators.common import bounded_broadcast
+from vigil.operators.common import bounded_broadcast, unbounded
 from vigil.session import checkpoint_dir
 
 MODEL_TYPES = ("lr", "nb")
@@ -237,21 +246,79 @@ def stage_scores(story_models: DataFrame, counts: DataFrame, model_terms: DataFr
     return out.select(id_col, "model_id", "stage", sigmoid(s).alias("p"))
 
 
+def model_stages(models: DataFrame) -> DataFrame:
+    """``(model_id, stage, vectorizer)``: one row per stage that a model runs."""
+    stages = F.array(F.struct(F.lit(1).alias("stage"), F.col("vectorizer_type_1").alias("vectorizer")),
+                     F.struct(F.lit(2).alias("stage"), F.col("vectorizer_type_2").alias("vectorizer")))
+    return (models.select("model_id", F.coalesce("chained_models", F.lit(False)).alias("chained"), F.inline(stages))
+            .filter((F.col("stage") == 1) | F.col("chained")).drop("chained"))
+
+
+def pack_weights(model_terms: DataFrame) -> DataFrame:
+    """``(model_id, stage, bias, weights)``: the dimensions of each embedding
+    stage as one ``array<double>`` in their order (``term`` is the 1-based
+    dimension).  A group is one model's vector."""
+    dim = F.when(F.col("term").isNotNull(), F.struct(F.col("term").cast("int").alias("i"), F.col("weight").alias("w")))
+    return model_terms.groupBy("model_id", "stage").agg(
+        F.coalesce(F.max(F.when(F.col("term").isNull(), F.col("weight"))), F.lit(0.0)).alias("bias"),
+        F.transform(F.array_sort(F.collect_list(dim)), lambda x: x["w"]).alias("weights"))
+
+
+def vector_score(vector: Column, bias: Column, weights: Column) -> Column:
+    """H2: ``sigmoid(bias + w . x)``; a vector of another length than the
+    model's is an error, a NULL vector has no score."""
+    dot = F.aggregate(F.zip_with(vector, weights, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda acc, x: acc + x)
+    wrong = F.raise_error(F.format_string("a vector of %d dimensions for a model of %d", F.size(vector), F.size(weights)))
+    return F.when(vector.isNull(), F.lit(None).cast("double")).when(F.size(vector) == F.size(weights), sigmoid(bias + dot)).otherwise(
+        wrong.cast("double"))
+
+
 def embedding_scores(vectors: DataFrame, model_terms: DataFrame, model_id: int, stage: int = 1,
                      id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """H2: ``sigmoid(bias + w . x)`` for an embedding model.
-
-    The weights are model parameters (one per dimension), read once and
-    inlined as a literal array: a narrow projection over the vectors, no join.
-    """
-    mt = model_terms.filter((F.col("model_id") == model_id) & (F.col("stage") == stage))
-    rows = mt.select(F.col("term").cast("int").alias("i"), "weight").collect()
-    bias = next((r["weight"] for r in rows if r["i"] is None), 0.0)
-    dims = sorted((r["i"], r["weight"]) for r in rows if r["i"] is not None)
-    w = F.array(*[F.lit(float(x)) for _, x in dims])
-    dot = F.aggregate(F.zip_with(F.col(vec_col), w, lambda x, y: x.cast("double") * y),
-                      F.lit(0.0), lambda acc, x: acc + x)
-    return vectors.select(id_col, sigmoid(F.lit(float(bias)) + dot).alias("p"))
+    """H2: every vector scored by one embedding model (``embedding_stage_scores``
+    with the same model for every row)."""
+    pairs = vectors.select(F.col(id_col), F.col(vec_col).alias("__v"), F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).alias("stage"))
+    w = pack_weights(model_terms.filter((F.col("model_id") == model_id) & (F.col("stage") == stage)))
+    return (pairs.join(bounded_broadcast(w), ["model_id", "stage"])
+            .select(id_col, vector_score(F.col("__v"), F.col("bias"), F.col("weights")).alias("p")))
+
+
+def embedding_stage_scores(story_models: DataFrame, vectors: DataFrame, model_terms: DataFrame, id_col: str = "story_id",
+                           vec_col: str = "embedding") -> DataFrame:
+    """``(id, model_id, stage, p)`` of embedding stages: the pairs meet their
+    story's vector by id and their model's packed weights by broadcast (within
+    its bound).  A story without a vector has no score."""
+    v = vectors.select(F.col(id_col), F.col(vec_col).alias("__v"))
+    return (story_models.join(unbounded(v), id_col).join(bounded_broadcast(pack_weights(model_terms)), ["model_id", "stage"])
+            .select(id_col, "model_id", "stage", vector_score(F.col("__v"), F.col("bias"), F.col("weights")).alias("p")))
+
+
+def _run_scorers(batches, scorers: dict, stage_features: list[str]):
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        out = np.full(batch.num_rows, np.nan)
+        model, stage = batch.column("model_id").to_numpy(), batch.column("stage").to_numpy()
+        for m, st in sorted(set(zip(model.tolist(), stage.tolist()))):
+            at = np.flatnonzero((model == m) & (stage == st))
+            p = np.asarray(scorers[m](int(st), batch.select(stage_features).take(pa.array(at))), dtype=float)
+            if p.shape != at.shape:
+                raise ValueError(f"the scorer of model {m} gave {p.shape} scores for {len(at)} stories")
+            out[at] = p
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("model_id"), batch.column("stage"), pa.array(out, from_pandas=True)],
+                                         ["id", "model_id", "stage", "p"])
+
+
+def caller_stage_scores(story_models: DataFrame, features: DataFrame, scorers: dict, id_col: str = "story_id") -> DataFrame:
+    """``(id, model_id, stage, p)`` by the caller's functions: ``scorers[model_id]
+    (stage, batch)`` gets an Arrow batch of the features (``text`` and, if
+    given, ``vector``) and returns one probability per row (NaN: no score).
+    Stories travel to Python in batches, never row by row, and only those whose
+    model is the caller's."""
+    names = [c for c in features.columns if c != id_col]
+    rows = features.withColumnRenamed(id_col, "id").join(story_models.withColumnRenamed(id_col, "id"), "id").select("id", "model_id", "stage", *names)
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("p", T.DoubleType())])
+    return rows.mapInArrow(partial(_run_scorers, scorers=scorers, stage_features=names), schema).withColumnRenamed("id", id_col)
 
 
 def validate_models(models: DataFrame) -> DataFrame:
@@ -281,54 +348,73 @@ def with_model(projects: DataFrame, models: DataFrame, check: bool = True) -> Da
     return projects.join(bounded_broadcast(m), projects["language_model_id"] == m["model_id"])
 
 
-def require_weights(projects: DataFrame, models: DataFrame, model_terms: DataFrame) -> None:
-    """Stop when a stage that some project uses has no weights (no bias row),
-    or is not a TF-IDF stage, whose features ``score`` computes (embedding
-    stages: ``embedding_scores``)."""
+def require_weights(projects: DataFrame, models: DataFrame, model_terms: DataFrame, with_vectors: bool = False,
+                    own_models: Sequence[int] = ()) -> list[str]:
+    """The kinds of features that the projects' models need.  Stops when a
+    stage that some project uses has no weights (no bias row), or needs vectors
+    and none are given.  Models scored by the caller need no weights."""
     used = models.join(projects.select(F.col("language_model_id").alias("model_id")).distinct(), "model_id", "left_semi")
-    stages = F.array(F.struct(F.lit(1).alias("stage"), F.col("vectorizer_type_1").alias("vectorizer")),
-                     F.struct(F.lit(2).alias("stage"), F.col("vectorizer_type_2").alias("vectorizer")))
-    chained = F.coalesce(F.col("chained_models"), F.lit(False))
-    used = (used.select("model_id", chained.alias("chained"), F.inline(stages))
-            .filter((F.col("stage") == 1) | F.col("chained")))
+    used = model_stages(used.filter(~F.col("model_id").isin(list(own_models)) if own_models else F.lit(True)))
     fitted = model_terms.filter(F.col("term").isNull()).select("model_id", "stage", F.lit(True).alias("fitted")).distinct()
-    problem = (F.when(F.col("vectorizer") != "tfidf", F.format_string("model %d stage %d: %s features are not computed here",
-                                                                      "model_id", "stage", "vectorizer"))
+    unknown = F.lit(False) if with_vectors else F.col("vectorizer") == "embeddings"
+    problem = (F.when(unknown, F.format_string("model %d stage %d: embeddings features, but no vectors", "model_id", "stage"))
                .when(F.col("fitted").isNull(), F.format_string("model %d stage %d: no weights", "model_id", "stage")))
-    problems = [r.p for r in used.join(fitted, ["model_id", "stage"], "left").select(problem.alias("p"))
-                .filter("p IS NOT NULL").orderBy("p").limit(10).collect()]
+    # config-sized: a row per stage of a used model
+    rows = used.join(fitted, ["model_id", "stage"], "left").select("vectorizer", problem.alias("p")).distinct()
+    found = rows.groupBy("vectorizer").agg(F.min("p").alias("p")).orderBy("vectorizer").collect()
+    problems = [r.p for r in found if r.p]
     if problems:
         raise ModelConfigError("model problems: " + "; ".join(problems))
+    return [r.vectorizer for r in found]
 
 
 def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_terms: DataFrame,
-          id_col: str = "story_id", text_col: str = "story_text", texts: DataFrame | None = None) -> DataFrame:
+          id_col: str = "story_id", text_col: str = "story_text", texts: DataFrame | None = None,
+          vectors: DataFrame | None = None, vec_col: str = "embedding", scorers: dict | None = None) -> DataFrame:
     """H4-H6: every (story, project) row scored with its project's model.
 
     Adds ``model_id, model_1_score, model_2_score, model_score`` and
     ``confidence`` (= model_score).  Single models leave the partial scores
-    NULL; chained models multiply the two stages.  A story whose text is NULL
-    gets NULL scores (it is reported, not retried).  Term counts are computed
-    once per story text however many projects share the story: pass
-    ``texts`` (``id, text``, one row per story, e.g. the feed itself) so that
-    texts are tokenised where they are read instead of shuffled to be
-    de-duplicated; term counts of stories no project kept are dropped by the
-    join with the (story, model) pairs.
+    NULL; chained models multiply the two stages, whatever features each uses.
+    A story that lacks what a stage needs (text; vector) gets NULL scores (it
+    is reported, not retried).  Term counts are computed once per story text
+    however many projects share the story: pass ``texts`` (``id, text``, one
+    row per story, e.g. the feed itself) so that texts are tokenised where they
+    are read instead of shuffled to be de-duplicated; term counts of stories no
+    project kept are dropped by the join with the (story, model) pairs.
+    ``vectors`` (``id, embedding``, one row per story) are the features of
+    embedding stages; ``scorers`` (model_id -> function over Arrow batches, see
+    ``caller_stage_scores``) are the caller's own models.
     """
+    own = sorted(scorers or {})
     pm = with_model(projects, models).select("project_id", "model_id", "chained_models")
-    require_weights(projects, models, model_terms)
+    kinds = require_weights(projects, models, model_terms, vectors is not None, own)
     sp = stories.join(bounded_broadcast(pm), "project_id")
     if texts is None:
         texts = stories.select(id_col, text_col).dropDuplicates([id_col])
-    counts = term_counts(texts.filter(F.col(text_col).isNotNull()), id_col, text_col)
-    stages = F.when(F.col("chained_models"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    if text_col in sp.columns:
-        with_text = sp.filter(F.col(text_col).isNotNull())
-    else:
+    texts = texts.filter(F.col(text_col).isNotNull())
+    stages = model_stages(models).withColumn("kind", F.when(F.col("model_id").isin(own), F.lit("own")).otherwise(F.col("vectorizer"))
+                                             if own else F.col("vectorizer"))
+    pairs = sp.select(id_col, "model_id").distinct().join(bounded_broadcast(stages.select("model_id", "stage", "kind")), "model_id")
+    of_kind = lambda k: pairs.filter(F.col("kind") == k).select(id_col, "model_id", "stage")
+    by_kind = {k: model_terms.join(stages.filter(F.col("kind") == k).select("model_id", "stage"), ["model_id", "stage"], "left_semi") for k in kinds}
+    parts = []
+    if "tfidf" in kinds:
         # NULL texts get NULL scores: keep only ids that have a text (ids only move)
-        with_text = sp.join(texts.filter(F.col(text_col).isNotNull()).select(id_col), id_col, "left_semi")
-    story_models = with_text.select(id_col, "model_id", F.explode(stages).alias("stage")).distinct()
-    p = stage_scores(story_models, counts, model_terms, id_col)
+        known = (sp.filter(F.col(text_col).isNotNull()).select(id_col).distinct() if text_col in sp.columns else texts.select(id_col))
+        parts.append(stage_scores(of_kind("tfidf").join(known, id_col, "left_semi"), term_counts(texts, id_col, text_col),
+                                  by_kind["tfidf"] if len(kinds) > 1 else model_terms, id_col))
+    if "embeddings" in kinds:
+        parts.append(embedding_stage_scores(of_kind("embeddings"), vectors.select(F.col(id_col), F.col(vec_col)), by_kind["embeddings"],
+                                            id_col, vec_col))
+    if own:
+        features = texts.select(id_col, F.col(text_col).alias("text"))
+        if vectors is not None:
+            features = features.join(unbounded(vectors.select(id_col, F.col(vec_col).alias("vector"))), id_col, "left")
+        parts.append(caller_stage_scores(of_kind("own"), features, scorers, id_col))
+    if not parts:       # no project, so no model and no row
+        parts.append(of_kind("none").withColumn("p", F.lit(None).cast("double")))
+    p = reduce(DataFrame.unionByName, parts)
     wide = p.groupBy(id_col, "model_id").agg(
         F.max(F.when(F.col("stage") == 1, F.col("p"))).alias("p1"),
         F.max(F.when(F.col("stage") == 2, F.col("p"))).alias("p2"))

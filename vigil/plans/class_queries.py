@@ -181,19 +181,102 @@ def q_above_threshold(spark, sf_dir):
         "story_id", "project_id", F.round("confidence", 6).alias("confidence"))
 
 
-@query("embedding_scores", sql=f"""
-WITH e AS (SELECT vec_id, CASE WHEN label = {EMBEDDING_POSITIVE_LABEL} THEN 1 ELSE 0 END AS y, embedding FROM embeddings),
+CENTROID_CTE = f"""
+e AS (SELECT vec_id, CASE WHEN label = {EMBEDDING_POSITIVE_LABEL} THEN 1 ELSE 0 END AS y, embedding FROM embeddings),
 u AS (SELECT y, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM e),
 mu AS (SELECT i, avg(v) FILTER (WHERE y = 1) AS m1, avg(v) FILTER (WHERE y = 0) AS m0 FROM u GROUP BY i),
-b AS (SELECT sum((m0 * m0 - m1 * m1) / 2) AS bias, list(m1 - m0 ORDER BY i) AS w FROM mu)
-SELECT vec_id, round(1.0 / (1.0 + exp(-(b.bias + list_dot_product(
-         list_transform(embedding, lambda x: CAST(x AS DOUBLE)), b.w)))), 6) AS p
-FROM e, b""")
-def q_embedding_scores(spark, sf_dir):
+b AS (SELECT sum((m0 * m0 - m1 * m1) / 2) AS bias, list(m1 - m0 ORDER BY i) AS w FROM mu),
+vec AS (SELECT vec_id, 1.0 / (1.0 + exp(-(b.bias + list_dot_product(
+          list_transform(embedding, lambda x: CAST(x AS DOUBLE)), b.w)))) AS p FROM e, b)"""
+
+
+def centroid_terms(spark, sf_dir, model_id: int, stage: int = 1):
     emb = table(spark, sf_dir, "embeddings")
-    train = emb.withColumn("y", (F.col("label") == EMBEDDING_POSITIVE_LABEL).cast("int"))
-    mt = C.fit_centroid_embedding(train, "y", model_id=4)
-    return C.embedding_scores(emb, mt, model_id=4).select("vec_id", F.round("p", 6).alias("p"))
+    return C.fit_centroid_embedding(emb.withColumn("y", (F.col("label") == EMBEDDING_POSITIVE_LABEL).cast("int")), "y",
+                                    model_id=model_id, stage=stage)
+
+
+@query("embedding_scores", sql="WITH " + CENTROID_CTE + " SELECT vec_id, round(p, 6) AS p FROM vec")
+def q_embedding_scores(spark, sf_dir):
+    mt = centroid_terms(spark, sf_dir, 4)
+    return C.embedding_scores(table(spark, sf_dir, "embeddings"), mt, model_id=4).select("vec_id", F.round("p", 6).alias("p"))
+
+
+# One model of each make: TF-IDF, embedding, and both chained in either order.
+# A project's model is 21 + project_id % 4.
+MIXED_MODEL_ROWS = [
+    (21, "quality-words", "quality_words", "nb", "tfidf", False, None, None),
+    (22, "topic-vectors", "topic_vectors", "lr", "embeddings", False, None, None),
+    (23, "words-then-vectors", "words_vectors", "nb", "tfidf", True, "lr", "embeddings"),
+    (24, "vectors-then-words", "vectors_words", "lr", "embeddings", True, "nb", "tfidf"),
+]
+MIXED_PROJECT_ROWS = [r[:8] + (21 + r[0] % 4,) for r in fixtures.PROJECT_ROWS]
+
+
+def score_columns() -> list:
+    return ["story_id", "project_id", "model_id", *(F.round(c, 6).alias(c) for c in ("model_1_score", "model_2_score", "model_score"))]
+
+
+def mixed_model_terms(spark, sf_dir):
+    words = model_terms(spark, sf_dir).filter("model_id = 1 AND stage = 1")
+    vectors = centroid_terms(spark, sf_dir, 0)
+    as_stage = lambda t, m, st: t.withColumn("model_id", F.lit(m).cast("long")).withColumn("stage", F.lit(st).cast("int"))
+    parts = [as_stage(words, 21, 1), as_stage(vectors, 22, 1), as_stage(words, 23, 1), as_stage(vectors, 23, 2),
+             as_stage(vectors, 24, 1), as_stage(words, 24, 2)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+MIXED_CTE = "WITH " + _nb_sql("quality") + "," + CENTROID_CTE + f""",
+sm AS (SELECT doc_id AS story_id, doc_id % 10 AS project_id, CAST(21 + (doc_id % 10) % 4 AS BIGINT) AS model_id, text FROM documents),
+cnt AS (SELECT story_id, term, count(*) AS tf FROM (SELECT story_id, unnest(regexp_extract_all(lower(text), {FEAT})) AS term FROM sm) GROUP BY 1, 2),
+agg AS (SELECT story_id, sum(c.tf * w.idf * w.weight) AS dot, sqrt(sum((c.tf * w.idf) * (c.tf * w.idf))) AS norm
+        FROM cnt c JOIN nb_quality_terms w USING (term) GROUP BY 1),
+kinds AS (SELECT sm.story_id, project_id, model_id, vec.p AS by_vector, CASE WHEN text IS NOT NULL THEN 1.0 / (1.0 + exp(-(
+            (SELECT weight FROM nb_quality_terms WHERE term IS NULL) + coalesce(agg.dot / nullif(agg.norm, 0), 0)))) END AS by_words
+          FROM sm LEFT JOIN agg USING (story_id) LEFT JOIN vec ON vec.vec_id = sm.story_id)
+"""
+
+
+@query("mixed_model_scores", sql=MIXED_CTE + """
+SELECT story_id, project_id, model_id,
+       round(CASE model_id WHEN 23 THEN by_words WHEN 24 THEN by_vector END, 6) AS model_1_score,
+       round(CASE model_id WHEN 23 THEN by_vector WHEN 24 THEN by_words END, 6) AS model_2_score,
+       round(CASE model_id WHEN 21 THEN by_words WHEN 22 THEN by_vector ELSE by_words * by_vector END, 6) AS model_score FROM kinds""")
+def q_mixed_model_scores(spark, sf_dir):
+    """H2, H4, H5 over all feature kinds: a story's text and, where there is
+    one, its vector (a story without it has no score of an embedding stage)."""
+    from vigil import schemas
+    from vigil.sources.config import literal_table
+    s = stories(spark, sf_dir)
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("story_id"), "embedding")
+    return C.score(s, literal_table(spark, MIXED_PROJECT_ROWS, schemas.PROJECT), literal_table(spark, MIXED_MODEL_ROWS, schemas.MODEL),
+                   mixed_model_terms(spark, sf_dir), texts=s.select("story_id", "story_text"), vectors=vectors).select(*score_columns())
+
+
+def length_scorer(stage, batch):
+    """A caller's model: the longer a text, the likelier (1,000 characters: one half)."""
+    import numpy as np
+    import pyarrow.compute as pc
+    n = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+    return 1 / (1 + np.exp((1000.0 - n) / 1000.0 * stage))
+
+
+@query("caller_model_scores", sql=SCORE_CTE + """,
+own AS (SELECT story_id, project_id, model_id, CAST(length(story_text) AS DOUBLE) AS n FROM sm WHERE model_id = 3)
+SELECT story_id, project_id, model_id, CAST(NULL AS DOUBLE) AS model_1_score, CAST(NULL AS DOUBLE) AS model_2_score,
+       round(model_score, 6) AS model_score FROM scored WHERE model_id < 3
+UNION ALL
+SELECT story_id, project_id, model_id, round(1 / (1 + exp((1000 - n) / 1000)), 6), round(1 / (1 + exp((1000 - n) / 1000 * 2)), 6),
+       round(1 / (1 + exp((1000 - n) / 1000)) * (1 / (1 + exp((1000 - n) / 1000 * 2))), 6) FROM own""")
+def q_caller_model_scores(spark, sf_dir):
+    """The chained model 3 replaced by a caller's function over Arrow batches;
+    the others are scored by their weights in the same plan."""
+    s = stories(spark, sf_dir)
+    return C.score(s, fixtures.projects(spark), fixtures.models(spark), model_terms(spark, sf_dir).filter("model_id < 3"),
+                   texts=s.select("story_id", "story_text"), scorers={3: length_scorer}).select(*score_columns())
 
 
 @query("lr_story_scores")
