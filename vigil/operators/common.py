@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,6 +99,16 @@ def unbounded(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: later
+    branches scan its columns instead of computing it again, and a lost
+    executor costs the running tasks only.  The table stays until the folder
+    is cleared."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a narrow input over the cluster before CPU-heavy per-row work.
 
@@ -105,9 +116,13 @@ def spread(df: DataFrame) -> DataFrame:
     tokenising it would then run on a few cores.  When the scan has fewer
     partitions than the cluster's default parallelism, the rows are spread
     round-robin; a wide input (the normal case for a large table) is left as
-    it is, so no shuffle is added at scale.
+    it is, so no shuffle is added at scale.  Only plain scans are looked at: the
+    partitions of a frame with a shuffle are Spark's own (and would have to be
+    computed to be counted).
     """
     target = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().executedPlan().nodeName() == "AdaptiveSparkPlan":
+        return df
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

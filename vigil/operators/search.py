@@ -7,10 +7,13 @@ Two forms:
   ``date_range``) evaluate one search on each row of a DataFrame that has a
   token array -- a narrow ``filter``, no shuffle.
 * **``match_projects``** evaluates *every* project's search against every
-  document at once, as a join: document tokens (with positions) are probed
-  against a broadcast table of clause keys, and only the hits move through a
-  single shuffle keyed by document.  Work grows with the number of tokens,
-  not with tokens x projects.
+  document at once.  The patterns and fuzzy terms are first expanded against
+  the distinct vocabulary of the documents into an index token -> clause;
+  then each document is tokenised once, its tokens are cut down to those of
+  the index inside the row, and only these are exploded, joined with the index
+  by equality and moved through a single shuffle keyed by document.  Patterns
+  cost the vocabulary, not its occurrences, and no work grows with
+  tokens x projects.
 
 Clause rows (``project_terms``): ``project_id, clause_id, negated, kind,
 term``.  Positive clauses are ANDed, rows sharing a clause are alternatives
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from vigil.functions.dates import ts_lit
 from vigil.functions.text import tokens
 from vigil.operators.common import bounded_broadcast, spread
+from vigil.session import checkpoint_dir
 
 
 # ---------------------------------------------------------------------------
@@ -181,8 +185,8 @@ def _patterns(pt: DataFrame) -> DataFrame:
 def search_meta(project_terms: DataFrame) -> dict:
     """Two small actions over the (config-sized) clause table: the forms and
     lengths of pattern literals, the fuzzy edit bound and word-length range,
-    and whether any clause is title-scoped.  Everything the probe side needs
-    to know up front.  Clauses of an unknown kind are an error."""
+    and whether any clause is title-scoped.  Everything the index needs to
+    know up front.  Clauses of an unknown kind are an error."""
     pt = _parse_kind(project_terms)
     t = F.lower("term")
     is_fz = F.col("base") == "fuzzy"
@@ -212,7 +216,7 @@ def clause_keys(project_terms: DataFrame, max_edits: int) -> DataFrame:
     clauses are keyed by themselves, single words by ``~w:<word>``, patterns by
     their literal part (then checked with ``regex``), fuzzy terms by their
     deletion variants ``~d:<variant>`` (then checked with Levenshtein).  Keys
-    are equality keys, so the probe is a hash join.
+    are equality keys, so the vocabulary meets them in a hash join.
     """
     pt = _parse_kind(project_terms)
     common = ["field", "project_id", "clause_id", "negated", "alt"]
@@ -288,31 +292,73 @@ def _pattern_keys(tok: Column, meta: dict) -> list[Column]:
     return keys
 
 
-def _probes(d: DataFrame, title: str, text: str, meta: dict) -> DataFrame:
-    """``(doc_id, doc_lang, field, token, pos, key)`` of every document.
+def _tokenised(d: DataFrame, title: str, text: str, meta: dict) -> DataFrame:
+    """``(doc_id, doc_lang, all, title)``: the token arrays of every document."""
+    in_title = tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")
+    return d.select("doc_id", "doc_lang", search_tokens(title, text).alias("all"),
+                    F.coalesce(in_title, F.array().cast("array<string>")).alias("title"))
 
-    One scan and one ``posexplode`` over  all ++ title ++ distinct all ++
-    distinct title: the index tells the stream and the position.  Occurrences
-    are probed by the token itself (phrases and near clauses need positions);
-    single words, patterns and fuzzy terms only need presence and are probed
-    once per distinct token of a document.
+
+def clause_index(toks: DataFrame, keys: DataFrame, meta: dict) -> DataFrame:
+    """The standing searches as an index ``token -> clause``: ``token, once,
+    field`` and the clause columns of ``clause_keys``.
+
+    Words stand for themselves.  Patterns and fuzzy terms are expanded once
+    against the distinct tokens of all documents (titles included): a token's
+    probe keys meet the clauses' literals and deletion variants, and the
+    survivors are checked.  ``once``: the token's presence in a document is
+    enough; the others, words of sequences and near clauses, are needed at
+    every position.
     """
-    toks = d.select("doc_id", "doc_lang", search_tokens(title, text).alias("__a"),
-                    (tokens(F.col(title)) if meta["has_title"] else F.array().cast("array<string>")).alias("__t"))
-    toks = toks.withColumn("__t", F.coalesce("__t", F.array().cast("array<string>")))
-    parts = toks.select("doc_id", "doc_lang", "__a", "__t", F.array_distinct("__a").alias("__da"),
-                        F.array_distinct("__t").alias("__dt"))
-    na, nt, nd = F.col("__na"), F.col("__nt"), F.col("__nd")
-    occ = parts.select("doc_id", "doc_lang", F.size("__a").alias("__na"), F.size("__t").alias("__nt"),
-                       F.size("__da").alias("__nd"),
-                       F.posexplode(F.concat("__a", "__t", "__da", "__dt")).alias("p", "token"))
-    p, tok = F.col("p"), F.col("token")
-    once = p >= na + nt
-    in_title = ((p >= na) & ~once) | (p >= na + nt + nd)
-    present = F.concat(F.array(F.concat(F.lit("~w:"), tok)), *_pattern_keys(tok, meta))
-    return occ.select("doc_id", "doc_lang", F.when(in_title, F.lit("title")).otherwise(F.lit("all")).alias("field"),
-                      "token", F.when(once, F.lit(0)).when(p < na, p).otherwise(p - na).alias("pos"),
-                      F.explode(F.when(once, present).otherwise(F.array(tok))).alias("key"))
+    exact = keys.filter("regex IS NULL AND edits IS NULL")
+    token = F.when(F.col("key").startswith("~w:"), F.expr("substring(key, 4)")).otherwise(F.col("key"))
+    columns = ["field", "project_id", "clause_id", "negated", "alt", "near", "offset", "n", "dist", "times"]
+    out = exact.select(token.alias("token"), F.col("key").startswith("~w:").alias("once"), *columns)
+    if meta["parts"] or meta["edits"]:
+        vocabulary = toks.select(F.explode(F.array_distinct("all")).alias("token")).distinct()
+        probes = vocabulary.select("token", F.explode(F.concat(*_pattern_keys(F.col("token"), meta))).alias("key"))
+        loose = bounded_broadcast(keys.filter("regex IS NOT NULL OR edits IS NOT NULL"))
+        fits = F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex")).otherwise(F.levenshtein("token", "word") <= F.col("edits"))
+        found = probes.join(loose, "key").filter(fits)
+        out = out.unionByName(found.select("token", F.lit(True).alias("once"), *columns))
+    return out.distinct()
+
+
+# An index of up to this many tokens goes into the plan as a set, by which
+# documents drop all other tokens before the explode; a larger one is met by
+# the join alone, with the same result.
+SET_TOKENS = 1 << 16
+
+
+def _hits(toks: DataFrame, index: DataFrame) -> DataFrame:
+    """The documents' tokens that the index asks for, with their clauses.
+
+    Two cuts inside the row, before anything is exploded: the distinct tokens
+    that are asked for by presence, and the positions of those asked for by
+    position."""
+    wanted = {once: None for once in (True, False)}
+    counts = {r.once: r.n for r in index.groupBy("once").agg(F.count_distinct("token").alias("n")).collect()}
+    for once in wanted:
+        if counts.get(once, 0) <= SET_TOKENS:
+            wanted[once] = [r.token for r in index.filter(F.col("once") == once).select("token").distinct().collect()]
+    entry = lambda field, once, tok, pos: F.struct(F.lit(field).alias("field"), F.lit(once).alias("once"), tok.alias("token"),
+                                                   pos.cast("int").alias("pos"))
+
+    def present(field: str) -> Column:
+        kept = F.col(field) if wanted[True] is None else F.filter(field, lambda x: x.isin(wanted[True]))
+        return F.transform(F.array_distinct(kept), lambda x: entry(field, True, x, F.lit(0)))
+
+    def placed(field: str) -> Column:
+        if wanted[False] is None:
+            return F.transform(field, lambda x, i: entry(field, False, x, i))
+        return F.filter(F.transform(field, lambda x, i: F.when(x.isin(wanted[False]), entry(field, False, x, i))), lambda y: y.isNotNull())
+
+    fields = [(r.field, r.once) for r in index.select("field", "once").distinct().collect()]
+    cuts = [(present if once else placed)(field) for field, once in sorted(fields)]
+    if not cuts:
+        cuts = [F.array().cast("array<struct<field:string,once:boolean,token:string,pos:int>>")]
+    rows = toks.select("doc_id", "doc_lang", F.inline(F.concat(*cuts)))
+    return rows.join(bounded_broadcast(index), ["field", "once", "token"])
 
 
 def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFrame | None = None,
@@ -321,30 +367,27 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     """``(project_id, doc_id)`` for every document satisfying a project's
     standing search (and its language, when ``projects`` is given).
 
-    Plan: one scan; each document is tokenised once (positions kept) and its
-    probe keys exploded -> broadcast hash join with ``clause_keys`` (the
-    clause table is config-sized; its byte size is checked) -> pattern checks
-    -> per-clause hit by aggregation (all words of a sequence line up, or a
-    all words of a near clause within distance, found inside bounded position
-    buckets) -> AND/NOT per (document, project).  Single words, patterns and
-    fuzzy terms are probed once per distinct token of a document, so frequent
-    words do not flood the shuffle; words of phrases and near clauses move one
-    row per occurrence.  No group grows with the length of a document.
+    Plan: the searches become an index of tokens (``clause_index``; with
+    patterns or fuzzy terms one pass over the distinct vocabulary), written
+    once -> one scan; each document is tokenised once, cut down to the index's
+    tokens inside the row, and these are exploded -> hash join with the index
+    (broadcast within its measured bound) -> per-clause hit by aggregation (all
+    words of a sequence line up, or all words of a near clause within distance,
+    found inside bounded position buckets) -> AND/NOT per (document, project).
+    Single words, patterns and fuzzy terms count once per distinct token of a
+    document, so frequent words do not flood the shuffle; words of phrases and
+    near clauses move one row per occurrence.  No group grows with the length
+    of a document.
     """
     meta = search_meta(project_terms)
+    # keys per clause row are bounded (words of a phrase, deletion variants)
     keys = clause_keys(project_terms, meta["edits"])
-    # keys per clause row are bounded (words of a phrase, deletion variants);
-    # the key table is broadcast when its estimated size is within bounds
-    keys = bounded_broadcast(keys)
-
     d = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("doc_lang"), title, text))
-    probes = _probes(d, title, text, meta)
-    hits = probes.join(keys, ["field", "key"])
-    ok = (F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex"))
-          .when(F.col("edits").isNotNull(), F.levenshtein("token", "word") <= F.col("edits"))
-          .otherwise(F.lit(True)))
-    hits = hits.filter(ok).select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "alt", "near",
-                                  "pos", "offset", "n", "dist", "times")
+    toks = _tokenised(d, title, text, meta)
+    # read three times below: written once to the shared folder
+    checkpoint_dir(docs.sparkSession)
+    hits = _hits(toks, clause_index(toks, keys, meta).checkpoint())
+    hits = hits.select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "alt", "near", "pos", "offset", "n", "dist", "times")
 
     # Group key g: for a sequence, its start position (a single word's
     # position is irrelevant: g = 0); for a near clause, a position bucket of

@@ -24,7 +24,7 @@ from vigil.operators import dedupe as D
 from vigil.operators import output as O
 from vigil.operators import search as S
 from vigil.operators import windows as W
-from vigil.operators.common import unbounded
+from vigil.operators.common import store, unbounded
 from vigil.operators.log import story_key
 
 
@@ -44,12 +44,22 @@ class RunResult:
     model_terms: DataFrame
     source: str
     entities: DataFrame | None = None
+    vectors: DataFrame | None = None   # (story_id, embedding) for models over vectors
+    scorers: dict | None = None        # the caller's own models, by model_id
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """``kept`` (ids, keys and light columns, no text) as a table in the
+        shared folder: the search and the de-duplication run once, however many
+        branches of the scoring plan read their result."""
+        return store(self.kept, "kept")
 
     @cached_property
     def scored(self) -> DataFrame:
         """kept + scores; the feed has one row per story, so texts are
         tokenised where they are read."""
-        return C.score(self.kept, self.projects, self.models, self.model_terms, id_col="story_id", texts=self.texts)
+        return C.score(self.stored, self.projects, self.models, self.model_terms, id_col="story_id", texts=self.texts,
+                       vectors=self.vectors, scorers=self.scorers)
 
     @cached_property
     def above(self) -> DataFrame:
@@ -66,13 +76,14 @@ class RunResult:
     @cached_property
     def bad(self) -> DataFrame:
         """Kept stories without text (NULL scores, reported)."""
-        return C.unscorable(self.kept, self.texts)
+        return C.unscorable(self.stored, self.texts)
 
 
 def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, models: DataFrame,
         model_terms: DataFrame, as_of: dt.datetime, source: str = schemas.SOURCE_MEDIA_CLOUD,
         log: DataFrame | None = None, entities: DataFrame | None = None,
-        cap: int | None = None, history: DataFrame | None = None) -> RunResult:
+        cap: int | None = None, history: DataFrame | None = None, vectors: DataFrame | None = None,
+        scorers: dict | None = None) -> RunResult:
     """``stories``: canonical rows with a unique ``story_id`` (feed order),
     ``url, title, story_text, language, indexed_date`` and, if known,
     ``publish_date``; no project yet.  Every story goes through unless the
@@ -102,4 +113,4 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
         kept, cut = D.cap_per_project(kept, cap, newest), D.cut_by_cap(kept, cap, newest)
     kept = kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url")))
     return RunResult(found, kept, cut, late, marks, stories.select("story_id", "story_text"), projects, models,
-                     model_terms, source, entities)
+                     model_terms, source, entities, vectors, scorers)
