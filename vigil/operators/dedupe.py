@@ -58,7 +58,11 @@ def dedupe_against_log(df: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def _recent(log: DataFrame, as_of: dt.datetime, days: int) -> DataFrame:
-    cond = (F.col("queued_date") > days_before(as_of, days)) & F.col("processed_date").isNotNull()
+    since = days_before(as_of, days)
+    cond = (F.col("queued_date") > since) & F.col("processed_date").isNotNull()
+    if "queued_day" in log.columns:
+        # implied bound on the partition column: older day folders are not read
+        cond = cond & (F.col("queued_day") >= F.to_date(since))
     return log.filter(cond).select("project_id", dedupe_key(log).alias("__k"))
 
 

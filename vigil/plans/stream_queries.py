@@ -45,14 +45,21 @@ def q_stream_daily_counts(spark, sf_dir):
 
 
 @query("stream_volume_alert", sql=LOG_CTE + """
-, m AS (SELECT max(processed_date) - INTERVAL '1' DAY AS wm FROM story_log),
-w AS (SELECT date_trunc('day', processed_date) - INTERVAL '1' DAY * k AS wstart
-      FROM story_log, (SELECT unnest([0, 1, 2, 3]) AS k) ks WHERE processed_date IS NOT NULL)
-SELECT strftime(wstart, '%Y-%m-%d') AS window_start, count(*) AS total_stories,
-       count(*) / 4.0 AS average_per_day, count(*) / 4.0 < 40000 AS alert
-FROM w, m WHERE wstart + INTERVAL '4' DAY <= m.wm GROUP BY 1""")
+, m AS (SELECT max(processed_date) - INTERVAL '1' DAY AS wm, date_trunc('day', min(processed_date)) AS first,
+               date_trunc('day', max(processed_date)) AS last FROM story_log),
+w AS (SELECT unnest(generate_series(first - INTERVAL '3' DAY, last, INTERVAL '1' DAY)) AS wstart, wm FROM m),
+c AS (SELECT w.wstart, count(l.processed_date) AS n FROM w LEFT JOIN story_log l
+      ON l.processed_date >= w.wstart AND l.processed_date < w.wstart + INTERVAL '4' DAY
+      WHERE w.wstart + INTERVAL '4' DAY <= w.wm GROUP BY 1)
+SELECT strftime(wstart, '%Y-%m-%d') AS window_start, n AS total_stories, n / 4.0 AS average_per_day, n / 4.0 < 40000 AS alert FROM c""")
 def q_stream_volume_alert(spark, sf_dir):
-    out = _sink_files(J.volume_alert_stream(_log_stream(spark, sf_dir)), "alert", spark)
+    """Every window of the log's calendar, with or without stories: the ticks
+    of its days are a second stream."""
+    d = J.run_dir(spark, "clock")
+    log = fixtures.story_log_from_events(table(spark, sf_dir, "events"))
+    J.calendar(log.agg(F.min("processed_date").alias("first"), F.max("processed_date").alias("last"))).write.parquet(f"{d}/ticks")
+    clock = J.read_stream(spark, f"{d}/ticks", spark.read.parquet(f"{d}/ticks").schema)
+    out = _sink_files(J.volume_alert_stream(_log_stream(spark, sf_dir), clock), "alert", spark)
     return out.select(F.date_format("window.start", "yyyy-MM-dd").alias("window_start"),
                       "total_stories", "average_per_day", "alert")
 
@@ -72,10 +79,9 @@ SELECT project_id, source, max(queued_date) AS latest_date FROM story_log GROUP
 def q_stream_high_water(spark, sf_dir):
     d = J.run_dir(spark, "hwm")
     agg = J.high_water_stream(_log_stream(spark, sf_dir))
-    # the state is one row per (project, source); each batch rewrites it whole
-    J.run_available(agg.writeStream.outputMode("complete").foreachBatch(
-        lambda b, i: b.write.mode("overwrite").parquet(f"{d}/out")), f"{d}/ck")
-    return spark.read.parquet(f"{d}/out")
+    # the state is one row per (project, source); each batch is a new version
+    J.run_available(agg.writeStream.outputMode("complete").foreachBatch(J.versioned_table_writer(f"{d}/out")), f"{d}/ck")
+    return J.read_versioned(spark, f"{d}/out")
 
 
 @query("stream_replay_safe_log", sql=FEED_CTE + "SELECT feed_pos, project_id, url, normalized_url FROM deduped")

@@ -4,6 +4,11 @@ and the low-volume alert (J1-J8).
 
 Every stateful operator is bounded: de-duplication and windows forget state
 behind a watermark; the high-water mark keeps one row per (project, source).
+Windows of an alert follow a clock, a stream of ticks merged with the log, so
+that a silent stretch, or a total outage, has windows too.  A log written here
+is laid out by hash buckets of its keys, so that a micro-batch looks up its
+stories in the buckets they fall in.  A table that is rewritten whole is kept
+in versions with a commit marker each: readers see the last whole one.
 Sinks are files under the shared checkpoint folder; a micro-batch writes its
 own directory named by the query and the batch id, so a retried batch replaces
 its own output instead of adding rows, and a query that starts again with a
@@ -14,9 +19,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,13 +58,30 @@ def daily_counts_stream(log: DataFrame, event_time: str = "queued_date", delay:
             .groupBy(F.window(event_time, "1 day"), *by).agg(F.count(F.lit(1)).alias("stories")))
 
 
-def volume_alert_stream(log: DataFrame, event_time: str = "processed_date", delay: str = "1 day",
+def clock_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
+    """``tick``: the wall clock as a stream (the rate source)."""
+    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load().select(F.col("timestamp").alias("tick"))
+
+
+def calendar(bounds: DataFrame, step: str = "1 day") -> DataFrame:
+    """``tick``: every step from the day of ``first`` to the day of ``last``
+    (``bounds``: one row), the clock of a replay."""
+    days = F.sequence(F.date_trunc("day", "first"), F.date_trunc("day", "last"), F.expr(f"INTERVAL {step}"))
+    return bounds.filter("first IS NOT NULL").select(F.explode(days).alias("tick"))
+
+
+def volume_alert_stream(log: DataFrame, clock: DataFrame, event_time: str = "processed_date", delay: str = "1 day",
                         days: int = schemas.STORY_COUNT_WINDOW_SIZE,
                         threshold: int = schemas.STORY_COUNT_THRESHOLD) -> DataFrame:
-    """The low-volume alert on a sliding ``days``-day window advanced daily."""
-    counts = (log.withWatermark(event_time, delay)
-              .groupBy(F.window(event_time, f"{days} days", "1 day"))
-              .agg(F.count(F.lit(1)).alias("total_stories")))
+    """The low-volume alert on a sliding ``days``-day window advanced daily.
+
+    Ticks of the ``clock`` (one a day at least) join the log's stories with
+    weight 0, before the watermark: every window that the clock passes exists
+    and closes as the clock moves on, also when no story arrives any more."""
+    rows = (log.select(F.col(event_time).alias("at"), F.lit(1).alias("stories"))
+            .unionByName(clock.select(F.col("tick").cast("timestamp").alias("at"), F.lit(0).alias("stories"))))
+    counts = (rows.withWatermark("at", delay).groupBy(F.window("at", f"{days} days", "1 day"))
+              .agg(F.sum("stories").alias("total_stories")))
     avg = F.col("total_stories") / F.lit(days)
     return counts.select("window", "total_stories", avg.alias("average_per_day"),
                          (avg < F.lit(threshold)).alias("alert"))
@@ -82,24 +104,92 @@ def _batch_path(path: str, run: str, batch_id: int) -> str:
     return f"{path}/run={run}/batch_id={batch_id}"
 
 
+KEY_BUCKETS = 256      # of a log written by ``replay_safe_log_writer``
+
+
+def key_bucket(df: DataFrame, keys: Sequence[str] = ("project_id",), buckets: int = KEY_BUCKETS) -> Column:
+    """The bucket of a story's key: the same for every spelling of its URL."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], D.dedupe_key(df)), F.lit(buckets)).cast("int")
+
+
+def seen_in_buckets(log: DataFrame, batch: DataFrame, keys: Sequence[str] = ("project_id",), buckets: int = KEY_BUCKETS) -> DataFrame:
+    """The part of a bucketed log that may hold the batch's keys: the folders
+    of the buckets the batch falls in (at most ``buckets`` numbers come to the
+    driver), whatever the size of the log."""
+    touched = [r.b for r in batch.select(key_bucket(batch, keys, buckets).alias("b")).distinct().collect()]
+    return log.filter(F.col("bucket").isin(touched))
+
+
 def replay_safe_log_writer(log_path: str, order_by: str, key_cols: tuple[str, ...] = ("project_id",),
-                           run_id: str | None = None) -> Callable[[DataFrame, int], None]:
+                           run_id: str | None = None, buckets: int = KEY_BUCKETS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer that appends only stories not yet in the
-    log; the batch is written to ``run=<run>/batch_id=<id>`` with overwrite, so
-    a retried batch replaces its own rows and never duplicates them."""
+    log; the batch is written to ``run=<run>/batch_id=<id>/bucket=<b>`` with
+    overwrite, so a retried batch replaces its own rows and never duplicates
+    them.  Known keys are looked up in the batch's own buckets only."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = _run_of(batch, run_id)
         fresh = D.dedupe(batch, order_by=order_by, keys=key_cols)
         if _exists(spark, log_path):
             # all other batches: a replay of this batch must not see itself
-            seen = spark.read.parquet(log_path)
+            seen = seen_in_buckets(spark.read.parquet(log_path), batch, key_cols, buckets)
             others = (F.col("run") != run) | (F.col("batch_id") != batch_id)
-            fresh = D.dedupe_against_log(fresh, seen.filter(others).drop("run", "batch_id"))
-        fresh.write.mode("overwrite").parquet(_batch_path(log_path, run, batch_id))
+            fresh = D.dedupe_against_log(fresh, seen.filter(others).drop("run", "batch_id", "bucket"))
+        bucketed = fresh.withColumn("bucket", key_bucket(fresh, key_cols, buckets))
+        bucketed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(_batch_path(log_path, run, batch_id))
     return write
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
+    """(number, run, batch id) of the committed versions, oldest first."""
+    fs, folder = _fs(spark, f"{path}/_committed")
+    if not fs.exists(folder):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(folder)]
+    out = []
+    for name in names:
+        number, run, batch = name.split("--")
+        out.append((int(number), run, int(batch)))
+    return sorted(out)
+
+
+def versioned_table_writer(path: str, keep: int = 2, run_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of a table that each batch replaces whole.
+
+    A batch writes a new folder and then, as the last step, its commit marker;
+    a batch that fails leaves the versions before it as they were.  A batch
+    that is replayed after its commit changes nothing.  The ``keep`` newest
+    versions stay, so that a reader of the last one is not cut off."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, _run_of(batch, run_id)
+        done = _versions(spark, path)
+        if any((r, b) == (run, batch_id) for _, r, b in done):
+            return
+        number = done[-1][0] + 1 if done else 0
+        batch.write.mode("overwrite").parquet(f"{path}/version={number}")
+        fs, marker = _fs(spark, f"{path}/_committed/{number:012d}--{run}--{batch_id}")
+        fs.create(marker, True).close()
+        for old, r, b in done[:max(0, len(done) + 1 - keep)]:
+            # the marker first: a version without its folder must not look whole
+            for gone in (f"{path}/_committed/{old:012d}--{r}--{b}", f"{path}/version={old}"):
+                old_fs, p = _fs(spark, gone)
+                old_fs.delete(p, True)
+    return write
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame:
+    """The last committed version of a table written by ``versioned_table_writer``."""
+    done = _versions(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no committed version in {path}")
+    return spark.read.parquet(f"{path}/version={done[-1][0]}")
+
+
 def foreach_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str,
                          run_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """Apply a batch transformation (e.g. scoring against static model
@@ -127,8 +217,8 @@ def split_late_writer(windows: DataFrame, out_path: str, indexed_col: str = "ind
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a log yet; one that cannot be read stays an error."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def run_available(stream_writer, checkpoint: str):
