@@ -116,3 +116,32 @@ def test_no_stories_and_no_projects(spark, parts):
     stories, projects, models, terms, vectors = parts
     assert C.score(stories.limit(0), projects.filter("project_id < 5"), models, terms, vectors=vectors).collect() == []
     assert C.score(stories, projects.limit(0), models, terms).collect() == []
+
+
+def test_logistic_steps_equal_plain_gradient_descent(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "common"], 6)) for _ in range(40)]
+    labels = [int("alpha" in t) if i % 9 else None for i, t in enumerate(texts)]
+    rows = [(i, t, y) for i, (t, y) in enumerate(zip(texts, labels))] + [(100, None, 1), (101, "", 0), (102, "common common", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    got = {r.term: r.weight for r in C.fit_logistic_steps(df, "y", steps=5, rate=1.5, reg=0.1).collect()}
+
+    used = [(t.split(), y) for _, t, y in rows if t is not None and y is not None]
+    n = len(used)
+    vocabulary = sorted({w for t, _ in used for w in t})
+    idf = {w: math.log((n + 1) / (sum(w in t for t, _ in used) + 1)) for w in vocabulary}
+    x = np.array([[t.count(w) * idf[w] for w in vocabulary] for t, _ in used])
+    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    y, w, b = np.array([y for _, y in used], float), np.zeros(len(vocabulary)), 0.0
+    for _ in range(5):
+        r = 1 / (1 + np.exp(-(x @ w + b))) - y
+        w, b = w - 1.5 * (x.T @ r / n + 0.1 * w), b - 1.5 * r.mean()
+    assert got == {None: pytest.approx(b), **{v: pytest.approx(z) for v, z in zip(vocabulary, w)}}
+
+
+def test_logistic_steps_separate_classes(spark):
+    rows = [(i, "good " * (1 + i % 3) + "news" if i % 2 else "bad " * (1 + i % 3) + "news", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    w = {r.term: r.weight for r in C.fit_logistic_steps(df, "y").collect()}
+    assert w["good"] > 0 > w["bad"] and abs(w["news"]) < 1e-9 and set(w) == {None, "good", "bad", "news"}

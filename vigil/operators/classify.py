@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.text import FEATURE_TOKEN, tokens
-from vigil.operators.common import bounded_broadcast, unbounded
+from vigil.operators.common import bounded_broadcast, store, unbounded
 from vigil.session import checkpoint_dir
 
 MODEL_TYPES = ("lr", "nb")
@@ -79,7 +79,8 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str, keys: Sequence[str] =
 
 
 # ---------------------------------------------------------------------------
-# Fitting (H8): naive Bayes by counting; logistic regression with Spark ML
+# Fitting (H8): naive Bayes by counting; logistic regression by gradient steps
+# over grouped sums, or with Spark ML
 # ---------------------------------------------------------------------------
 def fit_naive_bayes(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
                     model_id: int = 1, stage: int = 1, smoothing: float = 1.0) -> DataFrame:
@@ -196,6 +197,40 @@ def fit_logistic_regression(train: DataFrame, label_col: str, id_col: str = "doc
     return spark.createDataFrame(pdf, schema)
 
 
+INTERCEPT = ""         # the term every document has once; no token is empty
+
+
+def fit_logistic_steps(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", model_id: int = 1,
+                       stage: int = 1, steps: int = 8, rate: float = 2.0, reg: float = 0.01) -> DataFrame:
+    """H8: logistic regression on the TF-IDF features by ``steps`` full-batch
+    gradient steps, as ``model_terms`` rows.
+
+    A step is two joins and two grouped sums over the rows (id, term, x): the
+    documents' margins under the current weights, then per term the sum of
+    residual times x.  The weights are a table per step in the shared folder;
+    neither they nor the features pass through the driver, and every term of
+    the training texts has a weight.  Each ``x`` row is at most 1 long
+    (normalised), so the loss is 0.5-smooth and steps below 4 descend.
+    """
+    train = train.filter(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    y = store(train.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")), "lr-labels")
+    counts = store(term_counts(train, id_col, text_col).withColumnRenamed(id_col, "id"), "lr-counts")
+    n = y.count()
+    idf = store(fit_idf(counts, n, "id"), "lr-idf")
+    ones = y.select("id", F.lit(INTERCEPT).alias("term"), F.lit(1.0).alias("x"))
+    x = store(tfidf(counts, idf, "id").unionByName(ones), "lr-features")
+    w = x.select("term").distinct().withColumn("weight", F.lit(0.0))
+    for _ in range(steps):
+        margin = x.join(unbounded(w), "term").groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("m"))
+        residual = margin.join(unbounded(y), "id").select("id", (sigmoid(F.col("m")) - F.col("y")).alias("r"))
+        slope = x.join(unbounded(residual), "id").groupBy("term").agg((F.sum(F.col("r") * F.col("x")) / F.lit(float(max(n, 1)))).alias("g"))
+        shrink = F.when(F.col("term") == INTERCEPT, F.lit(0.0)).otherwise(F.lit(reg) * F.col("weight"))
+        w = store(w.join(unbounded(slope), "term").select("term", (F.col("weight") - F.lit(rate) * (F.col("g") + shrink)).alias("weight")), "lr-weights")
+    return (w.join(unbounded(idf), "term", "left")
+            .select(F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
+                    F.nullif("term", F.lit(INTERCEPT)).alias("term"), "idf", "weight"))
+
+
 def fit_centroid_embedding(train: DataFrame, label_col: str, vec_col: str = "embedding",
                            model_id: int = 1, stage: int = 1) -> DataFrame:
     """A linear model on embedding vectors: nearest class centroid,

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from vigil.operators import classify as C
+from vigil.operators.common import store
 from vigil.plans.registry import query
 from vigil.session import checkpoint_dir
 from vigil.sources import fixtures
@@ -279,16 +280,39 @@ def q_caller_model_scores(spark, sf_dir):
                    texts=s.select("story_id", "story_text"), scorers={3: length_scorer}).select(*score_columns())
 
 
-@query("lr_story_scores")
+LR_STEPS, LR_RATE, LR_REG = 6, 2.0, 0.01
+
+
+def _lr_sql() -> str:
+    """Six gradient steps, a CTE each, and the scores of all stories."""
+    steps = ["w0 AS MATERIALIZED (SELECT DISTINCT term, 0.0::DOUBLE AS weight FROM x)"]
+    for k in range(LR_STEPS):
+        steps.append(f"""
+r{k} AS MATERIALIZED (SELECT x.doc_id, 1.0 / (1.0 + exp(-sum(x.x * w.weight))) - max(y.y) AS r
+        FROM x JOIN w{k} w USING (term) JOIN y USING (doc_id) GROUP BY 1),
+w{k + 1} AS MATERIALIZED (SELECT w.term, w.weight - {LR_RATE}::DOUBLE * (g.g + CASE WHEN w.term = '' THEN 0 ELSE {LR_REG}::DOUBLE * w.weight END) AS weight
+        FROM w{k} w JOIN (SELECT term, sum(r.r * x.x) / (SELECT count(*) FROM y) AS g FROM x JOIN r{k} r USING (doc_id) GROUP BY 1) g USING (term))""")
+    return "WITH " + _nb_sql("quality") + """,
+y AS MATERIALIZED (SELECT doc_id, y::DOUBLE AS y FROM nb_quality_train),
+x AS MATERIALIZED (SELECT doc_id, term, x FROM nb_quality_x UNION ALL SELECT doc_id, '', 1.0 FROM y),
+""" + ",\n".join(steps) + f""",
+lr AS (SELECT term, idf, weight FROM w{LR_STEPS} LEFT JOIN nb_quality_idf USING (term)),
+cnt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {FEAT})) AS term FROM documents) GROUP BY 1, 2),
+agg AS (SELECT doc_id, sum(tf * idf * weight) AS dot, sqrt(sum((tf * idf) * (tf * idf))) AS norm FROM cnt JOIN lr USING (term) GROUP BY 1)
+SELECT d.doc_id AS story_id, round(CASE WHEN d.text IS NOT NULL THEN 1.0 / (1.0 + exp(-((SELECT weight FROM lr WHERE term = '')
+       + coalesce(agg.dot / nullif(agg.norm, 0), 0)))) END, 6) AS p FROM documents d LEFT JOIN agg USING (doc_id)"""
+
+
+@query("lr_story_scores", sql=_lr_sql())
 def q_lr_scores(spark, sf_dir):
-    """H8 with Spark ML logistic regression: iterative, so no SQL twin.  Every
-    project uses the fitted LR model; scoring is the same weight-table join."""
+    """H8 with logistic regression fitted by gradient steps over grouped sums.
+    Every project uses the fitted model; scoring is the same weight-table join."""
     from vigil import schemas
     from vigil.sources.config import literal_table
-    mt = C.fit_logistic_regression(training(spark, sf_dir), "quality", model_id=LR_MODEL_ID)
+    mt = C.fit_logistic_steps(training(spark, sf_dir), "quality", model_id=LR_MODEL_ID, steps=LR_STEPS, rate=LR_RATE, reg=LR_REG)
     models = literal_table(spark, [(LR_MODEL_ID, "quality-lr", "quality_lr", "lr", "tfidf", False, None, None)],
                            schemas.MODEL)
     projects = literal_table(spark, [r[:8] + (LR_MODEL_ID,) for r in fixtures.PROJECT_ROWS], schemas.PROJECT)
     s = stories(spark, sf_dir)
-    return C.score(s, projects, models, mt, texts=s.select("story_id", "story_text")) \
+    return C.score(s, projects, models, store(mt, "lr-model"), texts=s.select("story_id", "story_text")) \
         .select("story_id", F.round("model_score", 6).alias("p"))
