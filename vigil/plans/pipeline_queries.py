@@ -10,11 +10,12 @@ from vigil import schemas
 from vigil.operators import log as logops
 from vigil.operators import windows as W
 from vigil.plans import class_queries as CQ
-from vigil.plans import pipeline
+from vigil.plans import lifecycle, pipeline
 from vigil.plans.log_queries import LOG_CTE, story_log
 from vigil.plans.registry import query
 from vigil.sources import fixtures
 from vigil.sources.tables import table
+from vigil.streaming import ingest as J
 
 AS_OF = fixtures.AS_OF
 PLATFORMS3 = [schemas.SOURCE_MEDIA_CLOUD, schemas.SOURCE_NEWSCATCHER, schemas.SOURCE_WAYBACK_MACHINE]
@@ -177,10 +178,9 @@ def q_late_rows_with_history(spark, sf_dir):
     return W.late_rows(_archive_stories(spark, sf_dir), _daily_windows(spark, sf_dir)).select("project_id", "story_id", "url")
 
 
-@query("log_state", sql=LOG_CTE + "SELECT * FROM story_log")
-def q_log_state(spark, sf_dir):
-    """The log rebuilt from insert rows plus lifecycle events equals the log."""
-    log = story_log(spark, sf_dir)
+def lifecycle_of(log):
+    """(inserts, events) whose fold is the log: what was known when a story was
+    queued, and its scored, above and posted events."""
     inserts = log.select("id", "project_id", "model_id", "source", "published_date", "queued_date",
                          F.lit(None).cast("timestamp").alias("processed_date"),
                          F.lit(None).cast("double").alias("model_score"),
@@ -197,8 +197,56 @@ def q_log_state(spark, sf_dir):
         "id", F.lit(None).cast("double").alias("model_score"), F.lit(None).cast("timestamp").alias("processed_date"),
         F.lit(None).cast("boolean").alias("above_threshold"), "posted_date",
         F.col("posted_date").alias("event_time"))
-    events = scored.unionByName(flagged).unionByName(posted)
-    return logops.log_state(inserts, events).select(*log.columns)
+    return inserts, scored.unionByName(flagged).unionByName(posted)
+
+
+@query("log_state", sql=LOG_CTE + "SELECT * FROM story_log")
+def q_log_state(spark, sf_dir):
+    """The log rebuilt from insert rows plus lifecycle events equals the log."""
+    log = story_log(spark, sf_dir)
+    return logops.log_state(*lifecycle_of(log)).select(*log.columns)
+
+
+SNAPSHOTS = [10, 17, 24, 60]     # days of the fixture's month after which its log is compacted
+
+
+@query("log_state_incremental", sql=LOG_CTE + "SELECT * FROM story_log")
+def q_log_state_incremental(spark, sf_dir):
+    """The same state over snapshots, each folded from the one before and
+    the inserts and events since then."""
+    log = story_log(spark, sf_dir)
+    inserts, events = lifecycle_of(log)
+    path, start = J.run_dir(spark, "snapshots"), dt.datetime(2024, 1, 1)
+    since = None
+    for days in SNAPSHOTS:
+        upto = start + dt.timedelta(days=days)
+        snapshot = logops.compact(spark, path, inserts, events, upto, since)
+        since = upto
+    return logops.state_of(snapshot).select(*log.columns)
+
+
+def _deleted_folders(spark, sf_dir):
+    path = J.run_dir(spark, "retention")
+    log = story_log(spark, sf_dir)
+    logops.append_log(log, path)
+    return log, path, logops.delete_old_days(spark, path, 20, AS_OF)
+
+
+@query("deleted_day_folders", sql=LOG_CTE + f"""
+SELECT strftime(CAST(queued_date AS DATE), '%Y-%m-%d') AS day, count(*) AS deleted FROM story_log
+WHERE CAST(queued_date AS DATE) < CAST({_ts(AS_OF - dt.timedelta(days=20))} AS DATE) GROUP BY 1""")
+def q_deleted_day_folders(spark, sf_dir):
+    """The log's day folders that retention deletes, with their rows."""
+    return _deleted_folders(spark, sf_dir)[2]
+
+
+@query("log_after_retention", sql=LOG_CTE + f"""
+SELECT * FROM story_log WHERE queued_date IS NULL OR queued_date >= {_ts(AS_OF - dt.timedelta(days=20))}""")
+def q_log_after_retention(spark, sf_dir):
+    """What is left of a log on disk when its old day folders are gone."""
+    log, path, _ = _deleted_folders(spark, sf_dir)
+    kept, _ = logops.retain(spark.read.parquet(path), 20, AS_OF)
+    return kept.select(*log.columns)
 
 
 def run(spark, sf_dir):
@@ -296,3 +344,22 @@ def q_pipeline_log_rows(spark, sf_dir):
                            source=schemas.SOURCE_MEDIA_CLOUD)
     return rows.select("id", "project_id", "model_id", "url", "normalized_url", "published_date",
                        "queued_date", "above_threshold", "source")
+
+
+PROCESSED_AT, POSTED_AT = AS_OF + dt.timedelta(hours=1), AS_OF + dt.timedelta(hours=2)
+
+
+@query("run_state", sql=_pipeline_sql() + f"""
+SELECT sha256(concat_ws('|', CAST(k.project_id AS VARCHAR), coalesce(k.normalized_url, k.url))) AS id, k.project_id, p.model_id,
+       round(s.model_score, 6) AS model_score, round(s.model_1_score, 6) AS model_1_score, round(s.model_2_score, 6) AS model_2_score,
+       k.indexed_date - INTERVAL '1' DAY * (k.story_id % 3) AS published_date, {_ts(AS_OF)} AS queued_date,
+       CASE WHEN s.model_score IS NOT NULL THEN {_ts(PROCESSED_AT)} END AS processed_date,
+       CASE WHEN s.model_score >= coalesce(p.min_confidence, 0) THEN {_ts(POSTED_AT)} END AS posted_date,
+       coalesce(s.model_score >= coalesce(p.min_confidence, 0), false) AS above_threshold, 'media-cloud' AS source, k.url, k.normalized_url
+FROM kept k JOIN proj p USING (project_id) JOIN scored s ON s.story_id = k.story_id AND s.project_id = k.project_id""")
+def q_run_state(spark, sf_dir):
+    """The log as one committed run leaves it."""
+    path = J.run_dir(spark, "lifecycle")
+    lifecycle.commit_run(spark, run(spark, sf_dir), path, "first", AS_OF, PROCESSED_AT, POSTED_AT)
+    state = lifecycle.run_state(spark, path)
+    return state.select(*[F.round(c, 6).alias(c) if c.endswith("_score") else c for c in state.columns])

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from vigil import schemas
 from vigil.operators import dedupe as D
 from vigil.session import checkpoint_dir
+from vigil.sources.versions import file_system, run_of, read_versioned, versioned_table_writer  # noqa: F401
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -92,14 +93,6 @@ def high_water_stream(log: DataFrame, date_col: str = "queued_date") -> DataFram
     return log.groupBy("project_id", "source").agg(F.max(date_col).alias("latest_date"))
 
 
-def _run_of(batch: DataFrame, run_id: str | None) -> str:
-    """The run a micro-batch belongs to: the id of its streaming query, which
-    its checkpoint keeps over restarts, unless the caller names the run;
-    batches written outside a query and without a name are one run."""
-    run = run_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"run-{run or 'unnamed'}"     # never read back as a number or a date
-
-
 def _batch_path(path: str, run: str, batch_id: int) -> str:
     return f"{path}/run={run}/batch_id={batch_id}"
 
@@ -128,7 +121,7 @@ def replay_safe_log_writer(log_path: str, order_by: str, key_cols: tuple[str, ..
     them.  Known keys are looked up in the batch's own buckets only."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run = _run_of(batch, run_id)
+        run = run_of(batch, run_id)
         fresh = D.dedupe(batch, order_by=order_by, keys=key_cols)
         if _exists(spark, log_path):
             # all other batches: a replay of this batch must not see itself
@@ -140,62 +133,12 @@ def replay_safe_log_writer(log_path: str, order_by: str, key_cols: tuple[str, ..
     return write
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
-    """(number, run, batch id) of the committed versions, oldest first."""
-    fs, folder = _fs(spark, f"{path}/_committed")
-    if not fs.exists(folder):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(folder)]
-    out = []
-    for name in names:
-        number, run, batch = name.split("--")
-        out.append((int(number), run, int(batch)))
-    return sorted(out)
-
-
-def versioned_table_writer(path: str, keep: int = 2, run_id: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer of a table that each batch replaces whole.
-
-    A batch writes a new folder and then, as the last step, its commit marker;
-    a batch that fails leaves the versions before it as they were.  A batch
-    that is replayed after its commit changes nothing.  The ``keep`` newest
-    versions stay, so that a reader of the last one is not cut off."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark, run = batch.sparkSession, _run_of(batch, run_id)
-        done = _versions(spark, path)
-        if any((r, b) == (run, batch_id) for _, r, b in done):
-            return
-        number = done[-1][0] + 1 if done else 0
-        batch.write.mode("overwrite").parquet(f"{path}/version={number}")
-        fs, marker = _fs(spark, f"{path}/_committed/{number:012d}--{run}--{batch_id}")
-        fs.create(marker, True).close()
-        for old, r, b in done[:max(0, len(done) + 1 - keep)]:
-            # the marker first: a version without its folder must not look whole
-            for gone in (f"{path}/_committed/{old:012d}--{r}--{b}", f"{path}/version={old}"):
-                old_fs, p = _fs(spark, gone)
-                old_fs.delete(p, True)
-    return write
-
-
-def read_versioned(spark: SparkSession, path: str) -> DataFrame:
-    """The last committed version of a table written by ``versioned_table_writer``."""
-    done = _versions(spark, path)
-    if not done:
-        raise FileNotFoundError(f"no committed version in {path}")
-    return spark.read.parquet(f"{path}/version={done[-1][0]}")
-
-
 def foreach_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str,
                          run_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """Apply a batch transformation (e.g. scoring against static model
     weights) to each micro-batch and write it under its batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(_batch_path(out_path, _run_of(batch, run_id), batch_id))
+        transform(batch).write.mode("overwrite").parquet(_batch_path(out_path, run_of(batch, run_id), batch_id))
     return write
 
 
@@ -207,7 +150,7 @@ def split_late_writer(windows: DataFrame, out_path: str, indexed_col: str = "ind
     from vigil.operators.windows import in_window, late_rows
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = _run_of(batch, run_id)
+        run = run_of(batch, run_id)
         in_window(batch, windows, indexed_col, published_col).write.mode("overwrite") \
             .parquet(_batch_path(f"{out_path}/kept", run, batch_id))
         late_rows(batch, windows, indexed_col, published_col).write.mode("overwrite") \
@@ -217,7 +160,7 @@ def split_late_writer(windows: DataFrame, out_path: str, indexed_col: str = "ind
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a log yet; one that cannot be read stays an error."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
