@@ -7,12 +7,14 @@ fetchers, and joining page text back to every story that asked for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import text as TX
 from vigil.functions import urls as U
-from vigil.operators.common import number_rows, spread, unbounded
+from vigil.operators.common import bounded_broadcast, number_rows, spread, unbounded
 
 
 def urls_to_fetch(stories: DataFrame, url_col: str = "url") -> DataFrame:
@@ -42,14 +44,20 @@ def host_batches(urls: DataFrame, order_col: str, n: int = 4) -> DataFrame:
     return g.withColumn("batch", ((F.col("host_order") - 1) % F.lit(n)).cast("long"))
 
 
-def attach_text(stories: DataFrame, pages: DataFrame, story_url: str = "url") -> DataFrame:
+def attach_text(stories: DataFrame, pages: DataFrame, story_url: str = "url",
+                parser: Callable[[Column], Column] = TX.html_to_text) -> DataFrame:
     """D3: every story whose URL was fetched gets the page's main text (I13);
-    stories without a fetched page fall out (inner equi-join)."""
-    p = spread(pages).select(F.col("original_url").alias("__u"),
-                     TX.html_title("content").alias("page_title"),
-                     TX.html_to_text("content").alias("story_text"),
-                     TX.html_published_date("content").alias("page_date"))
+    stories without a fetched page fall out (inner equi-join).
+
+    Only pages that some story asks for are parsed: the distinct URLs are
+    semi-joined first (broadcast within their measured bound).  ``parser`` is
+    the caller's own extraction, a native expression of the page's content.
+    """
     s = stories.drop("story_text") if "story_text" in stories.columns else stories
+    asked = s.select(F.col(story_url).alias("original_url")).filter(F.col("original_url").isNotNull()).distinct()
+    p = spread(pages).join(bounded_broadcast(asked), "original_url", "left_semi").select(
+        F.col("original_url").alias("__u"), TX.html_title("content").alias("page_title"),
+        parser(F.col("content")).alias("story_text"), TX.html_published_date("content").alias("page_date"))
     return s.join(unbounded(p), s[story_url] == p["__u"]).drop("__u")
 
 

@@ -215,6 +215,49 @@ def q_page_text(spark, sf_dir):
     return p.select("page_id", TX.html_title("html").alias("title"), TX.html_to_text("html").alias("text"))
 
 
+def _blocks_sql(c: str) -> str:
+    """The page's blocks: [{text, words, linked}] (block density)."""
+    def sq(x):
+        return x.replace("'", "''")
+
+    def plain(x):
+        return f"trim(regexp_replace({_entities_sql(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g'))"
+
+    def words(x):
+        return f"CASE WHEN {x} = '' THEN 0 ELSE len(string_split({x}, ' ')) END"
+    s = f"regexp_replace({c}, '(?s)<!--.*?-->', ' ', 'g')"
+    for tag in ["head", "script", "style", "noscript", "template", "nav", "footer", "aside"]:
+        s = f"regexp_replace({s}, '(?is)<{tag}(?:\\s[^>]*)?>.*?</{tag}>', ' ', 'g')"
+    links = "array_to_string(regexp_extract_all(b, '(?is)<a(?:\\s[^>]*)?>(.*?)</a>', 1), ' ')"
+    parts = f"list_transform(string_split_regex({s}, '{sq(TX.BLOCK_TAG)}'), lambda b: {{'text': {plain('b')}, 'link': {plain(links)}}})"
+    blocks = f"list_transform({parts}, lambda p: {{'text': p.text, 'words': {words('p.text')}, 'linked': {words('p.link')}}})"
+    return f"list_filter({blocks}, lambda b: b.words > 0)"
+
+
+def main_text_cte(name: str, source: str) -> str:
+    """CTE ``name``: ``source``'s columns and ``main``, its ``html``'s text by block density."""
+    free = "(bs[{i}].words - bs[{i}].linked)"
+    keep = (f"coalesce({free.format(i='i - 1')} * (i > 1)::INT, 0) + 2 * {free.format(i='i')} + coalesce({free.format(i='i + 1')}, 0) >= {4 * TX.MIN_DENSITY}"
+            f" AND {TX.MAX_LINK_SHARE} * bs[i].linked <= bs[i].words")
+    return (f"{name}_blocks AS (SELECT *, {_blocks_sql('html')} AS bs FROM {source}),\n"
+            f"{name} AS (SELECT * EXCLUDE (bs), array_to_string(list_transform(list_filter(range(1, len(bs) + 1), lambda i: {keep}), "
+            f"lambda i: bs[i].text), ' ') AS main FROM {name}_blocks)")
+
+
+@query("page_text_blocks", sql="WITH " + main_text_cte("m", "pages") + " SELECT page_id, main AS text FROM m")
+def q_page_text_blocks(spark, sf_dir):
+    """I13 by block density, which knows no class of any site."""
+    return spread(table(spark, sf_dir, "pages")).select("page_id", TX.main_text("html").alias("text"))
+
+
+@query("attach_text_blocks", sql=FEED_CTE + ", " + main_text_cte("m", "pages") + """
+SELECT d.feed_pos, d.project_id, d.url, m.main AS story_text FROM deduped d JOIN m ON d.url = m.url""")
+def q_attach_text_blocks(spark, sf_dir):
+    """D3 with the caller's own parser (a native expression)."""
+    pages = FD.read_pages(table(spark, sf_dir, "pages"))
+    return FE.attach_text(deduped(spark, sf_dir), pages, parser=TX.main_text).select("feed_pos", "project_id", "url", "story_text")
+
+
 @query("attach_text", sql=FEED_CTE + f"""
 SELECT d.feed_pos, d.project_id, d.url, {_title_sql('p.html')} AS page_title, {_text_sql('p.html')} AS story_text
 FROM deduped d JOIN pages p ON d.url = p.url""")
