@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from vigil.llm import textkernel as K
 from vigil.llm.langid import code_points
 from vigil.llm.records import chunk_starts
-from vigil.llm.storage import small_batches
+from vigil.llm.storage import gives_back, small_batches
 
 PIECE_BYTES = 1 << 20
 LONG_WORD = 1024                    # symbols beyond which pairs within reach decide, not the whole word's
@@ -308,6 +308,7 @@ def _bpe(path: str) -> Bpe:
     return Bpe(path)
 
 
+@gives_back
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     bpe = _bpe(path)
     for batch in batches:
@@ -322,6 +323,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
                 [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))], ["id", "ids"])
 
 
+@gives_back
 def _decode(batches: Iterator[pa.RecordBatch], path: str, keep: int) -> Iterator[pa.RecordBatch]:
     bpe = _bpe(path)
     for batch in batches:

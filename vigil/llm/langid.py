@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import small_batches
+from vigil.llm.storage import gives_back, small_batches
 
 UNKNOWN = "und"
 RANKS = 300                 # n-grams of a profile, and of a document
@@ -113,6 +113,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[head], np.diff(np.append(head, len(keys)))
 
 
+@gives_back
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n): n-gram counts of a task's training texts (text, lang)."""
     held: dict[str, list] = {}
@@ -195,6 +196,7 @@ class Profiles:
         return out, n * self.ranks
 
 
+@gives_back
 def _predict(batches: Iterator[pa.RecordBatch], profiles_b, text_at: int, keep: list[int]) -> Iterator[pa.RecordBatch]:
     p: Profiles = profiles_b.value
     langs = np.array([*p.langs, UNKNOWN], dtype=object)

@@ -198,7 +198,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = (placed.select(*ROW, "sid", "key", "size", "blocks", _block_of(F.col("at")).alias("block"), F.inline(copies))
               .withColumn("rank", F.col("pass") * F.col("blocks") + F.col("block")))
     copies = copies.join(unbounded(slots), ["sid", "rank"]).select(*ROW, "key", "size", "pass", "take", "slot")
-    taken = rows.join(unbounded(copies), ROW)
+    # hashed by partition: copies are a few numbers each, and texts need no sort
+    taken = rows.join(copies.hint("shuffle_hash"), ROW)
     pieces = F.split(F.col(c[text_col]), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     text = F.when(F.col("take") >= F.col("size"), F.col(c[text_col])).otherwise(F.array_join(F.slice(pieces, 1, F.col("take")), ""))
     # slots hold equally many words, so equal spans of slots are equal partitions

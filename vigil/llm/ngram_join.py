@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
 from vigil.llm.components import connected_components
-from vigil.llm.storage import Scratch, small_batches
+from vigil.llm.storage import Scratch, gives_back, small_batches
 from vigil.operators.common import bounded_broadcast
 
 BLOCK_SHINGLES = 100_000    # entries of a block of the product of a family, about
@@ -76,6 +76,7 @@ def _long_lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))
 
 
+@gives_back
 def _keys_and_counts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(id, n, s1, s2) per document, and one row with the task's shingle counts."""
     counts = np.zeros(1 << COUNT_BITS, np.int64)
@@ -112,6 +113,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
 
 
+@gives_back
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, counts) -> Iterator[pa.RecordBatch]:
     """The first ``n - ceil(t n) + 1`` shingles of each set, rare ones first."""
     shift = np.uint64(64 - COUNT_BITS)
@@ -131,6 +133,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, cou
              pa.array(s2, pa.int64()), _long_lists(prefix)], ["id", "n", "s1", "s2", "prefix"])
 
 
+@gives_back
 def _whole_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held: list[np.ndarray] = []
@@ -141,6 +144,7 @@ def _whole_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 held = []
 
 
+@gives_back
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (h, rep): those whose h another row of the partition
     has too, and the first and last h of the partition, which may go on in the

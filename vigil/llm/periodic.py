@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import small_batches
+from vigil.llm.storage import gives_back, small_batches
 
 MIN_WORDS = 12              # words of a run, at least
 SHIFTED = 6                 # words of it that equal words one period on, at least
@@ -329,6 +329,7 @@ def _joined(data: np.ndarray, words: K.Words, kept: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(first) - 1, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(chars)).cast(pa.string())
 
 
+@gives_back
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, off = K.string_parts(batch.column(1))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import ROW, Scratch, located, qualified, small_batches
+from vigil.llm.storage import ROW, Scratch, gives_back, located, qualified, small_batches
 from vigil.operators.common import bounded_broadcast
 
 _MASK = 0xA282EAD8
@@ -171,6 +171,7 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+@gives_back
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """Writes one file of records of rows (id, text) and yields their index rows."""
     context = TaskContext.get()
@@ -201,6 +202,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
         store.move(f"{name}.{attempt}", name)
 
 
+@gives_back
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     """Reads the records that index rows point to: (id, part, before, n_tokens, ids_crc32)."""
     store, root = _filesystem(folder)

@@ -7,8 +7,12 @@ soon as no later step reads them.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,20 @@ from vigil.session import checkpoint_dir
 ARROW_ROWS = 1024
 
 
+def gives_back(scan: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A scan over record batches that returns the memory it has freed to the
+    system at its end: Python workers are used again by later tasks, and what
+    they hold counts against the executor."""
+    @wraps(scan)
+    def run(batches, *args, **kwargs):
+        yield from scan(batches, *args, **kwargs)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
+        if trim is not None:
+            trim(0)
+    return run
+
+
 def small_batches(spark: SparkSession) -> None:
     """Rows that travel to Python at once: whole texts may be long, and the
     usual 10,000 of them need memory in the JVM and in the worker.  A smaller

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import textkernel as K
-from vigil.llm.storage import Scratch, small_batches
+from vigil.llm.storage import Scratch, gives_back, small_batches
 
 BLOCK_BYTES = 16 << 20      # test items held by a task at once
 
@@ -257,6 +257,7 @@ def _matches(words: K.Words, items: TestItems):
     return row, found_item[keep], item_start[keep], word[keep] - words.first[row], length[keep]
 
 
+@gives_back
 def _scan(batches: Iterator[pa.RecordBatch], items_b, text_at: int, keep: list[int]) -> Iterator[pa.RecordBatch]:
     """Per document: the kept columns, number of words, and its matches."""
     items: TestItems = items_b.value
