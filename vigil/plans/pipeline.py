@@ -79,6 +79,31 @@ class RunResult:
         return C.unscorable(self.stored, self.texts)
 
 
+@dataclass
+class Kept:
+    """What de-duplication and a cap leave of the found stories."""
+    found: DataFrame
+    kept: DataFrame
+    cut: DataFrame | None
+
+    def result(self, late: DataFrame | None, history: DataFrame | None, texts: DataFrame, projects: DataFrame, models: DataFrame,
+               model_terms: DataFrame, source: str, entities: DataFrame | None = None, vectors: DataFrame | None = None,
+               scorers: dict | None = None) -> RunResult:
+        return RunResult(self.found, self.kept, self.cut, late, history, texts, projects, models, model_terms, source, entities, vectors, scorers)
+
+
+def after_search(found: DataFrame, log: DataFrame | None, cap: int | None, newest: list, order_by: str) -> Kept:
+    """First-wins de-duplication in the batch, then against the log; the cap if
+    the caller names one; the key under which each story is logged."""
+    kept = D.dedupe(found, order_by=order_by)
+    if log is not None:
+        kept = D.dedupe_against_log(kept, log)
+    cut = None
+    if cap is not None:
+        kept, cut = D.cap_per_project(kept, cap, newest), D.cut_by_cap(kept, cap, newest)
+    return Kept(found, kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url"))), cut)
+
+
 def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, models: DataFrame,
         model_terms: DataFrame, as_of: dt.datetime, source: str = schemas.SOURCE_MEDIA_CLOUD,
         log: DataFrame | None = None, entities: DataFrame | None = None,
@@ -104,13 +129,5 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
         late = W.late_rows(found, windows)
         found = W.in_window(found, windows)
         marks = W.advance_history(history, found, source, as_of)
-    kept = D.dedupe(found, order_by="story_id")
-    if log is not None:
-        kept = D.dedupe_against_log(kept, log)
-    cut = None
-    if cap is not None:
-        newest = [F.desc_nulls_last("indexed_date"), F.col("url")]
-        kept, cut = D.cap_per_project(kept, cap, newest), D.cut_by_cap(kept, cap, newest)
-    kept = kept.withColumn("log_db_id", story_key("project_id", F.coalesce("normalized_url", "url")))
-    return RunResult(found, kept, cut, late, marks, stories.select("story_id", "story_text"), projects, models,
-                     model_terms, source, entities, vectors, scorers)
+    done = after_search(found, log, cap, [F.desc_nulls_last("indexed_date"), F.col("url")], order_by="story_id")
+    return done.result(late, marks, stories.select("story_id", "story_text"), projects, models, model_terms, source, entities, vectors, scorers)
