@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vigil.plans import registry
 
-_MODULES = ["vigil.plans.log_queries", "vigil.plans.feed_queries", "vigil.plans.search_queries", "vigil.plans.class_queries", "vigil.plans.pipeline_queries", "vigil.plans.platform_queries", "vigil.plans.stream_queries"]
+_MODULES = ["vigil.plans.log_queries", "vigil.plans.feed_queries", "vigil.plans.search_queries", "vigil.plans.class_queries", "vigil.plans.pipeline_queries", "vigil.plans.platform_queries", "vigil.plans.record_queries", "vigil.plans.stream_queries"]
 
 
 def load():

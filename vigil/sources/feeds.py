@@ -31,23 +31,24 @@ def _with_id(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("id", T.LongType())])
 
 
-def _read_config(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    raw = spark.read.schema(_with_id(schema)).option("multiLine", True).json(path)
+def _read_config(spark: SparkSession, path: str, schema: T.StructType, key: str, multi_line: bool) -> DataFrame:
+    raw = spark.read.schema(_with_id(schema)).option("multiLine", multi_line).json(path)
     return raw.withColumn(key, F.coalesce(F.col(key), F.col("id"))).select(*schema.fieldNames())
 
 
-def read_projects(spark: SparkSession, path: str) -> DataFrame:
-    """A1: project list (JSON array or JSON lines), explicit schema; records
+def read_projects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A1: project list (a JSON array; JSON lines with ``multi_line=False``,
+    which long lists are split by), explicit schema; records
     keyed by ``id`` or ``project_id``; NBSP and curly quotes in the search
     terms are cleaned; an empty list is an error."""
-    df = _read_config(spark, path, schemas.PROJECT, "project_id")
+    df = _read_config(spark, path, schemas.PROJECT, "project_id", multi_line)
     df = df.withColumn("search_terms", TX.clean_terms("search_terms"))
     return _require_rows(df, "project")
 
 
-def read_models(spark: SparkSession, path: str) -> DataFrame:
+def read_models(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A2: model list keyed by ``id`` or ``model_id``; an empty list is an error."""
-    return _require_rows(_read_config(spark, path, schemas.MODEL, "model_id"), "model")
+    return _require_rows(_read_config(spark, path, schemas.MODEL, "model_id", multi_line), "model")
 
 
 def with_countries(projects: DataFrame) -> DataFrame:
