@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil import schemas
+from vigil.functions.dates import prefer_source_date
 from vigil.functions.urls import normalize_url
 from vigil.operators import classify as C
 from vigil.operators import dedupe as D
@@ -111,12 +112,16 @@ def run(stories: DataFrame, projects: DataFrame, project_terms: DataFrame, model
         scorers: dict | None = None) -> RunResult:
     """``stories``: canonical rows with a unique ``story_id`` (feed order),
     ``url, title, story_text, language, indexed_date`` and, if known,
-    ``publish_date``; no project yet.  Every story goes through unless the
+    ``publish_date`` and the platform's ``source_publish_date`` (text; it wins
+    where it is a date); no project yet.  Every story goes through unless the
     caller names a ``cap`` per project; what it leaves out is ``cut``.  With a
     ``history`` of marks only stories inside their project's window count; the
     others are ``late``, and the new marks come back."""
     if "publish_date" not in stories.columns:
         stories = stories.withColumn("publish_date", F.lit(None).cast("timestamp"))
+    if "source_publish_date" in stories.columns:
+        # The platform's own date wins over the one found in the page
+        stories = stories.withColumn("publish_date", prefer_source_date("source_publish_date", "publish_date"))
     matches = S.match_projects(stories, project_terms, projects, doc_id="story_id")
     # only light columns travel through de-duplication and the cap; texts
     # are tokenised where they are read, for scoring only

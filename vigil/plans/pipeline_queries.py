@@ -51,7 +51,17 @@ def _english_ids() -> str:
     return ", ".join(str(r[0]) for r in fixtures.PROJECT_ROWS if r[2] == "en")
 
 
-def _windows_sql(source: str, with_history: bool) -> str:
+# A project per customer; start dates that are missing, unreadable, early and late.
+START_DATES = [None, "not a date", "2023-11-01T00:00:00Z", "2024-01-20T00:00:00Z", "2024-01-29T12:00:00Z"]
+MANY_PROJECTS_SQL = ("(SELECT c_custkey AS project_id, ['" + "', '".join(d or "" for d in START_DATES) + "'][c_custkey % 5 + 1] AS start_date FROM customer)")
+
+
+def many_projects(spark, sf_dir):
+    start = F.element_at(F.array(*[F.lit(d) for d in START_DATES]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("project_id"), start.alias("start_date"))
+
+
+def _windows_sql(source: str, with_history: bool, projects: str | None = None) -> str:
     off, win = schemas.PLATFORM_WINDOWS[source]
     default = _ts(AS_OF - dt.timedelta(days=off + win))
     end = _ts(AS_OF - dt.timedelta(days=off))
@@ -61,16 +71,13 @@ def _windows_sql(source: str, with_history: bool) -> str:
     else:
         hist_start = _ts(AS_OF - dt.timedelta(days=off + win + 1))
     if not with_history:
-        return f"SELECT p.project_id, '{source}' AS source, {first} AS start_date, {end} AS end_date FROM {_projects_sql()} p"
+        return f"SELECT p.project_id, '{source}' AS source, {first} AS start_date, {end} AS end_date FROM {projects or _projects_sql()} p"
     return (f"SELECT p.project_id, '{source}' AS source, CASE WHEN h.project_id IS NOT NULL THEN {hist_start} "
             f"ELSE {first} END AS start_date, {end} AS end_date FROM {_projects_sql()} p "
             f"LEFT JOIN (SELECT * FROM hist WHERE source = '{source}') h USING (project_id)")
 
 
-def windows(spark, sf_dir, with_history: bool = True):
-    projects = fixtures.projects(spark)
-    hist = history_before(spark, sf_dir) if with_history else \
-        spark.createDataFrame([], schemas.HISTORY)
+def windows(spark, projects, hist):
     out = None
     for s in PLATFORMS3:
         w = W.query_windows(projects, hist, s, AS_OF).withColumn("source", F.lit(s))
@@ -81,12 +88,13 @@ def windows(spark, sf_dir, with_history: bool = True):
 @query("query_windows", sql=LOG_CTE + HIST_SQL + "\n"
        + "\nUNION ALL\n".join(_windows_sql(s, True) for s in PLATFORMS3))
 def q_query_windows(spark, sf_dir):
-    return windows(spark, sf_dir, True)
+    return windows(spark, fixtures.projects(spark), history_before(spark, sf_dir))
 
 
-@query("query_windows_first_run", sql="\nUNION ALL\n".join(_windows_sql(s, False) for s in PLATFORMS3))
+@query("query_windows_first_run", sql="\nUNION ALL\n".join(_windows_sql(s, False, MANY_PROJECTS_SQL) for s in PLATFORMS3))
 def q_query_windows_first(spark, sf_dir):
-    return windows(spark, sf_dir, False)
+    """B3 without any history, for as many projects as there are customers."""
+    return windows(spark, many_projects(spark, sf_dir), spark.createDataFrame([], schemas.HISTORY))
 
 
 @query("ensure_history", sql=LOG_CTE + HIST_SQL + f"""
