@@ -3,6 +3,9 @@ is a copy of a template."""
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -80,3 +83,43 @@ def test_query_scans_pages_and_documents(spark, tmp_path):
                  if r.table == "pages" or r.license)
     assert got == [("documents", 1, None, "CC-BY-NC-4.0", "own"), ("pages", 1, "h/", "Apache-2.0", "own"), ("pages", 2, "h/a", "Apache-2.0", "inherited")]
     assert queries.op3_license_scan(spark, str(tmp_path)).filter("origin = 'none'").count() == 3
+
+
+def plain_best(line):
+    """(license, cosine) of a statement: TF-IDF over the templates, term by term"""
+    words = lambda t: Counter(re.sub(r"(?:(?![.-])[\W_])+|[.-]+(?=\s|$)", " ", t.lower()).split())
+    held = [(name, words(re.sub(licenses.TAG, " ", text))) for name, text in licenses.templates()]
+    df = Counter(w for _, c in held for w in c)
+    idf = lambda w: math.log((len(held) + 1) / (df[w] + 1)) + 1
+    weigh = lambda c: {w: (1 + math.log(n)) * idf(w) for w, n in c.items()}
+    mine = weigh(words(line))
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    best = (0.0, "")
+    for name, c in held:
+        needed = next((t for t in licenses.NEEDED if t in c), None)
+        v = weigh(c)
+        if set(mine) & set(v) and (needed is None or needed in mine):
+            best = min(best, (-round(sum(mine[w] * v[w] for w in mine if w in v) / size(mine) / size(v), 9), name))
+    return (best[1], -best[0]) if -best[0] >= licenses.MIN_COSINE else (None, None)
+
+
+LINES = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.", "MIT License",
+         "This work is licensed under the GNU General Public License, version 3.", "Released under the ISC License", "Copyright of nobody",
+         "SPDX-License-Identifier: LGPL-2.1-only", "licensed to drive", "public domain", "GNU Lesser General Public License version 3 license license"]
+
+
+def test_cosine_equals_a_plain_one(spark):
+    df = spark.createDataFrame([(i, None, t) for i, t in enumerate(LINES)], "id long, path string, text string")
+    got = {r.id: (r.license, r.cosine and round(r.cosine, 6)) for r in licenses.scan(df).collect()}
+    want = {i: plain_best(t) for i, t in enumerate(LINES)}
+    assert got == {i: (name, c and round(c, 6)) for i, (name, c) in want.items()}
+    assert [got[i][0] for i in range(6)] == ["MIT", "Apache-2.0", "CC-BY-NC-4.0", "MIT", "GPL-3.0", "ISC"]
+    assert all(0.6 <= got[i][1] < 1 for i in (0, 1, 2, 4))        # found by likeness, not because a template repeats them
+
+
+def test_directories_hand_their_licence_down(spark):
+    files = [(1, "x.org/a/LICENSE", "MIT License"), (2, "x.org/a/b/c.html", "no word of it"), (3, "x.org/a/b/LICENSE.txt", "Apache License Version 2.0, January 2004"),
+             (4, "x.org/z/d.html", ""), (5, "x.org/a/e.html", None), (6, "x.org/a/b/c/d/f", "ISC License"), (7, None, "plain")]
+    got = {r.id: (r.license, r.origin, r.inherited_from) for r in licenses.scan(spark.createDataFrame(files, "id long, path string, text string")).collect()}
+    assert got == {1: ("MIT", "own", None), 2: ("Apache-2.0", "inherited", "x.org/a/b/"), 3: ("Apache-2.0", "own", None), 4: (None, "none", None),
+                   5: ("MIT", "inherited", "x.org/a/"), 6: ("ISC", "own", None), 7: (None, "none", None)}

@@ -37,21 +37,23 @@ from vigil.llm.storage import Scratch
 from vigil.operators.common import bounded_broadcast
 
 MIN_COSINE = 0.6
-# one-sentence notices
+# one-sentence notices, as the licences' publishers and hosts word them
 NOTICES = (
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "The Apache Software Foundation licenses this file to you under the Apache License, Version 2.0"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause Simplified License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause New or Revised License."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License, CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under the CC0 1.0 Universal License."),
     ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "This program is licensed under the GNU General Public License, version 3."),
     ("ISC", "Released under the ISC License."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
+    ("MIT", "This project is licensed under the terms of the MIT license."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain, The Unlicense."),
 )

@@ -2,12 +2,16 @@
 
 A text beyond ``chunk`` characters is encoded in overlapping chunks with
 offsets, so memory is bounded by the chunk.  Two neighbouring chunks are
-spliced at a character that begins a token in both and is proven stable: a
-space after a character that is none.  The vocabulary is searched for a piece
-that could go across such a place; while there is none, no encoding of the
-whole text can either, and what lies on the two sides is encoded
-independently.  If an overlap holds no such place it is widened until it
-does, or until the text ends.
+spliced at a character that begins a token in both and is proven stable: no
+piece of the vocabulary holds it right after the character before it (spaces
+count as the vocabulary writes them).  No token can go across such a place, so
+what lies on its two sides is encoded independently: a space after a word, a
+line break, most neighbours in scripts without spaces.  If an overlap holds no
+such place it is widened until it does, or until the text ends (one run of
+letters of a kind that the vocabulary joins freely).
+
+A model that rewrites characters before it encodes is spliced at a space after
+a character that is none, if no piece goes across one.
 
 Defined results: null counts as empty, 0 tokens; repeated rows are counted one
 by one; other columns are ignored.
@@ -29,14 +33,18 @@ from vigil.llm.storage import small_batches
 
 CHUNK, OVERLAP = 16_384, 256     # characters
 SPACE_PIECE = "▁"
+_PROBE = "a\tb\nｶﾞﬁe\u0301①Å x"     # characters that a normaliser would rewrite
 
 
 class Counter:
     def __init__(self, path: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        m = self.model
+        pieces = [m.id_to_piece(i) for i in range(m.get_piece_size()) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i))]
         self.splits_at_spaces = not any(SPACE_PIECE in p.lstrip(SPACE_PIECE) for p in pieces)
+        self.joined = {pair for p in pieces for pair in zip(p, p[1:])}     # neighbours inside some piece
+        self.as_written = m.normalize(_PROBE).replace(SPACE_PIECE, " ").strip(" ") == _PROBE
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.model.encode(texts, num_threads=1)]
@@ -48,8 +56,16 @@ class Counter:
         char = np.append(np.cumsum((raw & 0xC0) != 0x80) - 1, len(text))
         return char[at]
 
+    def apart(self, before: str, here: str) -> bool:
+        """Whether no token can hold both of these neighbours."""
+        if before == " " or before == SPACE_PIECE:
+            return False
+        if not self.as_written:
+            return self.splits_at_spaces and here == " "
+        return (before, SPACE_PIECE if here == " " else here) not in self.joined
+
     def count_huge(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-        if not self.splits_at_spaces or len(text) <= chunk:
+        if len(text) <= chunk:
             return self.count([text])[0]
         total, at, begin = 0, 0, 0           # tokens before ``at`` are counted; the chunk begins at ``begin``
         while True:
@@ -62,12 +78,12 @@ class Counter:
                 following = begin + chunk
                 there = self.starts(text[following:min(len(text), following + chunk + wide)]) + following
                 common = np.intersect1d(here[(here > max(at, following)) & (here < end)], there)
-                stable = [p for p in common if text[p] == " " and text[p - 1] != " "]
-                if stable:
+                stable = next((int(p) for p in common if self.apart(text[p - 1], text[p])), None)
+                if stable is not None:
                     break
                 wide *= 2
-            total += int(((here >= at) & (here < stable[0])).sum())
-            at, begin = int(stable[0]), following
+            total += int(((here >= at) & (here < stable)).sum())
+            at, begin = stable, following
 
 
 @lru_cache(maxsize=2)
