@@ -7,7 +7,8 @@ Line rules (a line without words fails none and counts for nothing):
 
 * symbols: at least one symbol of ``[#*$%&|<>]`` per four words;
 * navigation: two or more ``|`` or ``»`` or ``>`` between words, or one or two
-  words without a closing mark;
+  words of 24 characters at most without a closing mark (a sentence of a script
+  without spaces is longer);
 * boilerplate: a usual phrase of menus and notices, in a line of 30 words at most;
 * punctuation: 40 words or more without any sentence mark.
 
@@ -23,10 +24,17 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
-# fixed phrases of the boilerplate rule
+# fixed phrases of the boilerplate rule: English, German, French, Spanish
 BOILERPLATE = (r"(?i)\b(cookie policy|privacy policy|terms of (use|service)|all rights reserved|click here|read more|"
                r"sign up|log in|subscribe (now|to our)|enable javascript|javascript is (disabled|required)|"
-               r"share (this|on)|back to top|skip to (main )?content)\b")
+               r"share (this|on)|back to top|skip to (main )?content|"
+               r"datenschutzerkl[äÄ]rung|nutzungsbedingungen|alle rechte vorbehalten|hier klicken|weiterlesen|jetzt (anmelden|abonnieren)|"
+               r"zum seitenanfang|zum inhalt springen|"
+               r"politique de cookies|conditions d.utilisation|tous droits r[éÉ]serv[éÉ]s|cliquez ici|lire la suite|se connecter|haut de page|"
+               r"aller au contenu|"
+               r"pol[íÍ]tica de (privacidad|cookies)|t[éÉ]rminos de uso|todos los derechos reservados|haga clic|leer m[áÁ]s|iniciar sesi[óÓ]n|"
+               r"volver arriba|ir al contenido)\b")
+SHORT_LINE = 24             # characters of a line that may be an entry of a menu
 MARKS = r"[.!?…。！？]"
 MAX_LOST = 0.5
 
@@ -73,7 +81,7 @@ def _line_fails(line: Column, n: Column) -> Column:
     symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
     bars = F.length(line) - F.length(F.translate(line, "|»>", ""))
     return ((symbols * 4 >= n) & (symbols > 0) | (bars >= 2)
-            | (n <= 2) & ~line.rlike(MARKS)
+            | (n <= 2) & (F.length(line) <= SHORT_LINE) & ~line.rlike(MARKS)
             | (n <= 30) & line.rlike(BOILERPLATE)
             | (n >= 40) & ~line.rlike(MARKS))
 
@@ -123,7 +131,7 @@ raw AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 ln AS (SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
     length(line) - length(translate(line, '#*$%&|<>', '')) AS symbols,
     length(line) - length(translate(line, '|»>', '')) AS bars FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-judged AS (SELECT *, (symbols * 4 >= n AND symbols > 0) OR bars >= 2 OR (n <= 2 AND NOT regexp_matches(line, '[.!?…。！？]'))
+judged AS (SELECT *, (symbols * 4 >= n AND symbols > 0) OR bars >= 2 OR (n <= 2 AND length(line) <= @SHORT@ AND NOT regexp_matches(line, '[.!?…。！？]'))
     OR (n <= 30 AND regexp_matches(line, '@BOILERPLATE@'))
     OR (n >= 40 AND NOT regexp_matches(line, '[.!?…。！？]')) AS bad FROM ln),
 per AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines, count(*) FILTER (bad)::BIGINT AS n_lines_removed,
@@ -137,4 +145,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
     NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words_removed <= 0.5 * n_words AS kept,
     n_lines_removed, n_words_removed FROM counted
-""".replace("@BOILERPLATE@", BOILERPLATE)
+""".replace("@BOILERPLATE@", BOILERPLATE).replace("@SHORT@", str(SHORT_LINE))
