@@ -289,7 +289,9 @@ def _test_items(items: DataFrame, item_id_col: str, item_text_col: str, block_by
     test = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     id_bytes = F.coalesce(F.octet_length("item_id"), F.lit(0)).cast("long") + 8
     test = (test.filter(F.col("text").isNotNull()).groupBy("text", "item_id").agg(F.first(id_bytes).alias("bytes"))
-            .groupBy("text").agg(F.collect_list(F.struct("item_id")).alias("ids"), (F.sum("bytes") + F.first(F.octet_length("text"))).alias("bytes")))
+            # a text's bytes, and those of its ids beyond one
+            .groupBy("text").agg(F.collect_list(F.struct("item_id")).alias("ids"),
+                                 (F.sum("bytes") - F.min("bytes") + F.first(F.octet_length("text"))).alias("bytes")))
     size = test.agg(F.sum("bytes")).first()[0] or 0
     return test, max(1, -(-size // block_bytes))
 
