@@ -109,3 +109,18 @@ def test_recent_log_reads_only_its_days(spark, tmp_path):
     plan = D._recent(held, as_of, 14)._jdf.queryExecution().executedPlan().toString()
     assert "queued_day" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
     assert {r.project_id: r.skipped_dupes for r in D.skipped_counts(stories, held, as_of, 14).collect()} == {0: 2, 1: 2, 2: 3}
+
+
+@pytest.mark.parametrize("name", ["stream_dedupe_keys", "stream_in_window", "stream_late_rows", "stream_replay_safe_log", "stream_scores"])
+def test_streams_read_tables_that_are_folders(spark, tmp_path, name):
+    import __spark_entry__ as entry
+    whole, parts = tmp_path / "whole", tmp_path / "parts"
+    docs = [(i, f"the thing number {i} was word{i % 7}", "en", f"src{i % 3}") for i in range(60)]
+    tables = {"documents": spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"),
+              "labels": spark.createDataFrame([(i, i % 2, i % 3 % 2) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int"),
+              "pages": spark.createDataFrame([(i, f"http://h{i % 5}.example.org/en/{i}") for i in range(40)], "page_id long, url string")}
+    for table, df in tables.items():
+        df.repartition(3).write.parquet(f"{parts}/{table}.parquet")
+        df.toPandas().to_parquet(whole.mkdir(exist_ok=True) or whole / f"{table}.parquet", index=False)
+    one, many = (sorted(map(str, entry.queries()[name](spark, str(d)).collect())) for d in (whole, parts))
+    assert one and one == many

@@ -17,11 +17,17 @@ from vigil.plans.pipeline_queries import ARCHIVE_SQL as PQ_ARCHIVE_SQL
 from vigil.plans.registry import query
 from vigil.sources import fixtures
 from vigil.sources.tables import table
+from vigil.sources.versions import file_system
 from vigil.streaming import ingest as J
 
 
 def _stream(spark, sf_dir, name):
+    """A table as a stream, whether it is one file or a folder of files."""
     schema = table(spark, sf_dir, name).schema
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, p = file_system(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return J.read_stream(spark, path, schema, file_glob="*")
     return J.read_stream(spark, sf_dir, schema, file_glob=f"{name}.parquet")
 
 
