@@ -185,7 +185,8 @@ def _patterns(pt: DataFrame) -> DataFrame:
 def search_meta(project_terms: DataFrame) -> dict:
     """Two small actions over the (config-sized) clause table: the forms and
     lengths of pattern literals, the fuzzy edit bound and word-length range,
-    and whether any clause is title-scoped.  Everything the index needs to
+    whether any clause is title-scoped, and the fields with patterns or fuzzy
+    terms.  Everything the index needs to
     know up front.  Clauses of an unknown kind are an error."""
     pt = _parse_kind(project_terms)
     t = F.lower("term")
@@ -197,12 +198,14 @@ def search_meta(project_terms: DataFrame) -> dict:
         F.max(F.when(is_fz, F.length(t) + edits)).alias("fz_max"),
         F.max((F.col("field") == "title").cast("int")).alias("has_title"),
         F.min(F.when(~F.col("base").isin(*KINDS), F.col("kind"))).alias("unknown"),
+        F.collect_set(F.when(is_fz, F.col("field"))).alias("fuzzy_fields"),
     ).first()
     if r["unknown"] is not None:
         raise ValueError(f"unknown kind of clause: {r['unknown']}")
-    parts = _patterns(pt).select("part.form", F.length("part.lit").alias("n")).distinct().collect()
-    return {"parts": sorted((x["form"], x["n"]) for x in parts), "edits": int(r["edits"] or 0),
-            "fz_min": r["fz_min"], "fz_max": r["fz_max"], "has_title": bool(r["has_title"])}
+    parts = _patterns(pt).select("field", "part.form", F.length("part.lit").alias("n")).distinct().collect()
+    return {"parts": sorted({(x["form"], x["n"]) for x in parts}), "edits": int(r["edits"] or 0),
+            "fz_min": r["fz_min"], "fz_max": r["fz_max"], "has_title": bool(r["has_title"]),
+            "loose": sorted({x["field"] for x in parts} | set(r["fuzzy_fields"]))}
 
 
 def clause_keys(project_terms: DataFrame, max_edits: int) -> DataFrame:
@@ -299,29 +302,42 @@ def _tokenised(d: DataFrame, title: str, text: str, meta: dict) -> DataFrame:
                     F.coalesce(in_title, F.array().cast("array<string>")).alias("title"))
 
 
+def _placed_clauses(keys: DataFrame) -> DataFrame:
+    """Phrases and near clauses, one row per alternative: ``phrase`` (its words
+    with single spaces) or ``needs`` (word, times) within ``dist``, and as
+    ``token`` the longest word, by which documents find the clause."""
+    key = F.col("key")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("offset", "key"))), lambda x: x["key"])
+    need = F.sort_array(F.collect_set(F.struct(key.alias("word"), F.coalesce("times", F.lit(1)).alias("times"))))
+    return (keys.filter("regex IS NULL AND edits IS NULL").filter(~key.startswith("~w:"))
+            .groupBy("field", "project_id", "clause_id", "negated", "alt", "near")
+            .agg(F.max(F.struct(F.length(key), key))["key"].alias("token"), F.array_join(in_order, " ").alias("phrase"),
+                 need.alias("needs"), F.max("dist").alias("dist"))
+            .select("field", F.lit(True).alias("placed"), "token", "project_id", "clause_id", "negated",
+                    F.when(F.col("near") == 0, F.col("phrase")).alias("phrase"), "needs", "dist"))
+
+
 def clause_index(toks: DataFrame, keys: DataFrame, meta: dict) -> DataFrame:
-    """The standing searches as an index ``token -> clause``: ``token, once,
-    field`` and the clause columns of ``clause_keys``.
+    """The standing searches as an index ``token -> clause``: ``field, placed,
+    token``, the clause's columns and what ``_placed_clauses`` checks.
 
     Words stand for themselves.  Patterns and fuzzy terms are expanded once
-    against the distinct tokens of all documents (titles included): a token's
+    against the distinct tokens of their field in all documents: a token's
     probe keys meet the clauses' literals and deletion variants, and the
-    survivors are checked.  ``once``: the token's presence in a document is
-    enough; the others, words of sequences and near clauses, are needed at
-    every position.
+    survivors are checked.  Not ``placed``: the token's presence in a document
+    is the hit; phrases and near clauses are then looked for in the document.
     """
-    exact = keys.filter("regex IS NULL AND edits IS NULL")
-    token = F.when(F.col("key").startswith("~w:"), F.expr("substring(key, 4)")).otherwise(F.col("key"))
-    columns = ["field", "project_id", "clause_id", "negated", "alt", "near", "offset", "n", "dist", "times"]
-    out = exact.select(token.alias("token"), F.col("key").startswith("~w:").alias("once"), *columns)
-    if meta["parts"] or meta["edits"]:
-        vocabulary = toks.select(F.explode(F.array_distinct("all")).alias("token")).distinct()
+    columns = ["field", "placed", "token", "project_id", "clause_id", "negated"]
+    words = keys.filter("regex IS NULL AND edits IS NULL").filter(F.col("key").startswith("~w:"))
+    out = words.withColumn("token", F.expr("substring(key, 4)")).withColumn("placed", F.lit(False)).select(*columns)
+    loose = keys.filter("regex IS NOT NULL OR edits IS NOT NULL")
+    fits = F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex")).otherwise(F.levenshtein("token", "word") <= F.col("edits"))
+    for field in meta["loose"]:
+        vocabulary = toks.select(F.explode(F.array_distinct(field)).alias("token")).distinct()
         probes = vocabulary.select("token", F.explode(F.concat(*_pattern_keys(F.col("token"), meta))).alias("key"))
-        loose = bounded_broadcast(keys.filter("regex IS NOT NULL OR edits IS NOT NULL"))
-        fits = F.when(F.col("regex").isNotNull(), F.expr("token RLIKE regex")).otherwise(F.levenshtein("token", "word") <= F.col("edits"))
-        found = probes.join(loose, "key").filter(fits)
-        out = out.unionByName(found.select("token", F.lit(True).alias("once"), *columns))
-    return out.distinct()
+        found = probes.join(bounded_broadcast(loose.filter(F.col("field") == field)), "key").filter(fits)
+        out = out.unionByName(found.withColumn("placed", F.lit(False)).select(*columns))
+    return out.distinct().unionByName(_placed_clauses(keys), allowMissingColumns=True)
 
 
 # An index of up to this many tokens goes into the plan as a set, by which
@@ -330,35 +346,68 @@ def clause_index(toks: DataFrame, keys: DataFrame, meta: dict) -> DataFrame:
 SET_TOKENS = 1 << 16
 
 
+def _token_sets(tokens_of: DataFrame) -> dict[tuple[str, str], list[str] | None]:
+    """``(field, use) -> its distinct tokens``, None for more than ``SET_TOKENS``."""
+    tokens_of = tokens_of.distinct()
+    counts = {(r.field, r.use): r["count"] for r in tokens_of.groupBy("field", "use").count().collect()}
+    return {k: [r.token for r in tokens_of.filter((F.col("field") == k[0]) & (F.col("use") == k[1])).collect()] if n <= SET_TOKENS else None
+            for k, n in counts.items()}
+
+
+def _together(text: Column, needs: Column, dist: Column) -> Column:
+    """Whether all the words of a near clause lie within ``dist`` positions.
+    A position holds one token, so no window holds more than ``dist`` + 1."""
+    at = F.filter(F.transform(F.split(text, " "), lambda x, i: F.struct(i.alias("pos"), x.alias("word"))),
+                  lambda y: F.exists(needs, lambda w: w["word"] == y["word"]))
+
+    def enough(win: Column) -> Column:
+        return F.forall(needs, lambda w: F.size(F.filter(win, lambda y: y["word"] == w["word"])) >= w["times"])
+
+    # the occurrences are bound once (one element) and looked at by position
+    return F.exists(F.array(at), lambda occ: F.exists(F.sequence(F.lit(1), F.greatest(F.size(occ), F.lit(1))), lambda j: enough(
+        F.filter(F.slice(occ, j, dist + 1), lambda y: y["pos"] <= F.get(occ, j - 1)["pos"] + dist))))
+
+
 def _hits(toks: DataFrame, index: DataFrame) -> DataFrame:
-    """The documents' tokens that the index asks for, with their clauses.
-
-    Two cuts inside the row, before anything is exploded: the distinct tokens
-    that are asked for by presence, and the positions of those asked for by
-    position."""
-    wanted = {once: None for once in (True, False)}
-    counts = {r.once: r.n for r in index.groupBy("once").agg(F.count_distinct("token").alias("n")).collect()}
-    for once in wanted:
-        if counts.get(once, 0) <= SET_TOKENS:
-            wanted[once] = [r.token for r in index.filter(F.col("once") == once).select("token").distinct().collect()]
-    entry = lambda field, once, tok, pos: F.struct(F.lit(field).alias("field"), F.lit(once).alias("once"), tok.alias("token"),
-                                                   pos.cast("int").alias("pos"))
-
-    def present(field: str) -> Column:
-        kept = F.col(field) if wanted[True] is None else F.filter(field, lambda x: x.isin(wanted[True]))
-        return F.transform(F.array_distinct(kept), lambda x: entry(field, True, x, F.lit(0)))
-
-    def placed(field: str) -> Column:
-        if wanted[False] is None:
-            return F.transform(field, lambda x, i: entry(field, False, x, i))
-        return F.filter(F.transform(field, lambda x, i: F.when(x.isin(wanted[False]), entry(field, False, x, i))), lambda y: y.isNotNull())
-
-    fields = [(r.field, r.once) for r in index.select("field", "once").distinct().collect()]
-    cuts = [(present if once else placed)(field) for field, once in sorted(fields)]
+    """``(doc_id, doc_lang, project_id, clause_id, negated)``: the documents'
+    clause hits, once per alternative.
+
+    A document is cut inside the row, before anything is exploded: to the
+    distinct tokens that are clauses of their own, and to the words of phrases
+    and near clauses.  The latter leave as one text, in which every other token
+    is an empty word, with each token by which such a clause is found; the
+    clause is checked in it as soon as the index is met.  No occurrence moves
+    by itself."""
+    placed_words = index.filter("placed").select("field", F.lit("words").alias("use"), F.explode(F.coalesce(
+        F.split("phrase", " "), F.transform("needs", lambda w: w["word"]))).alias("token"))
+    sets = _token_sets(index.select("field", F.when(F.col("placed"), "found_by").otherwise("alone").alias("use"), "token").unionByName(placed_words))
+
+    def kept(tokens_: Column, field: str, use: str) -> Column:
+        wanted = sets[field, use]
+        return tokens_ if wanted is None else F.filter(tokens_, lambda x: x.isin(wanted))
+
+    def entries(tokens_: Column, field: str, placed: bool, text: Column) -> Column:
+        return F.transform(F.array_distinct(tokens_), lambda x: F.struct(
+            F.lit(field).alias("field"), F.lit(placed).alias("placed"), x.alias("token"), text.alias("text")))
+
+    cuts = []
+    for field in ("all", "title"):
+        if (field, "alone") in sets:
+            cuts.append(entries(kept(F.col(field), field, "alone"), field, False, F.lit(None).cast("string")))
+        if (field, "words") in sets:
+            wanted = sets[field, "words"]
+            cut = F.col(field) if wanted is None else F.transform(field, lambda x: F.when(x.isin(wanted), x).otherwise(""))  # noqa: B023
+            text = f"{field}_text"
+            toks = toks.withColumn(text, F.concat(F.lit(" "), F.array_join(cut, " "), F.lit(" ")))
+            cuts.append(entries(kept(F.col(field), field, "found_by"), field, True, F.col(text)))
     if not cuts:
-        cuts = [F.array().cast("array<struct<field:string,once:boolean,token:string,pos:int>>")]
+        cuts = [F.array().cast("array<struct<field:string,placed:boolean,token:string,text:string>>")]
     rows = toks.select("doc_id", "doc_lang", F.inline(F.concat(*cuts)))
-    return rows.join(bounded_broadcast(index), ["field", "once", "token"])
+    phrase_hit = F.col("text").contains(F.concat(F.lit(" "), "phrase", F.lit(" ")))
+    hit = F.when(~F.col("placed"), F.lit(True)).when(F.col("phrase").isNotNull(), phrase_hit).otherwise(
+        _together(F.col("text"), F.col("needs"), F.col("dist")))
+    return (rows.join(bounded_broadcast(index), ["field", "placed", "token"]).filter(hit)
+            .select("doc_id", "doc_lang", "project_id", "clause_id", "negated"))
 
 
 def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFrame | None = None,
@@ -371,13 +420,10 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     patterns or fuzzy terms one pass over the distinct vocabulary), written
     once -> one scan; each document is tokenised once, cut down to the index's
     tokens inside the row, and these are exploded -> hash join with the index
-    (broadcast within its measured bound) -> per-clause hit by aggregation (all
-    words of a sequence line up, or all words of a near clause within distance,
-    found inside bounded position buckets) -> AND/NOT per (document, project).
-    Single words, patterns and fuzzy terms count once per distinct token of a
-    document, so frequent words do not flood the shuffle; words of phrases and
-    near clauses move one row per occurrence.  No group grows with the length
-    of a document.
+    (broadcast within its measured bound), phrases and near clauses checked in
+    the document's cut text -> AND/NOT per (document, project).  Every token
+    counts once per document, so frequent words flood neither the join nor the
+    shuffle, and no group grows with the length of a document.
     """
     meta = search_meta(project_terms)
     # keys per clause row are bounded (words of a phrase, deletion variants)
@@ -387,32 +433,7 @@ def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFram
     # read three times below: written once to the shared folder
     checkpoint_dir(docs.sparkSession)
     hits = _hits(toks, clause_index(toks, keys, meta).checkpoint())
-    hits = hits.select("doc_id", "doc_lang", "project_id", "clause_id", "negated", "alt", "near", "pos", "offset", "n", "dist", "times")
-
-    # Group key g: for a sequence, its start position (a single word's
-    # position is irrelevant: g = 0); for a near clause, a position bucket of
-    # width dist+1, each occurrence also spilling into the next bucket -- any
-    # positions within dist then meet in one group, and a group holds at most
-    # 2*(dist+1) positions, so the check below is bounded.
-    seq_start = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.col("pos") - F.col("offset"))
-    hits = hits.withColumn("__spill", F.explode(F.when(F.col("near") == 1, F.array(F.lit(0), F.lit(1)))
-                                               .otherwise(F.array(F.lit(0)))))
-    g = F.when(F.col("near") == 0, seq_start).otherwise(
-        F.floor(F.col("pos") / (F.col("dist") + 1)).cast("int") + F.col("__spill"))
-    grp = ["doc_id", "doc_lang", "project_id", "clause_id", "negated"]
-    groups = (hits.groupBy(*grp, "alt", "near", g.alias("g"))
-              .agg(F.max("n").alias("n"), F.max("dist").alias("dist"),
-                   F.collect_set(F.when(F.col("near") == 0, F.col("offset"))).alias("seen"),
-                   F.collect_list(F.when(F.col("near") == 1, F.struct("offset", "pos", "times"))).alias("occ")))
-
-    def together(x: Column) -> Column:
-        win = F.filter("occ", lambda y: (y["pos"] >= x["pos"]) & (y["pos"] <= x["pos"] + F.col("dist")))
-        enough = F.filter(win, lambda y: (y["times"] == 1) | (
-            F.size(F.filter(win, lambda z: z["offset"] == y["offset"])) >= y["times"]))
-        return F.size(F.array_distinct(F.transform(enough, lambda y: y["offset"]))) == F.col("n")
-
-    clause_hit = F.when(F.col("near") == 0, F.size("seen") == F.col("n")).otherwise(F.exists("occ", together))
-    clauses = groups.filter(clause_hit).select(*grp).distinct()
+    clauses = hits.distinct()
     per_doc = (clauses.groupBy("doc_id", "doc_lang", "project_id")
                .agg(F.count_if(~F.col("negated")).alias("pos_hits"),
                     F.max(F.col("negated").cast("int")).alias("neg_hit")))
