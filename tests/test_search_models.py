@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from vigil import schemas
 from vigil.operators import classify as C
 from vigil.operators import search as S
 from vigil.plans import class_queries as CQ
@@ -129,3 +130,16 @@ def test_unknown_clause_kind_is_an_error(spark):
     docs = spark.createDataFrame([(1, "t", "x", "en")], "doc_id long, title string, story_text string, language string")
     with pytest.raises(ValueError):
         S.match_projects(docs, spark.createDataFrame([(0, 1, False, "regex", "x")], fixtures.schemas.PROJECT_TERMS))
+
+
+def test_a_phrase_of_frequent_words_moves_one_row_per_document(spark):
+    """Occurrences of a phrase's and a near clause's words do not leave their document."""
+    rows = [(0, 1, False, "phrase", " ".join(["the thing"] * 50)), (1, 1, False, "near8", "the the thing"), (2, 1, False, "title:wildcard", "*e")]
+    terms = spark.createDataFrame(rows, schemas.PROJECT_TERMS)
+    docs = spark.createDataFrame([(1, "en", "no", " ".join(["the thing"] * 300)), (2, "en", "one", "the thing the x thing"),
+                                  (3, "en", "no", "the " + "x " * 9 + "the thing one")], "doc_id long, doc_lang string, title string, text string")
+    meta = S.search_meta(terms)
+    toks = S._tokenised(docs, "title", "text", meta)
+    index = S.clause_index(toks, S.clause_keys(terms, meta["edits"]), meta)
+    got = sorted((r.project_id, r.doc_id) for r in S._hits(toks, index).collect())
+    assert got == [(0, 1), (1, 1), (1, 2), (2, 2)]

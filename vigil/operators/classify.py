@@ -38,6 +38,10 @@ MODEL_TYPES = ("lr", "nb")
 VECTORIZER_TYPES = ("tfidf", "embeddings")
 
 
+# A row per training document (id and numbers only) is broadcast up to this size.
+NORM_BYTES = 64 * 1024 * 1024
+
+
 class ModelConfigError(RuntimeError):
     pass
 
@@ -109,31 +113,34 @@ def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]],
     stats = train.agg(*[a for i, c in enumerate(names) for a in (
         F.count(F.col(c)).alias(f"n{i}"), F.count_if(F.col(c) == 1).alias(f"p{i}"),
         F.count_if(F.col(c) == 0).alias(f"q{i}"))]).first()
-    # two consumers (document frequencies, TF-IDF rows): tokenise the
+    # three consumers (document frequencies, norms, sums): tokenise the
     # training texts once and read the counts back from the shared folder
-    checkpoint_dir(train.sparkSession)
-    counts = term_counts(train, id_col, text_col).join(y, id_col).checkpoint()
+    known = [F.col(f"__y{i}").isNotNull() for i in range(len(names))]
+    counts = store(term_counts(train, id_col, text_col).join(y, id_col), "nb-counts")
     # document frequency over each label's own training rows
-    idf = counts.groupBy("term").agg(*[
-        F.log((F.lit(stats[f"n{i}"]) + 1.0) / (F.count(F.col(f"__y{i}")) + 1.0)).alias(f"__idf{i}")
-        for i in range(len(names))])
-    v = counts.join(idf, "term")
-    for i in range(len(names)):
-        v = v.withColumn(f"__v{i}", F.when(F.col(f"__y{i}").isNotNull(), F.col("tf") * F.col(f"__idf{i}")))
-    norms = v.groupBy(id_col).agg(*[F.sqrt(F.sum(F.col(f"__v{i}") * F.col(f"__v{i}"))).alias(f"__n{i}")
+    idf = store(counts.groupBy("term").agg(*[a for i in range(len(names)) for a in (
+        F.log((F.lit(stats[f"n{i}"]) + 1.0) / (F.count(F.col(f"__y{i}")) + 1.0)).alias(f"__idf{i}"),
+        F.max(known[i].cast("int")).alias(f"__in{i}"))]), "nb-idf")
+    # the counts move to their terms once, for the norms; x = tf * idf / norm,
+    # so a term's sum of x is its idf times a sum of tf / norm, which is taken
+    # where the counts are
+    v = (counts.select(id_col, "term", *[F.when(k, F.col("tf")).alias(f"__tf{i}") for i, k in enumerate(known)])
+         .join(unbounded(idf), "term"))
+    norms = v.groupBy(id_col).agg(*[F.sqrt(F.sum(F.pow(F.col(f"__tf{i}") * F.col(f"__idf{i}"), F.lit(2)))).alias(f"__n{i}")
                                     for i in range(len(names))])
-    x = v.join(norms, id_col)
+    x = counts.join(bounded_broadcast(store(norms, "nb-norms"), NORM_BYTES), id_col)
     aggs = []
     for i in range(len(names)):
-        xi = F.coalesce(F.col(f"__v{i}") / F.nullif(F.col(f"__n{i}"), F.lit(0.0)), F.lit(0.0))
-        aggs += [F.sum(F.when(F.col(f"__y{i}") == 1, xi).otherwise(0.0)).alias(f"__s1_{i}"),
-                 F.sum(F.when(F.col(f"__y{i}") == 0, xi).otherwise(0.0)).alias(f"__s0_{i}"),
-                 F.max(F.col(f"__y{i}").isNotNull().cast("int")).alias(f"__in{i}"),
-                 F.first(F.col(f"__idf{i}")).alias(f"__idf{i}")]
-    sums = x.groupBy("term").agg(*aggs)
+        xi = F.coalesce(F.col("tf") / F.nullif(F.col(f"__n{i}"), F.lit(0.0)), F.lit(0.0))
+        aggs += [F.sum(F.when(F.col(f"__y{i}") == 1, xi).otherwise(0.0)).alias(f"__p{i}"),
+                 F.sum(F.when(F.col(f"__y{i}") == 0, xi).otherwise(0.0)).alias(f"__q{i}")]
+    sums = x.groupBy("term").agg(*aggs).join(unbounded(idf), "term")
+    for i in range(len(names)):
+        sums = (sums.withColumn(f"__s1_{i}", F.col(f"__p{i}") * F.col(f"__idf{i}"))
+                .withColumn(f"__s0_{i}", F.col(f"__q{i}") * F.col(f"__idf{i}")).drop(f"__p{i}", f"__q{i}"))
     # the per-term sums are the fitted state: write them once too, so the
     # totals below and every later use read them instead of re-running the fit
-    sums = sums.checkpoint()
+    sums = store(sums, "nb-sums")
     tot = sums.agg(*[a for i in range(len(names)) for a in (
         F.sum(F.col(f"__s1_{i}") * F.col(f"__in{i}")).alias(f"t1_{i}"),
         F.sum(F.col(f"__s0_{i}") * F.col(f"__in{i}")).alias(f"t0_{i}"),
@@ -197,7 +204,7 @@ def fit_logistic_regression(train: DataFrame, label_col: str, id_col: str = "doc
     return spark.createDataFrame(pdf, schema)
 
 
-INTERCEPT = ""         # the term every document has once; no token is empty
+INTERCEPT = -1         # the number of the term every document has once; tokens count from 0
 
 
 def fit_logistic_steps(train: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", model_id: int = 1,
@@ -205,9 +212,13 @@ def fit_logistic_steps(train: DataFrame, label_col: str, id_col: str = "doc_id",
     """H8: logistic regression on the TF-IDF features by ``steps`` full-batch
     gradient steps, as ``model_terms`` rows.
 
-    A step is two joins and two grouped sums over the rows (id, term, x): the
-    documents' margins under the current weights, then per term the sum of
-    residual times x.  The weights are a table per step in the shared folder;
+    ``x = tf * idf / norm``, so the rows that a step reads are (id, t, tf),
+    ``t`` being the term's number; idf is multiplied into the weights and the
+    norm into the residuals.  A step is two joins and two grouped sums: the
+    documents' margins under the current weights, for which the rows move to
+    their terms, then per term the sum of residual times x, for which the
+    residuals, a number per document, go to the rows (broadcast within
+    ``NORM_BYTES``).  The weights are a table per step in the shared folder;
     neither they nor the features pass through the driver, and every term of
     the training texts has a weight.  Each ``x`` row is at most 1 long
     (normalised), so the loss is 0.5-smooth and steps below 4 descend.
@@ -216,19 +227,33 @@ def fit_logistic_steps(train: DataFrame, label_col: str, id_col: str = "doc_id",
     y = store(train.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")), "lr-labels")
     counts = store(term_counts(train, id_col, text_col).withColumnRenamed(id_col, "id"), "lr-counts")
     n = y.count()
-    idf = store(fit_idf(counts, n, "id"), "lr-idf")
-    ones = y.select("id", F.lit(INTERCEPT).alias("term"), F.lit(1.0).alias("x"))
-    x = store(tfidf(counts, idf, "id").unionByName(ones), "lr-features")
-    w = x.select("term").distinct().withColumn("weight", F.lit(0.0))
+    # terms are numbered once (the table is written, so the numbers stay)
+    idf = store(fit_idf(counts, n, "id").withColumn("t", F.monotonically_increasing_id()), "lr-idf")
+    rows = store(counts.join(unbounded(idf), "term").select("id", "t", F.col("tf").cast("int").alias("tf"), "idf"), "lr-features")
+    v = F.col("tf") * F.col("idf")
+    norm = rows.groupBy("id").agg(F.sqrt(F.sum(v * v)).alias("norm"))
+    times = y.groupBy("id").agg(F.count(F.lit(1)).alias("times"))     # an id may have several rows
+    docs = store(y.join(unbounded(times), "id").join(unbounded(norm), "id", "left").select(
+        "id", "y", "times", F.coalesce(F.lit(1.0) / F.nullif("norm", F.lit(0.0)), F.lit(0.0)).alias("inv")), "lr-documents")
+    rows = rows.drop("idf")
+    start = F.lit(0.0).alias("weight")
+    w = idf.select("t", "idf", start).unionByName(idf.sparkSession.range(1).select(
+        F.lit(INTERCEPT).cast("long").alias("t"), F.lit(1.0).alias("idf"), start))
     for _ in range(steps):
-        margin = x.join(unbounded(w), "term").groupBy("id").agg(F.sum(F.col("x") * F.col("weight")).alias("m"))
-        residual = margin.join(unbounded(y), "id").select("id", (sigmoid(F.col("m")) - F.col("y")).alias("r"))
-        slope = x.join(unbounded(residual), "id").groupBy("term").agg((F.sum(F.col("r") * F.col("x")) / F.lit(float(max(n, 1)))).alias("g"))
-        shrink = F.when(F.col("term") == INTERCEPT, F.lit(0.0)).otherwise(F.lit(reg) * F.col("weight"))
-        w = store(w.join(unbounded(slope), "term").select("term", (F.col("weight") - F.lit(rate) * (F.col("g") + shrink)).alias("weight")), "lr-weights")
-    return (w.join(unbounded(idf), "term", "left")
-            .select(F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"),
-                    F.nullif("term", F.lit(INTERCEPT)).alias("term"), "idf", "weight"))
+        sums = rows.join(unbounded(w.select("t", (F.col("idf") * F.col("weight")).alias("c"))), "t").groupBy("id").agg(
+            F.sum(F.col("tf") * F.col("c")).alias("s"))
+        intercept = F.broadcast(w.filter(F.col("t") == INTERCEPT).select(F.col("weight").alias("b")))   # one row
+        margin = F.coalesce(F.col("s"), F.lit(0.0)) * F.col("inv") + F.col("times") * F.col("b")
+        residual = store(docs.join(unbounded(sums), "id", "left").crossJoin(intercept).withColumn("r", sigmoid(margin) - F.col("y")).select(
+            "id", (F.col("r") * F.col("inv")).alias("q"), (F.col("r") * F.col("times")).alias("r")), "lr-residuals")
+        slope = rows.join(bounded_broadcast(residual.select("id", "q"), NORM_BYTES), "id").groupBy("t").agg(F.sum(F.col("q") * F.col("tf")).alias("g"))
+        slope = slope.unionByName(residual.agg(F.coalesce(F.sum("r"), F.lit(0.0)).alias("g")).select(F.lit(INTERCEPT).cast("long").alias("t"), "g"))
+        g = F.col("idf") * F.col("g") / F.lit(float(max(n, 1)))
+        shrink = F.when(F.col("t") == INTERCEPT, F.lit(0.0)).otherwise(F.lit(reg) * F.col("weight"))
+        w = store(w.join(unbounded(slope), "t").select("t", "idf", (F.col("weight") - F.lit(rate) * (g + shrink)).alias("weight")), "lr-weights")
+    w = w.drop("idf")
+    return (w.join(unbounded(idf), "t", "left")
+            .select(F.lit(model_id).cast("long").alias("model_id"), F.lit(stage).cast("int").alias("stage"), "term", "idf", "weight"))
 
 
 def fit_centroid_embedding(train: DataFrame, label_col: str, vec_col: str = "embedding",

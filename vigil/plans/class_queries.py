@@ -20,6 +20,7 @@ from vigil.sources.tables import table
 
 # model_id -> stages as (stage, label column); model 3 chains the two.
 MODEL_STAGES = {1: [(1, "quality")], 2: [(1, "toxic")], 3: [(1, "quality"), (2, "toxic")]}
+LABELS = ("quality", "toxic")
 EMBEDDING_POSITIVE_LABEL = 3
 LR_MODEL_ID = 11
 
@@ -33,8 +34,8 @@ _FITTED: dict[tuple[str, str], str] = {}
 
 def model_terms(spark, sf_dir):
     """All stages of all fixture models: each label is fitted once (both in
-    one pass over the training texts) and its weights copied to every model
-    stage that uses it.
+    one pass over the training texts) and its weights serve every model stage
+    that uses it.
 
     A fitted model is a table: it is written once per application to the
     shared checkpoint folder and later queries read it back, as a deployment
@@ -43,19 +44,20 @@ def model_terms(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         path = f"{checkpoint_dir(spark).rstrip('/')}/models/nb-{uuid.uuid4().hex[:12]}"
-        _fit_model_terms(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        train = training(spark, sf_dir)
+        fitted = C.fit_naive_bayes_labels(train, {lab: (0, i) for i, lab in enumerate(LABELS)})
+        fitted.write.mode("errorifexists").parquet(path)
         _FITTED[key] = path
-    return spark.read.parquet(_FITTED[key])
+    return _model_stages(spark.read.parquet(_FITTED[key]))
 
 
-def _fit_model_terms(spark, sf_dir):
-    train = training(spark, sf_dir)
-    labs = ("quality", "toxic")
-    fitted = C.fit_naive_bayes_labels(train, {lab: (0, i) for i, lab in enumerate(labs)})
+def _model_stages(fitted):
+    """The weights of each label (one stored copy) as those of every model
+    stage that uses it."""
     parts = []
     for mid, stages in MODEL_STAGES.items():
         for stage, lab in stages:
-            parts.append(fitted.filter(F.col("stage") == labs.index(lab))
+            parts.append(fitted.filter(F.col("stage") == LABELS.index(lab))
                          .withColumn("model_id", F.lit(mid).cast("long"))
                          .withColumn("stage", F.lit(stage).cast("int")))
     out = parts[0]
