@@ -143,3 +143,10 @@ def test_a_phrase_of_frequent_words_moves_one_row_per_document(spark):
     index = S.clause_index(toks, S.clause_keys(terms, meta["edits"]), meta)
     got = sorted((r.project_id, r.doc_id) for r in S._hits(toks, index).collect())
     assert got == [(0, 1), (1, 1), (1, 2), (2, 2)]
+
+
+def test_equal_rows_of_one_id_count_their_words_together(spark):
+    terms = spark.createDataFrame([(0, 1, False, "near3", "the the thing")], schemas.PROJECT_TERMS)
+    docs = spark.createDataFrame([(1, "a thing the"), (1, "a thing the"), (2, "a thing the"), (3, "the the thing")], "doc_id long, text string")
+    docs = docs.select("doc_id", F.lit("en").alias("language"), F.lit("").alias("title"), F.col("text").alias("story_text"))
+    assert sorted(r.doc_id for r in S.match_projects(docs, terms).collect()) == [1, 3]

@@ -354,14 +354,15 @@ def _token_sets(tokens_of: DataFrame) -> dict[tuple[str, str], list[str] | None]
             for k, n in counts.items()}
 
 
-def _together(text: Column, needs: Column, dist: Column) -> Column:
-    """Whether all the words of a near clause lie within ``dist`` positions.
-    A position holds one token, so no window holds more than ``dist`` + 1."""
+def _together(text: Column, needs: Column, dist: Column, copies: Column) -> Column:
+    """Whether all the words of a near clause lie within ``dist`` positions,
+    each position counting ``copies`` times.  A position holds one token, so no
+    window holds more than ``dist`` + 1."""
     at = F.filter(F.transform(F.split(text, " "), lambda x, i: F.struct(i.alias("pos"), x.alias("word"))),
                   lambda y: F.exists(needs, lambda w: w["word"] == y["word"]))
 
     def enough(win: Column) -> Column:
-        return F.forall(needs, lambda w: F.size(F.filter(win, lambda y: y["word"] == w["word"])) >= w["times"])
+        return F.forall(needs, lambda w: F.size(F.filter(win, lambda y: y["word"] == w["word"])) * copies >= w["times"])
 
     # the occurrences are bound once (one element) and looked at by position
     return F.exists(F.array(at), lambda occ: F.exists(F.sequence(F.lit(1), F.greatest(F.size(occ), F.lit(1))), lambda j: enough(
@@ -370,7 +371,7 @@ def _together(text: Column, needs: Column, dist: Column) -> Column:
 
 def _hits(toks: DataFrame, index: DataFrame) -> DataFrame:
     """``(doc_id, doc_lang, project_id, clause_id, negated)``: the documents'
-    clause hits, once per alternative.
+    clause hits.
 
     A document is cut inside the row, before anything is exploded: to the
     distinct tokens that are clauses of their own, and to the words of phrases
@@ -404,10 +405,20 @@ def _hits(toks: DataFrame, index: DataFrame) -> DataFrame:
         cuts = [F.array().cast("array<struct<field:string,placed:boolean,token:string,text:string>>")]
     rows = toks.select("doc_id", "doc_lang", F.inline(F.concat(*cuts)))
     phrase_hit = F.col("text").contains(F.concat(F.lit(" "), "phrase", F.lit(" ")))
-    hit = F.when(~F.col("placed"), F.lit(True)).when(F.col("phrase").isNotNull(), phrase_hit).otherwise(
-        _together(F.col("text"), F.col("needs"), F.col("dist")))
-    return (rows.join(bounded_broadcast(index), ["field", "placed", "token"]).filter(hit)
-            .select("doc_id", "doc_lang", "project_id", "clause_id", "negated"))
+    near = F.col("placed") & F.col("phrase").isNull()
+    met = rows.join(bounded_broadcast(index), ["field", "placed", "token"]).filter(~F.col("placed") | near | phrase_hit)
+    # an id with several rows counts the positions of equal ones together: a
+    # near clause short of a repeated word alone waits for the number of copies
+    most = F.aggregate("needs", F.lit(1), lambda m, w: F.greatest(m, w["times"]))
+    sure = F.when(near, _together(F.col("text"), F.col("needs"), F.col("dist"), F.lit(1))).otherwise(F.lit(True))
+    met = met.withColumn("sure", sure)
+    met = met.filter(F.col("sure") | F.when(most > 1, _together(F.col("text"), F.col("needs"), F.col("dist"), most)).otherwise(F.lit(False)))
+    waits = lambda c: F.when(~F.col("sure"), F.col(c)).alias(c)
+    columns = ["doc_id", "doc_lang", "project_id", "clause_id", "negated"]
+    counted = met.select(*columns, "sure", waits("text"), waits("needs"), waits("dist")) \
+        .groupBy(*columns, "sure", "text", "needs", "dist").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    short = F.when(F.col("copies") > 1, _together(F.col("text"), F.col("needs"), F.col("dist"), F.col("copies"))).otherwise(F.lit(False))
+    return counted.filter(F.when(F.col("sure"), F.lit(True)).otherwise(short)).select(*columns)
 
 
 def match_projects(docs: DataFrame, project_terms: DataFrame, projects: DataFrame | None = None,
