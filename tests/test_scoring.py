@@ -145,3 +145,47 @@ def test_logistic_steps_separate_classes(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, y int")
     w = {r.term: r.weight for r in C.fit_logistic_steps(df, "y").collect()}
     assert w["good"] > 0 > w["bad"] and abs(w["news"]) < 1e-9 and set(w) == {None, "good", "bad", "news"}
+
+
+def test_weights_of_frequent_terms_stay_and_rare_ones_move(spark, monkeypatch):
+    terms = [(1, 1, t, idf, w) for t, idf, w in (("the", 0.1, 0.5), ("cat", 1.0, -2.0), ("sat", 1.5, 3.0), ("rarely", 4.0, 1.0))]
+    terms += [(m, st, t, 2 * idf, -w) for m, st in ((2, 1), (2, 2)) for _, _, t, idf, w in terms[:4] if t != "sat"]
+    terms += [(m, st, None, None, b) for m, st, b in ((1, 1, 0.25), (2, 1, -0.5), (2, 2, 0.0))]
+    weights = spark.createDataFrame(terms, "model_id long, stage int, term string, idf double, weight double")
+    texts = {1: "the cat sat the cat", 2: "rarely the unknown word", 3: "unknown only", 4: "rarely rarely sat", 5: "the cat"}
+    stories = spark.createDataFrame(list(texts.items()), "story_id long, story_text string")
+    asked = [(1, 1, 1), (1, 2, 1), (1, 2, 2), (2, 1, 1), (3, 2, 1), (4, 2, 1), (4, 1, 1)]
+    pairs = spark.createDataFrame(asked, "story_id long, model_id long, stage int")
+    counts = C.term_counts(stories, "story_id", "story_text", pairs.select(F.col("story_id").alias("__id")).distinct())
+    assert {r.story_id for r in counts.collect()} == {1, 2, 3, 4}      # the text of 5 is not asked for
+
+    def plain(story, model, stage):
+        known = {t: (idf, w) for m, st, t, idf, w in terms if (m, st) == (model, stage) and t is not None}
+        bias = next(w for m, st, t, _, w in terms if (m, st, t) == (model, stage, None))
+        v = [(known[t][0], known[t][1]) for t in texts[story].split() if t in known]
+        tf = {k: v.count(k) for k in v}
+        norm = math.sqrt(sum((n * k[0]) ** 2 for k, n in tf.items()))
+        return 1 / (1 + math.exp(-(bias + (sum(n * k[0] * k[1] for k, n in tf.items()) / norm if norm else 0))))
+
+    for size, in_head in ((1 << 20, 4), (250, 1), (10, 0)):     # all terms, one, none in the broadcast part
+        monkeypatch.setattr(C, "HEAD_BYTES", size)
+        head, tail = C.packed_terms(weights.filter("term IS NOT NULL"))
+        assert head.count() == in_head and (tail is None if in_head == 4 else tail.count() == 4 - in_head)
+        got = {(r.story_id, r.model_id, r.stage): r.p for r in C.stage_scores(pairs, counts, weights).collect()}
+        assert set(got) == set(asked)
+        for k in asked:
+            assert got[k] == pytest.approx(plain(*k), abs=1e-12), (size, k)
+
+
+def test_fit_is_the_same_however_many_terms_are_broadcast(spark, monkeypatch):
+    train = spark.createDataFrame([(1, "the cat sat", 1, None), (2, "the dog sat sat", 0, 1), (3, "the bird", None, 0), (4, "cat dog the", 1, 1),
+                                   (4, "the the owl", 0, 0), (5, None, 1, 1)], "doc_id long, text string, quality int, toxic int")
+    fits = []
+    for size in (1 << 20, 150, 10):
+        monkeypatch.setattr(C, "HEAD_BYTES", size)
+        fits.append({(r.stage, r.term): (r.idf, r.weight) for r in C.fit_naive_bayes_labels(train, {"quality": (1, 1), "toxic": (1, 2)}).collect()})
+    assert len(fits[0]) == 13
+    for other in fits[1:]:
+        assert set(other) == set(fits[0])
+        for k, (idf, weight) in fits[0].items():
+            assert other[k][1] == pytest.approx(weight, abs=1e-12) and (idf is None or other[k][0] == pytest.approx(idf, abs=1e-12))

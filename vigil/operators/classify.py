@@ -40,6 +40,9 @@ VECTORIZER_TYPES = ("tfidf", "embeddings")
 
 # A row per training document (id and numbers only) is broadcast up to this size.
 NORM_BYTES = 64 * 1024 * 1024
+# The weights of the most frequent terms are broadcast up to this size.
+HEAD_BYTES = 64 * 1024 * 1024
+RARITY_STEPS = 4096     # idf is told apart in steps of 1/64 when the most frequent terms are chosen
 
 
 class ModelConfigError(RuntimeError):
@@ -49,8 +52,9 @@ class ModelConfigError(RuntimeError):
 # ---------------------------------------------------------------------------
 # Features (H1)
 # ---------------------------------------------------------------------------
-def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, tf)``: raw counts of feature tokens per document.
+def term_counts(df: DataFrame, id_col: str, text_col: str, asked: DataFrame | None = None) -> DataFrame:
+    """``(id, term, tf)``: raw counts of feature tokens per document, of those
+    only whose id is in ``asked`` (``__id``, distinct) if it is given.
 
     Texts are hash-partitioned by document id *before* tokenising: a text is
     smaller than its rows of distinct terms (a 2.5 KB story has ~150 of them
@@ -63,11 +67,32 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # partition count is set from the cluster: never fewer than twice its cores
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    return (df.select(id_col, text_col).repartition(n, id_col)
-            .select(id_col, F.explode(tokens(F.col(text_col), FEATURE_TOKEN)).alias("term"))
+    rows = df.select(id_col, text_col).repartition(n, id_col)
+    if asked is not None:
+        # ids are hashed where the texts are (which are not sorted); an inner
+        # join, because a semi-join would be planned below the repartition
+        rows = rows.join(asked.hint("shuffle_hash"), F.col(id_col) == F.col("__id"))
+    return (rows.select(id_col, F.explode(tokens(F.col(text_col), FEATURE_TOKEN)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def by_frequency(terms: DataFrame, idf: Column, row_bytes: Column, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """A stored table with a row per ``term``, in two parts: the most frequent
+    terms (lowest ``idf``), as many as fit into ``max_bytes`` (``HEAD_BYTES``) in
+    an executor's memory, and all others (None: there are none).  By far the most
+    occurrences are of the former, whose rows may be broadcast."""
+    left = HEAD_BYTES if max_bytes is None else max_bytes
+    step = F.least(F.greatest(F.floor(F.coalesce(idf, F.lit(0.0)) * 64), F.lit(0)), F.lit(RARITY_STEPS - 1))
+    sizes = terms.groupBy(step.alias("step")).agg(F.sum(F.octet_length("term") + row_bytes + 32).alias("n"))
+    fits = -1
+    for r in sizes.orderBy("step").collect():       # at most RARITY_STEPS rows
+        left -= r.n
+        if left < 0:
+            return terms.filter(step <= fits), terms.filter(step > fits)
+        fits = r.step
+    return terms, None
+
+
 def fit_idf(counts: DataFrame, n_docs: int, id_col: str) -> DataFrame:
     """``(term, idf)`` with ``idf = ln((N+1)/(df+1))``."""
     return (counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -116,16 +141,20 @@ def fit_naive_bayes_labels(train: DataFrame, labels: dict[str, tuple[int, int]],
     # three consumers (document frequencies, norms, sums): tokenise the
     # training texts once and read the counts back from the shared folder
     known = [F.col(f"__y{i}").isNotNull() for i in range(len(names))]
-    counts = store(term_counts(train, id_col, text_col).join(y, id_col), "nb-counts")
+    # (the labels are hashed where the counts are, which are not sorted)
+    counts = store(term_counts(train, id_col, text_col).join(y.hint("shuffle_hash"), id_col), "nb-counts")
     # document frequency over each label's own training rows
     idf = store(counts.groupBy("term").agg(*[a for i in range(len(names)) for a in (
         F.log((F.lit(stats[f"n{i}"]) + 1.0) / (F.count(F.col(f"__y{i}")) + 1.0)).alias(f"__idf{i}"),
         F.max(known[i].cast("int")).alias(f"__in{i}"))]), "nb-idf")
-    # the counts move to their terms once, for the norms; x = tf * idf / norm,
-    # so a term's sum of x is its idf times a sum of tf / norm, which is taken
-    # where the counts are
-    v = (counts.select(id_col, "term", *[F.when(k, F.col("tf")).alias(f"__tf{i}") for i, k in enumerate(known)])
-         .join(unbounded(idf), "term"))
+    # for the norms only the counts of rare terms move to their idf; x = tf *
+    # idf / norm, so a term's sum of x is its idf times a sum of tf / norm,
+    # which is taken where the counts are
+    tfs = counts.select(id_col, "term", *[F.when(k, F.col("tf")).alias(f"__tf{i}") for i, k in enumerate(known)])
+    head, tail = by_frequency(idf, reduce(F.least, [F.col(f"__idf{i}") for i in range(len(names))]), F.lit(16 * len(names)))
+    v = tfs.join(F.broadcast(head), "term")
+    if tail is not None:
+        v = v.unionByName(tfs.join(F.broadcast(head.select("term")), "term", "left_anti").join(unbounded(tail), "term"))
     norms = v.groupBy(id_col).agg(*[F.sqrt(F.sum(F.pow(F.col(f"__tf{i}") * F.col(f"__idf{i}"), F.lit(2)))).alias(f"__n{i}")
                                     for i in range(len(names))])
     x = counts.join(bounded_broadcast(store(norms, "nb-norms"), NORM_BYTES), id_col)
@@ -282,22 +311,46 @@ def sigmoid(s: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
+def packed_terms(weights: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The weights packed, a row per term, as ``(term, weights)``: those of the
+    most frequent terms, which may be broadcast, and the others (None: none)."""
+    packed = store(weights.groupBy("term").agg(
+        F.collect_list(F.struct("model_id", "stage", "idf", "weight")).alias("weights"), F.min("idf").alias("rarity")), "packed-weights")
+    # a struct of the four numbers takes 48 bytes in an array of a row
+    head, tail = by_frequency(packed, F.col("rarity"), F.size("weights") * 48)
+    return head.drop("rarity"), None if tail is None else tail.drop("rarity")
+
+
 def stage_scores(story_models: DataFrame, counts: DataFrame, model_terms: DataFrame,
                  id_col: str = "story_id") -> DataFrame:
     """``(id, model_id, stage, p)`` for TF-IDF stages.
 
     ``story_models`` = distinct (id, model_id, stage) to score; ``counts`` =
-    (id, term, tf) computed once per story text.  The weight table is
-    config-sized and broadcast behind a row-count check; beyond it the join
-    shuffles on (model_id, term) with AQE splitting hot terms.
+    (id, term, tf) computed once per story text and partitioned by id.  The
+    weights of frequent terms are broadcast and summed up where the counts are;
+    what a story has of other terms (few of its words, as term frequencies go)
+    is written once and moves to the other weights, all stages of a term
+    together.
     """
     weights = model_terms.filter(F.col("term").isNotNull())
     bias = model_terms.filter(F.col("term").isNull()).select("model_id", "stage", F.col("weight").alias("bias"))
-    feats = counts.join(story_models, id_col) \
-        .join(bounded_broadcast(weights), ["model_id", "stage", "term"])
+    head, tail = packed_terms(weights)
+    # a story's stages are few and stay on its partition: no sort of the counts
+    wanted = story_models.groupBy(id_col).agg(F.collect_set(F.struct("model_id", "stage")).alias("wanted"))
+    met = counts.join(wanted.hint("shuffle_hash"), id_col).join(F.broadcast(head), "term", "left")
+    rare = F.when(F.col("weights").isNull(), F.col("term")) if tail is not None else F.lit(None).cast("string")
     v = F.col("tf") * F.col("idf")
-    agg = feats.groupBy(id_col, "model_id", "stage").agg(
-        F.sum(v * F.col("weight")).alias("dot"), F.sqrt(F.sum(v * v)).alias("norm"))
+    dot, square = F.sum(v * F.col("weight")).alias("dot"), F.sum(v * v).alias("square")
+    stage_of = [id_col, "model_id", "stage"]
+    sums = (met.select(id_col, "tf", rare.alias("rare"), "wanted", F.inline_outer("weights"))
+            .filter(F.array_contains("wanted", F.struct("model_id", "stage")) | F.col("rare").isNotNull())
+            .groupBy(*stage_of, "rare").agg(dot, square, F.sum("tf").alias("tf")))
+    if tail is not None:
+        sums = store(sums, "stage-sums")
+        others = (sums.filter(F.col("rare").isNotNull()).select(id_col, F.col("rare").alias("term"), "tf").join(unbounded(tail), "term")
+                  .select(id_col, "tf", F.inline("weights")).groupBy(*stage_of).agg(dot, square))
+        sums = sums.filter(F.col("rare").isNull()).select(*stage_of, "dot", "square").unionByName(others)
+    agg = sums.groupBy(*stage_of).agg(F.sum("dot").alias("dot"), F.sqrt(F.sum("square")).alias("norm"))
     # Scores attach by story id (a left join: stories without any known
     # term still get sigmoid(bias))
     out = (story_models.join(agg, [id_col, "model_id", "stage"], "left")
@@ -376,7 +429,7 @@ def caller_stage_scores(story_models: DataFrame, features: DataFrame, scorers: d
     Stories travel to Python in batches, never row by row, and only those whose
     model is the caller's."""
     names = [c for c in features.columns if c != id_col]
-    rows = features.withColumnRenamed(id_col, "id").join(story_models.withColumnRenamed(id_col, "id"), "id").select("id", "model_id", "stage", *names)
+    rows = features.withColumnRenamed(id_col, "id").join(story_models.withColumnRenamed(id_col, "id").hint("shuffle_hash"), "id").select("id", "model_id", "stage", *names)
     schema = T.StructType([*rows.schema.fields[:3], T.StructField("p", T.DoubleType())])
     return rows.mapInArrow(partial(_run_scorers, scorers=scorers, stage_features=names), schema).withColumnRenamed("id", id_col)
 
@@ -440,8 +493,8 @@ def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_term
     is reported, not retried).  Term counts are computed once per story text
     however many projects share the story: pass ``texts`` (``id, text``, one
     row per story, e.g. the feed itself) so that texts are tokenised where they
-    are read instead of shuffled to be de-duplicated; term counts of stories no
-    project kept are dropped by the join with the (story, model) pairs.
+    are read instead of shuffled to be de-duplicated; texts of stories that no
+    project kept are dropped before they are tokenised.
     ``vectors`` (``id, embedding``, one row per story) are the features of
     embedding stages; ``scorers`` (model_id -> function over Arrow batches, see
     ``caller_stage_scores``) are the caller's own models.
@@ -462,7 +515,8 @@ def score(stories: DataFrame, projects: DataFrame, models: DataFrame, model_term
     if "tfidf" in kinds:
         # NULL texts get NULL scores: keep only ids that have a text (ids only move)
         known = (sp.filter(F.col(text_col).isNotNull()).select(id_col).distinct() if text_col in sp.columns else texts.select(id_col))
-        parts.append(stage_scores(of_kind("tfidf").join(known, id_col, "left_semi"), term_counts(texts, id_col, text_col),
+        asked = of_kind("tfidf").select(F.col(id_col).alias("__id")).distinct()
+        parts.append(stage_scores(of_kind("tfidf").join(known, id_col, "left_semi"), term_counts(texts, id_col, text_col, asked),
                                   by_kind["tfidf"] if len(kinds) > 1 else model_terms, id_col))
     if "embeddings" in kinds:
         parts.append(embedding_stage_scores(of_kind("embeddings"), vectors.select(F.col(id_col), F.col(vec_col)), by_kind["embeddings"],
